@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import packing
+from tessera.llm import editprint, huffman, packing, simhash
+from tessera.llm.common import shared_dir
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -22,3 +25,20 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"))
+
+
+@query
+def op3_edit_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return editprint.fingerprints(_read(spark, sf_dir, "documents"))
+
+
+@query
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
+@query
+def op10_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = f"{shared_dir(spark)}/ids-{uuid.uuid4().hex}"
+    huffman.write(_read(spark, sf_dir, "documents"), out)
+    return huffman.read(spark, out)
