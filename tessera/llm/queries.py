@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import editprint, huffman, packing, simhash
+from tessera.llm import editprint, huffman, mixing, packing, simhash
 from tessera.llm.common import shared_dir
 
 QUERIES: dict = {}
@@ -42,3 +42,11 @@ def op10_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = f"{shared_dir(spark)}/ids-{uuid.uuid4().hex}"
     huffman.write(_read(spark, sf_dir, "documents"), out)
     return huffman.read(spark, out)
+
+
+@query
+def op9_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.query(_read(spark, sf_dir, "documents"))
+
+
+ORACLES["op9_curriculum_mix"] = mixing.SQL
