@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import editprint, huffman, mixing, packing, simhash
+from tessera.llm import editprint, huffman, mixing, packing, simhash, toxicity
 from tessera.llm.common import shared_dir
 
 QUERIES: dict = {}
@@ -50,3 +50,9 @@ def op9_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op9_curriculum_mix"] = mixing.SQL
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return toxicity.scores(docs, toxicity.learn(docs, _read(spark, sf_dir, "labels")))
