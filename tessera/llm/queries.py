@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import editprint, huffman, mixing, packing, simhash, toxicity
+from tessera.llm import editprint, huffman, mixing, packing, secrets, simhash, toxicity
 from tessera.llm.common import shared_dir
 
 QUERIES: dict = {}
@@ -56,3 +56,8 @@ ORACLES["op9_curriculum_mix"] = mixing.SQL
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     return toxicity.scores(docs, toxicity.learn(docs, _read(spark, sf_dir, "labels")))
+
+
+@query
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_read(spark, sf_dir, "documents"))
