@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import editprint, huffman, mixing, packing, secrets, simhash, toxicity
+from tessera.llm import editprint, html_text, huffman, mixing, packing, secrets, simhash, toxicity
 from tessera.llm.common import shared_dir
 
 QUERIES: dict = {}
@@ -61,3 +61,8 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_read(spark, sf_dir, "documents"))
+
+
+@query
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_read(spark, sf_dir, "pages"))
