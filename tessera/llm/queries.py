@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import editprint, html_text, huffman, mixing, packing, secrets, simhash, toxicity
+from tessera.llm import editprint, html_text, huffman, mixing, packing, pivots, secrets, simhash, toxicity
 from tessera.llm.common import shared_dir
 
 QUERIES: dict = {}
@@ -66,3 +66,11 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_read(spark, sf_dir, "pages"))
+
+
+@query
+def op5_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.top_k(_read(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op5_pivot_top_k"] = pivots.SQL
