@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import editprint, html_text, huffman, mixing, packing, pivots, secrets, simhash, toxicity
+from tessera.llm import editprint, html_text, huffman, mixing, packing, perspectives, pivots, secrets, simhash, toxicity
 from tessera.llm.common import shared_dir
 
 QUERIES: dict = {}
@@ -74,3 +74,11 @@ def op5_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op5_pivot_top_k"] = pivots.SQL
+
+
+@query
+def op8_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives.rotate(_read(spark, sf_dir, "conversations"))
+
+
+ORACLES["op8_perspectives"] = perspectives.SQL
