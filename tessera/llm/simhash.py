@@ -226,3 +226,25 @@ def near_duplicates(docs: DataFrame, cap: int = CAP) -> DataFrame:
     classes = named.join(least, "label").select("fp", "component_id", "prints", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     out = prints.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(classes, ["fp", "salt"])
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", F.col("prints").alias("prints_in_component"))
+
+
+def keep_one(docs: DataFrame, cap: int = CAP) -> DataFrame:
+    """The documents with their columns, one of each component: that of the smallest (doc_id, content); a null doc_id comes last.
+
+    Rows are named by (doc_id, hash of all columns); of equal rows one stays.
+    """
+    names = docs.columns
+    rows = docs.withColumn("_row", F.xxhash64(*names)).withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)))
+    prints = materialise(rows.select("_id", "_row", "text").mapInArrow(_named_prints, "_id long, _row long, fp long"), "prints")
+    reps = materialise(prints.groupBy("fp").agg(F.min(F.struct("_id", "_row")).alias("least")), "reps")
+    label = components(links(reps.select("fp"), cap))
+    named = reps.join(label, reps.fp == label.node, "left").select("least", F.coalesce("label", "fp").alias("label"))
+    kept = materialise(named.groupBy("label").agg(F.min("least").alias("least")).select("least.*"), "kept")
+    # The texts move once: the rows of a key stay together for the removal of equal ones.
+    return rows.join(kept, ["_id", "_row"], "left_semi").dropDuplicates(["_id", "_row"]).select(*names)
+
+
+def _named_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        fp = np.array([fingerprint(hashes(t or "")) for t in batch.column(2).to_pylist()], np.uint64).view(np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fp, pa.int64())], names=["_id", "_row", "fp"])
