@@ -8,6 +8,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 BODY_MAX = 4000
 SLUG_MAX = 40
@@ -16,13 +17,13 @@ TAIL = 200
 CUT_ENDINGS = ("…", "...", "‥", "···")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unescape(text: pd.Series) -> pd.Series:
     """Character references by HTML's rules; the one step of strip_html that has no built-in form."""
     return text.map(html.unescape, na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfc(text: pd.Series) -> pd.Series:
     return text.map(lambda s: unicodedata.normalize("NFC", s), na_action="ignore")
 

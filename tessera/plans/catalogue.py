@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from tessera.plans import identity  # noqa: F401
+from tessera.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -9,7 +9,7 @@ from tessera.session import table
 from tessera.vocab import RELEASE_TYPES, TECH_DOMAINS
 
 TODAY = "2024-01-31"
-ALIASES = {"OpenAI": ["오픈AI", "open ai inc"], "The": ["thea", "thand"], "Anthem": ["In", "ander"], "Other": ["Er", "inther"], "Second": ["The"]}
+ALIASES = {"OpenAI": ["오픈AI", "open ai inc"], "The": ["thea", "thand"], "Anthem": ["In", "ander"], "Other": ["Er", "inther"], "Second": ["The"], "Andco": ["and", "of", "is", "er", "a", "un", "le", "de", "die"]}
 PRICES = [("alpha-", 5.0, 25.0), ("beta", 1.0, 2.0), ("alpha", 9.0, 9.0)]
 MODELS = ("alpha-2", "beta-1", "gamma-7")
 
