@@ -101,10 +101,10 @@ def feed_depth_hours(spark, sf):
 
 @query(f"""
 WITH {RAW_ITEMS}
-SELECT source_name, max(published_at) AS newest, CAST(date '{TODAY}' - max(published_at) AS BIGINT) AS age_days FROM raw_items
-WHERE published_at <= date '{TODAY}' + 1 GROUP BY 1 HAVING date '{TODAY}' - max(published_at) > 0""")
+SELECT source_name, max(published_at) AS newest, CAST(date '2024-02-03' - max(published_at) AS BIGINT) AS age_days FROM raw_items
+WHERE published_at <= date '2024-02-03' + 1 GROUP BY 1 HAVING date '2024-02-03' - max(published_at) > CASE WHEN length(source_name) > 4 THEN 5 ELSE 2 END""", text="newest")
 def silent_sources(spark, sf):
-    return feeds.silence(raw_items(spark, sf), ["source_name"], "published_at", F.lit(TODAY).cast("date"), F.lit(0))
+    return feeds.silence(raw_items(spark, sf), ["source_name"], "published_at", F.lit("2024-02-03").cast("date"), F.when(F.length("source_name") > 4, 5).otherwise(2))
 
 
 #: Spellings: the first word of a turn, with a bracketed second name on some rows.
