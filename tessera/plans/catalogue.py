@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from tessera.plans import flow, identity  # noqa: F401
+from tessera.plans import evals, flow, identity  # noqa: F401
 from tessera.plans.registry import ORACLES, QUERIES  # noqa: F401
