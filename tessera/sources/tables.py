@@ -91,7 +91,7 @@ class KeyedTable:
 
 def write_export(records: DataFrame, counts: DataFrame, path: str, export_id: str, version: str, order: str = "doc_id") -> None:
     """JSON lines in a folder a source (none for a source without records) and a one-row manifest (S-21). Sorted, so that two exports of one store hold the same lines."""
-    records.repartition("source").sortWithinPartitions("source", order).write.mode("overwrite").partitionBy("source").json(f"{path}/records")
+    records.repartitionByRange("source", order).sortWithinPartitions("source", order).write.mode("overwrite").partitionBy("source").json(f"{path}/records")
     blocks = counts.groupBy().agg(F.array_sort(F.collect_list(F.struct("block", "value", "n"))).alias("counts"))  # as many rows as vocabulary values and sources
     blocks.select(F.lit(version).alias("contract_version"), F.lit(export_id).alias("export_id"), "counts").coalesce(1).write.mode("overwrite").json(f"{path}/manifest")
 
