@@ -31,6 +31,11 @@ def materialise(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def whole(df: DataFrame) -> Column:
+    """All columns of df as one struct, so that helper columns beside it clash with none of them; select("doc.*") gives them back."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialise, prefix_sums, words
+from tessera.llm.common import materialise, prefix_sums, whole, words
 
 WEIGHTS = (5, 2, 1)
 CEILING = 3
@@ -60,9 +60,14 @@ def position(demand: Column, target: Column, rising: Column) -> Column:
     return F.round(2 * y / (s + F.sqrt(F.greatest(F.lit(0.0), s * s + 4 * (1 - s) * y))), 6)
 
 
+def draw(doc_id: Column, text: Column) -> Column:
+    """Random but fixed place of a document in its source's order."""
+    return F.sha2(F.concat_ws("|", F.coalesce(doc_id.cast("long").cast("string"), F.lit("")), F.sha2(F.coalesce(text, F.lit("")), 256)), 256)
+
+
 def taken(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, taken, position (of the first copy), rank and before (words ahead of it)."""
-    sized = materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", words(F.col("text")).alias("size"), F.sha2(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.sha2(F.coalesce("text", F.lit("")), 256)), 256).alias("draw")), "sizes")
+    sized = materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", words(F.col("text")).alias("size"), draw(F.col("doc_id"), F.col("text")).alias("draw")), "sizes")
     goals = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")))
     dealt = sized.withColumn("_bucket", F.conv(F.substring("draw", 1, 2), 16, 10).cast("int"))
     ahead = prefix_sums(dealt, ["source"], "_bucket", ["draw"], F.col("size"), "before")
@@ -75,14 +80,13 @@ def taken(docs: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame) -> DataFrame:
     """The documents in training order, with all their columns: a row for each copy that the mix takes by half or more."""
-    key = F.sha2(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.sha2(F.coalesce("text", F.lit("")), 256)), 256)
     chosen = taken(docs).where("taken > 0")
     copies = chosen.select("draw", "source", F.explode(F.expr(f"filter(transform(sequence(0, {CEILING - 1}), k -> struct(k AS copy, k * source_size + before AS at)), x -> x.at + size / 2.0 <= round(target))")).alias("x"), "target", "rank")
     at = position(F.col("x.at").cast("double"), F.col("target"), F.col("rank") % 2 == 0)
-    placed = copies.groupBy("draw", F.col("source").alias("_source")).agg(F.array_sort(F.collect_set(at)).alias("times"))
-    named = docs.withColumn("_draw", key)
-    out = named.join(placed, (named._draw == placed.draw) & named.source.eqNullSafe(placed._source)).withColumn("_time", F.explode("times"))
-    return out.repartitionByRange("_time", "_draw").sortWithinPartitions("_time", "_draw").select(*docs.columns)
+    placed = copies.groupBy("draw", "source").agg(F.array_sort(F.collect_set(at)).alias("times"))
+    named = docs.select(whole(docs).alias("doc")).select("doc", draw(F.col("doc.doc_id"), F.col("doc.text")).alias("name"))
+    out = named.join(placed, (F.col("name") == F.col("draw")) & F.col("doc.source").eqNullSafe(F.col("source"))).select("doc", "name", F.explode("times").alias("time"))
+    return out.repartitionByRange("time", "name").sortWithinPartitions("time", "name").select("doc.*")
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialise
+from tessera.llm.common import materialise, whole
 
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 #: Kinds in their order, each with its pattern, the group that is the value, and the value's least length.
@@ -67,8 +67,8 @@ def ownership(spans: DataFrame) -> DataFrame:
     return held.groupBy("hash").agg(F.sum("n").alias("repos"), F.count(F.lit(1)).alias("owners"))
 
 
-def _key(text: Column) -> Column:
-    return F.sha2(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.sha2(text, 256)), 256)
+def _key(text: Column, doc_id: Column) -> Column:
+    return F.sha2(F.concat_ws("|", F.coalesce(doc_id.cast("string"), F.lit("")), F.sha2(text, 256)), 256)
 
 
 def _text() -> Column:
@@ -79,7 +79,7 @@ def scan(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, live, examples."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("owner"), _text().alias("text"))
     rows = rows.select("doc_id", "owner", "text", found(F.col("text")).alias("found"))
-    rows = materialise(rows.select("doc_id", "owner", F.when(F.size("found") > 0, _key(F.col("text"))).alias("key"), "found"), "spans")
+    rows = materialise(rows.select("doc_id", "owner", F.when(F.size("found") > 0, _key(F.col("text"), F.col("doc_id"))).alias("key"), "found"), "spans")
     some = rows.where("size(found) > 0")
     each = some.select("key", "owner", F.coalesce("doc_id", F.lit(-1)).alias("repo"), F.explode("found").alias("x")).select("key", "owner", "repo", "x.*")
     counts = ownership(each.select("hash", "repo", "owner"))
@@ -107,17 +107,17 @@ def _masked(text: Column, spans: Column) -> Column:
 
 def redact(docs: DataFrame) -> DataFrame:
     """The documents with their columns; base spans and opaque tokens of few owners are masked, n_chars follows the text."""
-    names = docs.columns
-    all_found = docs.select(*names, found(_text()).alias("_found"))
-    plain = all_found.where("not exists(_found, x -> x.kind = 3)").withColumn("_all", F.col("_found"))
-    rare = all_found.where("exists(_found, x -> x.kind = 3)")
-    each = rare.select(F.coalesce(F.col("source").cast("string"), F.lit("")).alias("owner"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("repo"), _key(_text()).alias("_k"), F.explode(F.filter("_found", lambda x: x.kind == 3)).alias("x")).select("owner", "repo", "_k", "x.hash")
+    text, doc_id, source = F.coalesce("doc.text", F.lit("")), F.col("doc.doc_id"), F.col("doc.source")
+    rows = docs.select(whole(docs).alias("doc")).select("doc", found(text).alias("found"))
+    plain = rows.where("not exists(found, x -> x.kind = 3)").select("doc", F.col("found").alias("spans"))
+    rare = rows.where("exists(found, x -> x.kind = 3)").select("doc", "found", _key(text, doc_id).alias("key"))
+    each = rare.select(F.coalesce(source.cast("string"), F.lit("")).alias("owner"), F.coalesce(doc_id.cast("long"), F.lit(-1)).alias("repo"), "key", F.explode(F.filter("found", lambda x: x.kind == 3)).alias("x")).select("owner", "repo", "key", "x.hash")
     each = materialise(each, "opaque")
     few = ownership(each.select("hash", "repo", "owner")).where(F.col("owners") <= OWNERS).select("hash")
-    live = each.select("_k", "hash").distinct().join(few, "hash").groupBy("_k").agg(F.collect_set("hash").alias("_live"))
-    known = rare.withColumn("_key", _key(_text())).join(live, F.col("_key") == F.col("_k"), "left")
-    known = known.withColumn("_all", F.expr("filter(_found, x -> x.kind < 3 or array_contains(coalesce(_live, array()), x.hash))"))
-    rows = plain.select(*names, "_all").unionByName(known.select(*names, "_all"))
-    masked = F.when(F.size("_all") > 0, _masked(F.col("text"), F.col("_all"))).otherwise(F.col("text"))
-    out = rows.select(*[masked.alias("text") if n == "text" else F.col(n) for n in names])
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out
+    live = each.select("key", "hash").distinct().join(few, "hash").groupBy("key").agg(F.collect_set("hash").alias("live"))
+    known = rare.join(live, "key", "left").select("doc", F.expr("filter(found, x -> x.kind < 3 or array_contains(coalesce(live, array()), x.hash))").alias("spans"))
+    masked = F.when(F.size("spans") > 0, _masked(F.col("doc.text"), F.col("spans"))).otherwise(F.col("doc.text"))
+    out = plain.unionByName(known).select("doc", masked.alias("text")).withColumn("doc", F.col("doc").withField("text", F.col("text")))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("doc", F.col("doc").withField("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)))
+    return out.select("doc.*")

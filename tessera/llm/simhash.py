@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialise
+from tessera.llm.common import materialise, whole
 from tessera.llm.components import components
 
 DISTANCE = 2
@@ -204,7 +204,8 @@ def links(reps: DataFrame, cap: int = CAP) -> DataFrame:
         key = F.col("fp").bitwiseAND(F.lit(mask(bits)))
         probes.append(F.array(F.struct(F.lit(k).alias("part"), key.alias("key"), F.lit(0).alias("probe"))))
         if t == 1:
-            probes.append(F.transform(F.array(*[F.lit(x).cast("long") for x in flips(bits)]), lambda x, k=k, key=key: F.struct(F.lit(k).alias("part"), key.bitwiseXOR(x).alias("key"), F.lit(1).alias("probe"))))
+            flipped = [F.struct(F.lit(k).alias("part"), key.bitwiseXOR(F.lit(x)).alias("key"), F.lit(1).alias("probe")) for x in flips(bits)]
+            probes.append(F.array(*flipped))
     keys = reps.select("fp", F.explode(F.concat(*probes)).alias("x")).select("fp", "x.*")
     sizes = keys.groupBy("part", "key").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.expr("probe = 0")).alias("bases")).where("n > 1 and bases > 0")
     sizes = materialise(sizes, "sizes")
@@ -233,15 +234,14 @@ def keep_one(docs: DataFrame, cap: int = CAP) -> DataFrame:
 
     Rows are named by (doc_id, hash of all columns); of equal rows one stays.
     """
-    names = docs.columns
-    rows = docs.withColumn("_row", F.xxhash64(*names)).withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)))
-    prints = materialise(rows.select("_id", "_row", "text").mapInArrow(_named_prints, "_id long, _row long, fp long"), "prints")
+    rows = docs.select(whole(docs).alias("doc")).select("doc", F.xxhash64("doc").alias("_row"), F.coalesce(F.col("doc.doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("_id"))
+    prints = materialise(rows.select("_id", "_row", "doc.text").mapInArrow(_named_prints, "_id long, _row long, fp long"), "prints")
     reps = materialise(prints.groupBy("fp").agg(F.min(F.struct("_id", "_row")).alias("least")), "reps")
     label = components(links(reps.select("fp"), cap))
     named = reps.join(label, reps.fp == label.node, "left").select("least", F.coalesce("label", "fp").alias("label"))
     kept = materialise(named.groupBy("label").agg(F.min("least").alias("least")).select("least.*"), "kept")
     # The texts move once: the rows of a key stay together for the removal of equal ones.
-    return rows.join(kept, ["_id", "_row"], "left_semi").dropDuplicates(["_id", "_row"]).select(*names)
+    return rows.join(kept, ["_id", "_row"], "left_semi").dropDuplicates(["_id", "_row"]).select("doc.*")
 
 
 def _named_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

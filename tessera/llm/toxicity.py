@@ -28,8 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tessera.llm.common import materialise
+from tessera.llm.common import materialise, whole
 
 WORD = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 20
@@ -175,7 +176,5 @@ def scores(docs: DataFrame, machine: Machine) -> DataFrame:
 
 def keep_clean(docs: DataFrame, machine: Machine) -> DataFrame:
     """The documents that are not predicted toxic, with all their columns; one pass, nothing is joined."""
-    names = docs.columns
-    rest = docs.select(*names, F.col("text").alias("_text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", score double"
-    return rest.mapInArrow(_score(machine), schema).where(F.col("score") < THRESHOLD).select(*names)
+    rest = docs.select(whole(docs).alias("doc")).select("doc", "doc.text")
+    return rest.mapInArrow(_score(machine), StructType([rest.schema["doc"], StructField("score", DoubleType())])).where(F.col("score") < THRESHOLD).select("doc.*")
