@@ -3,8 +3,9 @@
 Every document's ids are cut into full windows and one remainder. The
 remainders are routed to context-size tiers by length and packed long tiers
 first, each gap taking the longest pieces of shorter tiers that fit. Where a
-window stays badly filled, its leading piece is cut at its tier's size (a power
-of two, which needs no padding) and the tail fills a gap elsewhere.
+window stays badly filled, its longest piece is cut at its tier's size (a power
+of two, a sequence that needs no padding) and the tail fills a gap elsewhere; so
+again, until little padding is left.
 
 The plan works on the histogram of remainder lengths, at most WINDOW numbers
 whatever the corpus, so the driver holds no documents. Documents get their
@@ -60,38 +61,62 @@ def fill(counts: dict[int, int], window: int = WINDOW) -> list[tuple[int, list[t
     return [(n, content) for g in sorted(gaps) for n, content in gaps[g]]
 
 
+def halves(length: int) -> list[tuple[int, int]]:
+    """(start, size) of the heads that may be cut from a remainder one after another: the powers of two in length, down to LEAST_TIER."""
+    out, start = [], 0
+    while length - start >= LEAST_TIER:
+        out.append((start, tier(length - start)))
+        start += out[-1][1]
+    return out
+
+
 def plan(hist: dict[int, int], window: int = WINDOW) -> tuple[list[tuple], int]:
-    """hist: remainders by length. Gives the rows (length, lo, hi, kind, cut, q, base, copies, offset, size) and the number of sequences.
+    """hist: remainders by length. Gives the rows (rest, lo, hi, head, depth, start, size, q, base, copies, at) and the number of sequences.
 
-    A remainder of that length and rank in [lo, hi) has a piece (kind 0 whole, 1 head, 2 tail) of that size in
-    sequence base + (rank + q) div copies, at offset + ((rank + q) mod copies) * size; cut: where the head ends.
+    A remainder of length rest and rank in [lo, hi) has a piece of that start and size, its head number head, or at 0 what is left
+    after depth heads; the piece is in sequence base + (rank + q) div copies, at offset at + ((rank + q) mod copies) * size.
     """
-    cuts: Counter[int] = Counter()
+    cut = {k: [(0, 0), *((start + size, i + 1) for i, (start, size) in enumerate(halves(k)))] for k in hist}  # start of the tail at each depth
+    depths = {k: [n, *[0] * (len(cut[k]) - 1)] for k, n in hist.items()}  # remainders by depth
     total = sum(k * n for k, n in hist.items())
-    for turn in range(9):
-        whole = {k: n - cuts[k] for k, n in hist.items() if n > cuts[k]}
-        tails: Counter[int] = Counter()
-        for k, n in cuts.items():
-            if k - tier(k):
-                tails[k - tier(k)] += n
-        groups = fill(dict(Counter(whole) + tails), window)
+    while True:
+        sizes: Counter[int] = Counter()
+        members = defaultdict(list)
+        for k, ns in depths.items():
+            for c, n in enumerate(ns):
+                size = k - cut[k][c][0]
+                if n and size:
+                    sizes[size] += n
+                    members[size].append((k, c))
+        groups = fill(dict(sizes), window)
         wasted = [(window - sum(a * b for a, b in c), n, c) for n, c in groups]
-        if turn == 8 or sum(g * n for g, n, _ in wasted) <= PADDING * total:
+        wasted = [(g, n, c) for g, n, c in wasted if (window - g) & (window - g - 1)]  # a power of two needs no padding
+        if sum(g * n for g, n, _ in wasted) <= PADDING * total:
             break
-        before = cuts.copy()
+        moved = 0
         for gap, n, content in wasted:
-            first = next((k for k, _ in content if k >= LEAST_TIER and whole.get(k, 0) > cuts[k] - before[k]), None)
-            if gap > LEAST_TIER and first:
-                cuts[first] += min(n, whole[first] - (cuts[first] - before[first]))
-        if cuts == before:
+            size = max((k for k, _ in content if k >= LEAST_TIER), default=0)
+            if gap <= PADDING * window or not size:
+                continue
+            for k, c in members[size]:
+                m = min(n, depths[k][c])
+                depths[k][c] -= m
+                depths[k][c + 1] += m
+                n, moved = n - m, moved + m
+        if not moved:
             break
     rows: list[tuple] = []
     seq = 0
-    for k in sorted((k for k in cuts if cuts[k]), key=lambda k: (-tier(k), -k)):  # heads: one sequence each
-        lo = hist[k] - cuts[k]
-        rows.append((k, lo, hist[k], 1, tier(k), -lo, seq, 1, 0, tier(k)))
-        seq += cuts[k]
-    spans = defaultdict(list)  # of class ranks by length: (from, to, base, copies, offset)
+    places = []  # (tier, rest, first rank, number, depth, head number, start) of the heads, each a sequence
+    for k, ns in depths.items():
+        rank = 0
+        for c, n in enumerate(ns):
+            places += [(size, k, rank, n, c, i + 1, start) for i, (start, size) in enumerate(halves(k)[:c]) if n]
+            rank += n
+    for size, k, rank, n, c, head, start in sorted(places, key=lambda p: (-p[0], -p[1], *p[2:])):
+        rows.append((k, rank, rank + n, head, c, start, size, -rank, seq, 1, 0))
+        seq += n
+    spans = defaultdict(list)  # of class ranks by size: (from, to, base, copies, offset)
     used: Counter[int] = Counter()
     for n, content in sorted(groups, key=lambda g: (len(g[1]), g[1])):
         offset = 0
@@ -101,40 +126,39 @@ def plan(hist: dict[int, int], window: int = WINDOW) -> tuple[list[tuple], int]:
             offset += size * copies
         seq += n
     for size, found in spans.items():
-        kinds = [(size, 0, hist.get(size, 0) - cuts[size], 0, 0)]  # (length, first class rank, number, first rank, kind)
-        at = hist.get(size, 0) - cuts[size]
-        for k in sorted(cuts):
-            if cuts[k] and k - tier(k) == size:
-                kinds.append((k, at, cuts[k], hist[k] - cuts[k], 2))
-                at += cuts[k]
-        for a, b, base, copies, offset in found:
-            for k, start, n, rank, kind in kinds:
-                lo, hi = max(a, start), min(b, start + n)
-                if lo < hi:  # class rank = rank of the document - rank + start
-                    rows.append((k, lo - start + rank, hi - start + rank, kind, tier(k) if kind else 0, start - rank - a, base, copies, offset, size))
+        at = 0  # class ranks run over the members of the class in order
+        for k, c in sorted(members[size]):
+            n, rank = depths[k][c], sum(depths[k][:c])
+            for a, b, base, copies, offset in found:
+                lo, hi = max(a, at), min(b, at + n)
+                if lo < hi:  # class rank = rank of the remainder - rank + at
+                    rows.append((k, lo - at + rank, hi - at + rank, 0, c, cut[k][c][0], size, at - rank - a, base, copies, offset))
+            at += n
     return rows, seq
 
 
+PIECES = "doc_id long, doc_tokens long, crcs array<long>, rest int, heads array<long>, tails array<long>"
+
+
 def pieces_of(path: str):
-    """Tokenise: per document the checksums of its full windows, its remainder, and of the remainder's head and tail."""
+    """Tokenise: per document the checksums of its full windows, and of its remainder's heads and of what is left after each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokens.coder(path)
         for batch in batches:
-            ids, n, crcs, rest, whole, head, tail = batch.column(0), [], [], [], [], [], []
+            ids, n, crcs, rest, heads, tails = batch.column(0), [], [], [], [], []
             for b in coder.encode([t or "" for t in batch.column(1).to_pylist()]):
                 wide = np.append(np.frombuffer(b, "<u2").astype("<u4"), np.uint32(END_ID)).astype("<u4")
                 raw = memoryview(wide.tobytes())
                 full, left = divmod(len(wide), WINDOW)
-                at = full * WINDOW * 4
-                cut = at + 4 * tier(left) if left else at
                 n.append(len(wide))
                 rest.append(left)
                 crcs.append([zlib.crc32(raw[k * WINDOW * 4 : (k + 1) * WINDOW * 4]) for k in range(full)])
-                whole.append(zlib.crc32(raw[at:]))
-                head.append(zlib.crc32(raw[at:cut]))
-                tail.append(zlib.crc32(raw[cut:]))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(crcs, pa.list_(pa.int64())), pa.array(rest, pa.int32()), *(pa.array(x, pa.int64()) for x in (whole, head, tail))], names=["doc_id", "doc_tokens", "crcs", "rest", "whole", "head", "tail"])
+                last, cuts = raw[full * WINDOW * 4 :], halves(left)
+                heads.append([zlib.crc32(last[4 * a : 4 * (a + z)]) for a, z in cuts])
+                tails.append([zlib.crc32(last[4 * a :]) for a in (0, *(a + z for a, z in cuts))])
+            lists = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(crcs, lists), pa.array(rest, pa.int32()), pa.array(heads, lists), pa.array(tails, lists)], names=["doc_id", "doc_tokens", "crcs", "rest", "heads", "tails"])
 
     return run
 
@@ -145,25 +169,25 @@ def pack(docs: DataFrame, path: str | None = None, step: int = 256) -> DataFrame
     step: sequences of a step group; groups take equally from every tier.
     """
     spark = docs.sparkSession
-    cut = materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(pieces_of(path or tokens.default_path()), "doc_id long, doc_tokens long, crcs array<long>, rest int, whole long, head long, tail long"), "pieces")
+    cut = materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(pieces_of(path or tokens.default_path()), PIECES), "pieces")
     hist = {r[0]: r[1] for r in cut.where("rest > 0").groupBy("rest").count().collect()}  # at most WINDOW - 1 rows
     full = cut.agg(F.sum(F.size("crcs"))).first()[0] or 0
     rows, seqs = plan(hist)
     steps = max(1, -(-(full + seqs) // step))
-    table = spark.createDataFrame(rows or [(0,) * 10], "rest int, lo long, hi long, kind int, cut int, q long, base long, copies long, at long, size int")
-    dealt = cut.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "whole"), F.lit(4 * partitions(spark))))
-    order = ["doc_id", "whole", "doc_tokens"]
+    # As many rows as the histogram's plan has, a few for each length, so the broadcast has a fixed bound.
+    table = spark.createDataFrame(rows or [(0,) * 11], "rest int, lo long, hi long, head int, depth int, begin int, size int, q long, base long, copies long, at long")
+    dealt = cut.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "tails"), F.lit(4 * partitions(spark))))
+    order = ["doc_id", "tails", "doc_tokens"]
     ranked = prefix_sums(dealt, [], "_bucket", order, F.size("crcs").cast("long"), "_first")
     ranked = prefix_sums(ranked, ["rest"], "_bucket", order, F.lit(0), "_zero", rank="_rank")
     placed = ranked.alias("d").join(F.broadcast(table).alias("p"), (F.col("d.rest") == F.col("p.rest")) & (F.col("_rank") >= F.col("lo")) & (F.col("_rank") < F.col("hi")), "left")
     q = F.col("_rank") + F.col("q")
-    begin = (F.size("crcs") * WINDOW).cast("long")
     piece = F.struct(
-        F.when(F.col("kind") == 2, begin + F.col("cut")).otherwise(begin).alias("start"), F.col("size").cast("long").alias("length"),
-        F.expr("CASE kind WHEN 0 THEN whole WHEN 1 THEN head ELSE tail END").alias("ids_crc32"),
+        (F.size("crcs") * WINDOW + F.col("begin")).cast("long").alias("start"), F.col("size").cast("long").alias("length"),
+        F.when(F.col("head") > 0, F.try_element_at("heads", F.col("head"))).otherwise(F.try_element_at("tails", F.col("depth") + 1)).alias("ids_crc32"),
         (full + F.col("base") + F.floor(q / F.col("copies"))).cast("long").alias("sequence_id"), (F.col("at") + q % F.col("copies") * F.col("size")).cast("long").alias("offset"))
     windows = F.transform("crcs", lambda c, i: F.struct((i * WINDOW).cast("long").alias("start"), F.lit(WINDOW).cast("long").alias("length"), c.alias("ids_crc32"), (F.col("_first") + i).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset")))
     none = F.slice(windows, 1, 0)
-    every = F.concat(F.when(F.coalesce(F.col("kind"), F.lit(0)) < 2, windows).otherwise(none), F.when(F.col("kind").isNotNull(), F.array(piece)).otherwise(none))
+    every = F.concat(F.when(F.col("depth").isNull() | (F.col("depth") == 0) | (F.col("head") == 1), windows).otherwise(none), F.when(F.col("depth").isNotNull(), F.array(piece)).otherwise(none))
     out = placed.select("doc_id", "doc_tokens", F.explode(every).alias("x"))
     return out.select("doc_id", "x.start", "x.length", "x.ids_crc32", "doc_tokens", "x.sequence_id", "x.offset", F.pmod("x.sequence_id", F.lit(steps)).cast("long").alias("step_group"))
