@@ -40,6 +40,9 @@ SHINGLE = 3
 SEED = 42
 CAP = 2048
 SALTS = 16
+#: For near copies: words of a shingle, and bits by which their fingerprints differ at most.
+NEAR_SHINGLE, NEAR = 2, 8
+DENSE = 4
 
 
 def hashes(text: str, shingle: int = SHINGLE) -> np.ndarray:
@@ -126,13 +129,13 @@ def allocate(costs: list[dict[int, float]], distance: int = DISTANCE) -> tuple[f
     return best[distance - len(costs) + 1]
 
 
-def plan(reps: DataFrame) -> list[tuple[list[int], int]]:
+def plan(reps: DataFrame, distance: int = DISTANCE) -> list[tuple[list[int], int]]:
     """Parts and thresholds for these distinct fingerprints."""
     gram = np.zeros(64 * 64)
     for r in reps.select("fp").mapInArrow(_gram, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():  # 4096 rows at most
         gram[r["at"]] = r["n"]
     n, gram = reps.count(), gram.reshape(64, 64)
-    choices = [group_bits(gram, n, m) for m in (1, 2, 3)]
+    choices = [group_bits(gram, n, m) for m in range(max(1, -(-(distance + 1) // 3)), distance + 2 if distance < 6 else 7)]  # each threshold is 2 at most
     flat = [(m, k, bits) for m, parts in enumerate(choices) for k, bits in enumerate(parts) if len(parts) > 1]
     keyed = reps.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col("fp").bitwiseAND(F.lit(mask(bits))).alias("key")) for i, (_, _, bits) in enumerate(flat)])).alias("x")).select("x.*")
     pairs = {r["i"]: r["n"] for r in keyed.groupBy("i", "key").count().groupBy("i").agg(F.sum((F.col("count") * (F.col("count") - 1) / 2).cast("double")).alias("n")).collect()}  # a row a part
@@ -140,14 +143,14 @@ def plan(reps: DataFrame) -> list[tuple[list[int], int]]:
     for m, parts in enumerate(choices):
         costs = []
         for k, bits in enumerate(parts):
-            d = within(p[bits], DISTANCE)
+            d = within(p[bits], 2)
             same = next((pairs.get(i, 0.0) for i, (a, b, _) in enumerate(flat) if (a, b) == (m, k)), 0.0)
             cost = {-1: 0.0, 0: n + same}
             cost[1] = (2 + len(bits)) * n + same * (d[0] + d[1]) / d[0]
-            # At threshold 2 all 64 bits are one part: both sides emit their one-bit neighbours, see stars().
-            cost[2] = (1 + len(bits)) * n if len(bits) == 64 else float("inf")
+            # At threshold 2 both sides emit their one-bit neighbours; if all bits are one part, no false candidate remains, see stars().
+            cost[2] = (1 + len(bits)) * n + (0 if len(bits) == 64 else same * d.sum() / d[0])
             costs.append(cost)
-        got = allocate(costs)
+        got = allocate(costs, distance)
         if best is None or got[0] < best[0]:
             best = (got[0], parts, got[1])
     return [(bits, t) for bits, t in zip(best[1], best[2]) if t >= 0]
@@ -169,51 +172,79 @@ def stars(fps: DataFrame) -> DataFrame:
     return groups.select(F.explode("fps").alias("a"), F.array_min("fps").alias("b")).where("a <> b").distinct()
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of (base fingerprints, probing ones): links within DISTANCE, as stars of the linked sets of each row."""
-    for batch in batches:
-        edges: list[tuple[int, int]] = []
-        for base, probe in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            b = np.array(base, np.int64).view(np.uint64)
-            q = np.unique(np.array(base + (probe or []), np.int64).view(np.uint64))
-            root = {x: x for x in q.tolist()}
-
-            def top(x: int) -> int:
-                while root[x] != x:
-                    root[x] = x = root[root[x]]
-                return x
-
-            for at in range(0, len(q), 512):
-                i, j = np.nonzero(np.bitwise_count(q[at : at + 512, None] ^ b[None]) <= DISTANCE)
-                for x, y in zip(q[at + i].tolist(), b[j].tolist()):
-                    x, y = top(x), top(y)
-                    if x != y:
-                        root[max(x, y)] = min(x, y)
-            edges += [(x, top(x)) for x in root if top(x) != x]
-        a = np.array(edges, np.uint64).reshape(-1, 2).view(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(a[:, 0], pa.int64()), pa.array(a[:, 1], pa.int64())], names=["a", "b"])
-
-
-def links(reps: DataFrame, cap: int = CAP) -> DataFrame:
-    """Edges (a, b) that connect just the distinct fingerprints within DISTANCE bits, directly or over others."""
-    found = plan(reps)
-    if any(t > 1 for _, t in found):
+def _verify(distance: int, direct: bool):
+    """Rows of (base fingerprints, probing ones) to links within distance: a star of each linked set of a row.
+
+    direct: for a later check of the links themselves, all links of a row if there are at most DENSE times as many as fingerprints,
+    else also each one's nearest and smallest; so what leaves a row stays in proportion to its fingerprints.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            edges: set[tuple[int, int]] = set()
+            for base, probe in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                b = np.unique(np.array(base, np.int64).view(np.uint64))
+                q = np.unique(np.array(base + (probe or []), np.int64).view(np.uint64))
+                root: dict[int, int] = {}
+                every: list[tuple[int, int]] = []
+                picked: list[tuple[int, int]] = []
+
+                def top(x: int) -> int:
+                    while root.get(x, x) != x:
+                        root[x] = x = root.get(root[x], root[x])
+                    return x
+
+                for at in range(0, len(q), 512):
+                    gap = np.bitwise_count(q[at : at + 512, None] ^ b[None])
+                    gap[q[at : at + 512, None] == b[None]] = 255
+                    i, j = np.nonzero(gap <= distance)
+                    for x, y in zip(q[at + i].tolist(), b[j].tolist()):
+                        if direct and len(every) <= DENSE * len(q):
+                            every.append((x, y))
+                        x, y = top(x), top(y)
+                        if x != y:
+                            root[max(x, y)] = min(x, y)
+                    if direct and len(i):
+                        some = np.unique(i)
+                        picked += zip(q[at + some].tolist(), b[gap[some].argmin(1)].tolist())
+                        picked += zip(q[at + some].tolist(), b[(gap[some] <= distance).argmax(1)].tolist())
+                edges.update((x, top(x)) for x in list(root) if top(x) != x)
+                edges.update((max(e), min(e)) for e in (every if len(every) <= DENSE * len(q) else picked))
+            a = np.array(sorted(edges), np.uint64).reshape(-1, 2).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(a[:, 0], pa.int64()), pa.array(a[:, 1], pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def links(reps: DataFrame, cap: int = CAP, distance: int = DISTANCE, direct: bool = False) -> DataFrame:
+    """Edges (a, b) that connect just the distinct fingerprints within distance bits, directly or over others."""
+    found = plan(reps, distance)
+    if any(t == 2 and len(bits) == 64 for bits, t in found):
         return stars(reps)
     probes = []
     for k, (bits, t) in enumerate(found):
         key = F.col("fp").bitwiseAND(F.lit(mask(bits)))
-        probes.append(F.array(F.struct(F.lit(k).alias("part"), key.alias("key"), F.lit(0).alias("probe"))))
-        if t == 1:
-            flipped = [F.struct(F.lit(k).alias("part"), key.bitwiseXOR(F.lit(x)).alias("key"), F.lit(1).alias("probe")) for x in flips(bits)]
-            probes.append(F.array(*flipped))
+        entry = lambda flip, probe, k=k, key=key: F.struct(F.lit(k).alias("part"), key.bitwiseXOR(F.lit(flip)).alias("key"), F.lit(probe).alias("probe"))
+        probes.append(F.array(entry(0, 0), *[entry(x, 0 if t == 2 else 1) for x in flips(bits)]) if t else F.array(entry(0, 0)))
     keys = reps.select("fp", F.explode(F.concat(*probes)).alias("x")).select("fp", "x.*")
     sizes = keys.groupBy("part", "key").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.expr("probe = 0")).alias("bases")).where("n > 1 and bases > 0")
     sizes = materialise(sizes, "sizes")
     near = keys.join(sizes.where(F.col("n") <= cap), ["part", "key"])
     rows = near.groupBy("part", "key").agg(F.collect_list(F.when(F.col("probe") == 0, F.col("fp"))).alias("base"), F.collect_list(F.when(F.col("probe") == 1, F.col("fp"))).alias("probes"))
-    edges = rows.select("base", "probes").mapInArrow(_verify, "a long, b long")
-    large = keys.join(sizes.where(F.col("n") > cap), ["part", "key"]).select("fp").distinct()
-    return edges.unionByName(stars(large))
+    edges = rows.select("base", "probes").mapInArrow(_verify(distance, direct), "a long, b long")
+    large = sizes.where(F.col("n") > cap)
+    if distance <= 2:
+        return edges.unionByName(stars(keys.join(large, ["part", "key"]).select("fp").distinct()))
+    return edges.unionByName(_block_links(keys.join(large.select("part", "key", F.ceil(F.col("n") * 2 / cap).cast("int").alias("blocks")), ["part", "key"]), distance, direct)).distinct()
+
+
+def _block_links(keys: DataFrame, distance: int, direct: bool) -> DataFrame:
+    """The same for buckets too large for one row: cut into blocks by hash, each pair of blocks verified in its own row."""
+    dealt = keys.withColumn("i", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+    blocks = dealt.groupBy("part", "key", "blocks", "i").agg(F.collect_list(F.when(F.col("probe") == 0, F.col("fp"))).alias("base"), F.collect_list(F.when(F.col("probe") == 1, F.col("fp"))).alias("probes"))
+    left = blocks.select("part", "key", "base", F.col("probes").alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"))
+    pairs = left.join(blocks.select("part", "key", "i", F.concat("base", "probes").alias("other")), ["part", "key", "i"])
+    return pairs.select("base", F.concat("own", "other").alias("probes")).mapInArrow(_verify(distance, direct), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, cap: int = CAP) -> DataFrame:
@@ -229,22 +260,69 @@ def near_duplicates(docs: DataFrame, cap: int = CAP) -> DataFrame:
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", F.col("prints").alias("prints_in_component"))
 
 
+def shingles(text: str, size: int = 5) -> np.ndarray:
+    """Distinct hashes of a text's shingles of size words."""
+    return np.unique(hashes(text, size))
+
+
+def _jaccard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            out.append(both / max(1, len(x) + len(y) - both))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())], names=["a", "b", "likeness"])
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(t or "").view(np.int64) for t in batch.column(1).to_pylist()], pa.list_(pa.int64()))], names=["node", "shingles"])
+
+
+def near_copies(texts: DataFrame, cap: int = CAP, distance: int = NEAR, likeness: float = 0.8) -> DataFrame:
+    """texts(node long, fp long, text) to verified links (a, b) of near copies: distinct sets of five-word shingles alike to likeness.
+
+    Candidates are within distance bits in fp, the SimHash of two-word shingles, which a few changed words move little. They come as
+    all links of a bucket where those are few, and as stars with each text's nearest and smallest neighbour in a large group, never as all its pairs; all
+    are verified by the whole shingle sets. A text of a dense group, none of whose chosen neighbours in any bucket is alike enough, can be
+    missed. Links of equal fingerprints run over the smallest node.
+    """
+    reps = materialise(texts.groupBy("fp").agg(F.min("node").alias("rep")), "reps")
+    near = links(reps.select("fp"), cap, distance, direct=True)
+    name = lambda c: reps.select(F.col("fp").alias(c), F.col("rep").alias(f"n{c}"))
+    pairs = near.join(name("a"), "a").join(name("b"), "b").select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b"))
+    same = texts.select("node", "fp").join(reps, "fp").where("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b"))
+    pairs = materialise(pairs.unionByName(same).distinct(), "pairs")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = materialise(texts.select("node", "text").join(nodes, "node", "left_semi").mapInArrow(_sets, "node long, shingles array<long>"), "shingles")
+    side = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb")
+    return both.mapInArrow(_jaccard, "a long, b long, likeness double").where(F.col("likeness") >= likeness)
+
+
 def keep_one(docs: DataFrame, cap: int = CAP) -> DataFrame:
-    """The documents with their columns, one of each component: that of the smallest (doc_id, content); a null doc_id comes last.
+    """The documents with their columns, one of each group of copies: that of the smallest (doc_id, content); a null doc_id comes last.
 
-    Rows are named by (doc_id, hash of all columns); of equal rows one stays.
+    First the components of near_duplicates(); then, of what stays, the near copies that near_copies() verifies.
+    Rows are named by doc_id and a hash of all columns; of equal rows one stays.
     """
     rows = docs.select(whole(docs).alias("doc")).select("doc", F.xxhash64("doc").alias("_row"), F.coalesce(F.col("doc.doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("_id"))
-    prints = materialise(rows.select("_id", "_row", "doc.text").mapInArrow(_named_prints, "_id long, _row long, fp long"), "prints")
-    reps = materialise(prints.groupBy("fp").agg(F.min(F.struct("_id", "_row")).alias("least")), "reps")
+    prints = materialise(rows.select("_id", "_row", "doc.text").mapInArrow(_named_prints, "_id long, _row long, fp long, near long"), "prints")
+    reps = materialise(prints.groupBy("fp").agg(F.min(F.struct("_id", "_row", "near")).alias("least")), "reps")
     label = components(links(reps.select("fp"), cap))
     named = reps.join(label, reps.fp == label.node, "left").select("least", F.coalesce("label", "fp").alias("label"))
     kept = materialise(named.groupBy("label").agg(F.min("least").alias("least")).select("least.*"), "kept")
     # The texts move once: the rows of a key stay together for the removal of equal ones.
-    return rows.join(kept, ["_id", "_row"], "left_semi").dropDuplicates(["_id", "_row"]).select("doc.*")
+    left = materialise(rows.join(kept, ["_id", "_row"]).dropDuplicates(["_id", "_row"]).select("doc", "_id", "_row", "near", F.xxhash64("_id", "_row").alias("node")), "left")
+    found = components(near_copies(left.select("node", F.col("near").alias("fp"), "doc.text"), cap).select("a", "b"))
+    ids = left.select("node", "_id", "_row").join(found, "node")
+    first = ids.groupBy("label").agg(F.min_by("node", F.struct("_id", "_row")).alias("first"))
+    gone = ids.join(first, "label").where("node <> first").select("node")
+    return left.join(gone, "node", "left_anti").select("doc.*")
 
 
 def _named_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        fp = np.array([fingerprint(hashes(t or "")) for t in batch.column(2).to_pylist()], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fp, pa.int64())], names=["_id", "_row", "fp"])
+        texts = [t or "" for t in batch.column(2).to_pylist()]
+        cols = [pa.array(np.array([fingerprint(hashes(t, k)) for t in texts], np.uint64).view(np.int64), pa.int64()) for k in (SHINGLE, NEAR_SHINGLE)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], names=["_id", "_row", "fp", "near"])

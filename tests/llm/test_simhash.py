@@ -73,7 +73,7 @@ def test_links_are_whole(spark, monkeypatch):
     assert same(components_of(spark, prints, 2))  # all buckets by one-bit neighbours
     for thresholds in ((0, 0, 0), (1, 0), (0, 1), (-1, 0, 1), (2,)):
         parts = S.group_bits(np.eye(64) * len(prints) / 2, len(prints), len(thresholds))
-        monkeypatch.setattr(S, "plan", lambda reps, parts=parts, ts=thresholds: [(b, t) for b, t in zip(parts, ts) if t >= 0])
+        monkeypatch.setattr(S, "plan", lambda reps, distance, parts=parts, ts=thresholds: [(b, t) for b, t in zip(parts, ts) if t >= 0])
         assert same(components_of(spark, prints, 2048)), thresholds
 
 
@@ -92,3 +92,49 @@ def test_components_of_a_long_chain(spark):
     edges = list(zip(nodes[:-1], nodes[1:])) + [(1000, 1001), (1001, 1000), (7, 7)]
     got = {r.node: r.label for r in S.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert {got[n] for n in nodes} == {0} and got[1001] == got[1000] == 1000
+
+
+def words(rnd, n):
+    return ["".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
+
+
+def alike(a, b):
+    x, y = (set(S.shingles(t).tolist()) for t in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_near_copies_go(spark):
+    rnd = random.Random(7)
+    docs = [words(rnd, rnd.randint(80, 200)) for _ in range(120)]
+    passage = words(rnd, 60)
+    texts = [" ".join(d) for d in docs] + [" ".join(words(rnd, 60) + passage + words(rnd, 60)) for _ in range(20)]
+    clean = len(texts)
+    for d in docs[:60]:
+        d = list(d)
+        d[rnd.randrange(len(d))] = "changed"
+        texts.append(" ".join(d))
+    texts += texts[:10]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r.doc_id for r in S.keep_one(df).collect()}
+    assert set(range(clean)) <= kept  # what only shares a passage stays
+    assert len([i for i in kept if i >= clean]) <= 3 and not any(i >= clean + 60 for i in kept)
+
+
+def test_near_links_are_verified_and_cover_brute_force(spark):
+    rnd = random.Random(8)
+    base = words(rnd, 150)
+    texts = []
+    for _ in range(120):  # one large group of near copies, and others about it
+        d = list(base)
+        for _ in range(rnd.randint(0, 3)):
+            d[rnd.randrange(len(d))] = "changed"
+        texts.append(" ".join(d))
+    texts = list(dict.fromkeys(texts + [" ".join(words(rnd, 150)) for _ in range(60)]))
+    prints = [int(np.array([S.fingerprint(S.hashes(t, 2))], np.uint64).view(np.int64)[0]) for t in texts]
+    df = spark.createDataFrame([(i, f, t) for i, (f, t) in enumerate(zip(prints, texts))], "node long, fp long, text string")
+    for cap in (2048, 8):
+        got = S.near_copies(df, cap).collect()
+        assert all(abs(alike(texts[r.a], texts[r.b]) - r.likeness) < 1e-9 for r in got)
+        label = {r.node: r.label for r in S.components(spark.createDataFrame([(r.a, r.b) for r in got], "a long, b long")).collect()}
+        near = [(i, j) for i in range(len(texts)) for j in range(i) if alike(texts[i], texts[j]) >= 0.8 and (prints[i] ^ prints[j]).bit_count() <= 8]
+        assert np.mean([label.get(i) == label.get(j) is not None for i, j in near]) > 0.99
