@@ -1,4 +1,4 @@
-"""The registered queries of the reference's operators, each with its DuckDB twin."""
+"""the registered queries, each with its DuckDB twin."""
 
 from __future__ import annotations
 

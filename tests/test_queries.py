@@ -1,4 +1,4 @@
-"""Every registered query of the reference's operators runs, and equals its DuckDB twin."""
+"""Every registered query outside the optional subpackage runs, and equals its DuckDB twin."""
 
 import os
 
