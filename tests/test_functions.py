@@ -139,3 +139,64 @@ def test_unknown_items_abort(spark):
     assert evals.select_items(golden, golden.limit(1)).count() == 1
     with pytest.raises(Exception, match="unknown items: z"):
         evals.select_items(golden, spark.createDataFrame([("z",)], "item_id string")).collect()
+
+
+def test_alert_streaks(spark):
+    """An evaluated run without the event closes a streak, an unevaluated one neither closes nor extends it."""
+    from tessera.operators import alerts
+
+    events = spark.createDataFrame([(r, "source_error", "s", None) for r in (1, 2, 4, 5, 8)] + [(5, "source_error", "s", None)], "run int, kind string, source string, slack double")
+    evaluated = spark.createDataFrame([(r, "source_error") for r in (1, 2, 4, 6, 8)], "run int, kind string")
+    got = [(r.run, r.consecutive, r.first_seen, r.severity, r.raised) for r in alerts.streaks(events, evaluated).orderBy("run").collect()]
+    assert got == [(1, 1, 1, "info", True), (2, 2, 1, "warning", True), (4, 3, 1, "critical", True), (5, 4, 1, "critical", False), (8, 1, 8, "info", True)]
+    assert alerts.open_after(alerts.streaks(events, evaluated), evaluated).count() == 1
+    assert [(r.last_seen, r.closed_by) for r in alerts.closed(alerts.streaks(events, evaluated), evaluated).collect()] == [(5, 6)]
+
+
+SEVERITY = [
+    ("preflight_mismatch", 1, None, "critical"), ("source_error", 1, 5.0, "info"), ("source_error", 2, 5.0, "warning"), ("source_error", 1, 0.0, "critical"), ("breaker", 1, 5.0, "warning"), ("breaker", 1, None, "warning"),
+    ("source_error", 2, None, "warning"), ("source_error", 3, None, "critical"), ("env_not_ready", 1, None, "warning"), ("env_not_ready", 2, None, "critical"), ("env_not_ready", 1, 9.0, "info"), ("not_drained", 1, None, "info"),
+    ("not_drained", 2, None, "warning"), ("evicted", 1, None, "warning"), ("lock_held", 9, None, "info"),
+]
+
+
+def test_severity(spark):
+    from tessera.operators import alerts
+
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(SEVERITY)], "i int, kind string, n int, slack double, want string")
+    bad = df.where(alerts.severity(F.col("kind"), F.col("n"), F.col("slack")) != F.col("want"))
+    assert bad.count() == 0
+
+
+def test_item_states(spark):
+    cases = [(True, True, None, None, "stored"), (True, False, None, None, "stored_outside_pipeline"), (False, False, None, None, "needs_gate"), (False, True, True, True, "quarantined"), (False, True, False, None, "needs_gate"), (False, True, False, True, "needs_extraction"), (False, True, False, False, "gate_skipped")]
+    df = spark.createDataFrame(cases, "s boolean, l boolean, q boolean, v boolean, want string")
+    assert df.where(flow.item_state(F.col("s"), F.col("l"), F.col("q"), F.col("v")) != F.col("want")).count() == 0
+
+
+def test_contract_mutations(spark):
+    """Each mutation of a clean export fails the one check it belongs to."""
+    store = spark.createDataFrame([(f"https://h/{i}", "t", f"body {i}", ["ko"], "src", "2024-01-01", "2024-01-02") for i in range(4)], "url string, title string, body string, tags array<string>, source_name string, published_at string, collected_at string")
+    ontology = F.struct(F.array(F.lit("LLM")).alias("tech_domains"), F.lit("Paper").alias("release_type"))
+    extraction = F.struct(F.lit("m").alias("model"), F.lit("p").alias("prompt_name"), F.sha2(F.lit("p"), 256).alias("prompt_sha256"), F.lit("at").alias("extracted_at"))
+    gate = F.struct(F.lit("g").alias("model"), F.lit("gp").alias("prompt_name"))
+    clean = records.export_records(store.withColumn("ontology", ontology).withColumn("extraction", extraction).withColumn("gate", gate), "1", "v1")
+    assert len(clean.columns) == 17
+    counts = records.manifest_counts(clean.select("text", "source_name", F.col("ontology.release_type").alias("release_type"), F.col("ontology.tech_domains").alias("tech_domains"), F.array().cast("array<struct<resolved:boolean>>").alias("companies")))
+    prompts = spark.sql("SELECT 'p' AS prompt_version, sha2('p', 256) AS sha256")
+    snapshot = clean.limit(1).select("doc_id", "title", "text", "locator", "url")
+    pairs = snapshot.select(F.lit("c").alias("case_id"), "doc_id")
+
+    def failing(rec, manifest=counts, expected=4):
+        return {r.number for r in records.checks(rec, manifest, prompts, snapshot, pairs, "1", expected).where("status = 'FAIL'").collect()}
+
+    assert failing(clean) == set()
+    assert failing(clean, expected=5) == {1}
+    assert failing(clean.withColumn("provenance", F.col("provenance").withField("extraction_model", F.lit(" ")))) == {2}
+    assert failing(clean.withColumn("provenance", F.col("provenance").withField("prompt_sha256", F.lit("x")))) == {3}
+    assert failing(clean.withColumn("text_chars", F.lit(1).cast("long"))) == {8}
+    assert failing(clean.withColumn("indexable", F.lit(False))) == {9}
+    assert failing(clean.withColumn("ontology", F.col("ontology").withField("release_type", F.lit("Gossip")))) == {10}
+    assert failing(clean.withColumn("published_at", F.lit(""))) == {11}
+    assert failing(clean, manifest=counts.withColumn("n", F.when(F.col("block") == "total", 9).otherwise(F.col("n")))) == {12}
+    assert failing(clean.withColumn("text_origin", F.lit("summary"))) == {4, 9}
