@@ -43,8 +43,10 @@ DROPPED = frozenset("head nav footer aside form button select menu dialog datali
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promotion banner nav navbar navigation menu menubar breadcrumb breadcrumbs"
-    " header masthead topbar footer sidebar aside toc cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social"
-    " comment comments commentlist disqus replies respond related recommended recommendations pagination pager toolbar widget widgets search skip copyright".split())
+    " footer sidebar aside toc cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social"
+    " comment comments commentlist disqus replies respond related recommended recommendations pagination pager toolbar widget widgets".split())
+#: The same outside of an article alone, where they may belong to its own head.
+OUTER_MARKS = MARKS | frozenset("header masthead topbar search skip copyright".split())
 SPLIT = re.compile(r"[^a-z]+")
 
 
@@ -59,7 +61,7 @@ def _dropped(tag: str, attributes: str, in_main: bool) -> bool:
             return True
         if name == "role" and value in ROLES:
             return True
-        if name in ("class", "id") and not MARKS.isdisjoint(SPLIT.split(value)):
+        if name in ("class", "id") and not (MARKS if in_main else OUTER_MARKS).isdisjoint(SPLIT.split(value)):
             return True
     return False
 

@@ -18,6 +18,10 @@ def test_dropped_parts():
     assert "\n".join(t for t, m in H.lines(page(body)) if m) == "Title\nOne two & three\nFour boldx five\na\nb"
 
 
+def test_heads_of_articles_stay():
+    assert text('<div class="site-header">x</div><article class="post no-sidebar"><div class="post-header"><h1>T</h1></div><div class="share-bar">s</div><p>a</article>') == "T\na"
+
+
 def test_malformed():
     assert text("<p>a<p>b</div></p>c") == "a\nb\nc"
     assert text("a < b and c > d") == "a < b and c > d"
