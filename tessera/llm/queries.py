@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import editprint, html_text, huffman, mixing, packing, perspectives, pivots, secrets, simhash, toxicity
+from tessera.llm import editprint, html_text, huffman, mixing, packing, perspectives, pivots, secrets, secrets_sql, simhash, toxicity
 from tessera.llm.common import shared_dir
 
 QUERIES: dict = {}
@@ -63,6 +63,9 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_read(spark, sf_dir, "documents"))
 
 
+ORACLES["op2_secret_scan"] = secrets_sql.SQL
+
+
 @query
 def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_read(spark, sf_dir, "pages"))
