@@ -49,10 +49,14 @@ def _spans(text: Column, kind: int, pattern: str, group: int, least: int) -> Col
     return F.when(F.rlike(text, F.lit(pattern)), F.aggregate(parts, zero, step, lambda acc: acc.out)).otherwise(none)
 
 
+def base_spans(text: Column) -> Column:
+    """Base spans of a text, by start, then kind."""
+    return F.array_sort(F.concat(*[_spans(text, k, SEARCHED.get(name, pattern), group, least) for k, (name, pattern, group, least) in enumerate(KINDS)]))
+
+
 def found(text: Column) -> Column:
     """Base spans and opaque candidates of a text (kind 3), by start, then kind."""
-    base = [_spans(text, k, SEARCHED.get(name, pattern), group, least) for k, (name, pattern, group, least) in enumerate(KINDS)]
-    return F.array_sort(F.concat(*base, _opaque(text)))
+    return F.array_sort(F.concat(base_spans(text), _opaque(text)))
 
 
 def _opaque(text: Column) -> Column:
@@ -108,14 +112,16 @@ def _masked(text: Column, spans: Column) -> Column:
 def redact(docs: DataFrame) -> DataFrame:
     """The documents with their columns; base spans and opaque tokens of few owners are masked, n_chars follows the text."""
     text, doc_id, source = F.coalesce("doc.text", F.lit("")), F.col("doc.doc_id"), F.col("doc.source")
-    rows = docs.select(whole(docs).alias("doc")).select("doc", found(text).alias("found"))
-    plain = rows.where("not exists(found, x -> x.kind = 3)").select("doc", F.col("found").alias("spans"))
-    rare = rows.where("exists(found, x -> x.kind = 3)").select("doc", "found", _key(text, doc_id).alias("key"))
-    each = rare.select(F.coalesce(source.cast("string"), F.lit("")).alias("owner"), F.coalesce(doc_id.cast("long"), F.lit(-1)).alias("repo"), "key", F.explode(F.filter("found", lambda x: x.kind == 3)).alias("x")).select("owner", "repo", "key", "x.hash")
-    each = materialise(each, "opaque")
+    rows = docs.select(whole(docs).alias("doc"))
+    # One cheap pattern parts the few texts with opaque runs, whose owners are counted first, from all others; each text is then searched once.
+    has = F.rlike(text, F.lit(OPAQUE))
+    rare = rows.where(has).select(_opaque(text).alias("found"), F.coalesce(source.cast("string"), F.lit("")).alias("owner"), F.coalesce(doc_id.cast("long"), F.lit(-1)).alias("repo"), _key(text, doc_id).alias("key"))
+    each = materialise(rare.select("owner", "repo", "key", F.explode("found").alias("x")).select("owner", "repo", "key", "x.hash"), "opaque")
     few = ownership(each.select("hash", "repo", "owner")).where(F.col("owners") <= OWNERS).select("hash")
     live = each.select("key", "hash").distinct().join(few, "hash").groupBy("key").agg(F.collect_set("hash").alias("live"))
-    known = rare.join(live, "key", "left").select("doc", F.expr("filter(found, x -> x.kind < 3 or array_contains(coalesce(live, array()), x.hash))").alias("spans"))
+    plain = rows.where(~has).select("doc", base_spans(text).alias("spans"))
+    known = rows.where(has).select("doc", _key(text, doc_id).alias("key")).join(live, "key", "left").select("doc", found(text).alias("found"), "live")
+    known = known.select("doc", F.expr("filter(found, x -> x.kind < 3 or array_contains(coalesce(live, array()), x.hash))").alias("spans"))
     masked = F.when(F.size("spans") > 0, _masked(F.col("doc.text"), F.col("spans"))).otherwise(F.col("doc.text"))
     out = plain.unionByName(known).select("doc", masked.alias("text")).withColumn("doc", F.col("doc").withField("text", F.col("text")))
     if "n_chars" in docs.columns:
