@@ -42,7 +42,7 @@ CAP = 2048
 SALTS = 16
 #: For near copies: words of a shingle, and bits by which their fingerprints differ at most.
 NEAR_SHINGLE, NEAR = 2, 8
-DENSE = 4
+DENSE = 2
 
 
 def hashes(text: str, shingle: int = SHINGLE) -> np.ndarray:
@@ -176,46 +176,68 @@ def _verify(distance: int, direct: bool):
     """Rows of (base fingerprints, probing ones) to links within distance: a star of each linked set of a row.
 
     direct: for a later check of the links themselves, all links of a row if there are at most DENSE times as many as fingerprints,
-    else also each one's nearest and smallest; so what leaves a row stays in proportion to its fingerprints.
+    else each one's nearest and smallest; so what leaves a row stays in proportion to its fingerprints.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            edges: set[tuple[int, int]] = set()
-            for base, probe in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                b = np.unique(np.array(base, np.int64).view(np.uint64))
-                q = np.unique(np.array(base + (probe or []), np.int64).view(np.uint64))
-                root: dict[int, int] = {}
-                every: list[tuple[int, int]] = []
-                picked: list[tuple[int, int]] = []
-
-                def top(x: int) -> int:
-                    while root.get(x, x) != x:
-                        root[x] = x = root.get(root[x], root[x])
-                    return x
-
-                for at in range(0, len(q), 512):
-                    gap = np.bitwise_count(q[at : at + 512, None] ^ b[None])
-                    gap[q[at : at + 512, None] == b[None]] = 255
-                    i, j = np.nonzero(gap <= distance)
-                    for x, y in zip(q[at + i].tolist(), b[j].tolist()):
-                        if direct and len(every) <= DENSE * len(q):
-                            every.append((x, y))
-                        x, y = top(x), top(y)
-                        if x != y:
-                            root[max(x, y)] = min(x, y)
-                    if direct and len(i):
-                        some = np.unique(i)
-                        picked += zip(q[at + some].tolist(), b[gap[some].argmin(1)].tolist())
-                        picked += zip(q[at + some].tolist(), b[(gap[some] <= distance).argmax(1)].tolist())
-                edges.update((x, top(x)) for x in list(root) if top(x) != x)
-                edges.update((max(e), min(e)) for e in (every if len(every) <= DENSE * len(q) else picked))
-            a = np.array(sorted(edges), np.uint64).reshape(-1, 2).view(np.int64)
+            found = [np.zeros((0, 2), np.uint64)]
+            for base, probe in zip(_lists(batch.column(0)), _lists(batch.column(1))):
+                found.append(_row_links(base, probe, distance, direct))
+            a = np.unique(np.concatenate(found), axis=0).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(a[:, 0], pa.int64()), pa.array(a[:, 1], pa.int64())], names=["a", "b"])
 
     return run
 
 
+def _lists(column: pa.ListArray) -> Iterator[np.ndarray]:
+    """The lists of a column, as views: no Python number is made of them."""
+    at, flat = column.offsets.to_numpy(), column.values.to_numpy().view(np.uint64)
+    for s, e in zip(at[:-1].tolist(), at[1:].tolist()):
+        yield flat[s:e]
+
+
+def _row_links(base: np.ndarray, probe: np.ndarray, distance: int, direct: bool) -> np.ndarray:
+    """Links of one row, larger fingerprint first. The work is on arrays of at most 256 by the row's length."""
+    q, b = np.unique(np.concatenate([base, probe])), np.unique(base)
+    own = np.searchsorted(q, b)
+    gap = np.empty((len(q), len(b)), np.uint8)
+    for at in range(0, len(q), 256):
+        np.bitwise_count(q[at : at + 256, None] ^ b[None], out=gap[at : at + 256])
+    gap[own, np.arange(len(b))] = 255
+    near = gap <= distance
+    n = int(near.sum())
+    if not n:
+        return np.zeros((0, 2), np.uint64)
+    i = j = np.zeros(0, np.int64)
+    if n <= DENSE * len(q):
+        i, j = np.nonzero(near)
+        j = own[j]
+    elif direct:
+        some = np.flatnonzero(near.any(1))
+        i, j = np.concatenate([some, some]), np.concatenate([own[gap[some].argmin(1)], own[near[some].argmax(1)]])
+    if direct:
+        return np.stack([q[np.maximum(i, j)], q[np.minimum(i, j)]], 1)
+    # Labels: the smallest index that each reaches, passed on along links and then from label to label.
+    label = np.arange(len(q))
+    while True:
+        new = label.copy()
+        if n <= DENSE * len(q):
+            np.minimum.at(new, i, label[j])
+            np.minimum.at(new, j, label[i])
+        else:
+            for at in range(0, len(q), 256):
+                part = near[at : at + 256]
+                new[at : at + 256] = np.minimum(new[at : at + 256], np.where(part, label[own][None], len(q)).min(1))
+                new[own] = np.minimum(new[own], np.where(part, label[at : at + 256, None], len(q)).min(0))
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    star = np.flatnonzero(label != np.arange(len(q)))
+    return np.stack([q[star], q[label[star]]], 1)
+
+
 def links(reps: DataFrame, cap: int = CAP, distance: int = DISTANCE, direct: bool = False) -> DataFrame:
     """Edges (a, b) that connect just the distinct fingerprints within distance bits, directly or over others."""
     found = plan(reps, distance)
@@ -268,7 +290,7 @@ def shingles(text: str, size: int = 5) -> np.ndarray:
 def _jaccard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+        for x, y in zip(_lists(batch.column(2)), _lists(batch.column(3))):
             both = len(np.intersect1d(x, y, assume_unique=True))
             out.append(both / max(1, len(x) + len(y) - both))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())], names=["a", "b", "likeness"])
