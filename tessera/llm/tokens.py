@@ -12,7 +12,7 @@ import numpy as np
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 MOST = 1_500_000  # pre-tokens kept by a Python worker, about 60 MB
 LONGEST = 200  # characters of a pre-token that is kept
-BLOCK = 1_000_000  # characters handled at once
+BLOCK = 500_000  # characters handled at once
 LETTER, DIGIT, OTHER, SPACE, EDGE, ODD = range(6)
 
 
@@ -32,7 +32,7 @@ _BASES = [int(b) | 1 for b in _rng.integers(1 << 40, 1 << 62, 2)]
 
 
 def _powers(base: int) -> tuple[np.ndarray, np.ndarray]:
-    n = BLOCK * 2
+    n = BLOCK + 16
     with np.errstate(over="ignore"):
         up = np.cumprod(np.full(n, base, np.uint64))
         down = np.cumprod(np.full(n, pow(base, -1, 1 << 64), np.uint64))
@@ -78,7 +78,7 @@ class Coder:
     def _clear(self) -> None:
         self.slots = np.full(1 << self.bits, -1, np.int32)
         self.keys = np.zeros((2, MOST), np.uint64)
-        self.start, self.size = np.zeros(MOST, np.int64), np.zeros(MOST, np.int64)
+        self.start, self.size = np.zeros(MOST, np.int32), np.zeros(MOST, np.int32)
         self.pool, self.n, self.used = np.zeros(1 << 20, np.uint16), 0, 0
 
     def whole(self, texts: list[str]) -> list[bytes]:
@@ -200,7 +200,7 @@ class Coder:
                 for i, b in zip(again, self.whole([texts[i] for i in again])):
                     out[i] = b
                 entry[entry < 0] = 0
-        size = self.size[entry]
+        size = self.size[entry].astype(np.int64)
         end = np.cumsum(size)
         flat = self.pool[np.repeat(self.start[entry] - (end - size), size) + np.arange(int(size.sum()))].tobytes()
         last = np.searchsorted(piece_of, np.arange(len(which)), side="right")

@@ -41,7 +41,7 @@ FACTORS = 4
 LEAST = 4  # documents of the sample that a kept number occurs in at least
 CLEAR = 5.0  # standard errors that its share among toxic documents differs by at least
 THRESHOLD = 0.3
-REMEMBER = 400_000
+REMEMBER = 200_000
 SEED = 7
 
 
