@@ -42,6 +42,9 @@ CAP = 2048
 SALTS = 16
 #: For near copies: words of a shingle, and bits by which their fingerprints differ at most.
 NEAR_SHINGLE, NEAR = 2, 8
+#: Shingles of a block of texts that are compared, about.
+BLOCK = 1_000_000
+#: Links that are listed one by one, a fingerprint; more are worked on as arrays.
 DENSE = 2
 
 
@@ -172,18 +175,14 @@ def stars(fps: DataFrame) -> DataFrame:
     return groups.select(F.explode("fps").alias("a"), F.array_min("fps").alias("b")).where("a <> b").distinct()
 
 
-def _verify(distance: int, direct: bool):
-    """Rows of (base fingerprints, probing ones) to links within distance: a star of each linked set of a row.
-
-    direct: for a later check of the links themselves, all links of a row if there are at most DENSE times as many as fingerprints,
-    else each one's nearest and smallest; so what leaves a row stays in proportion to its fingerprints.
-    """
+def _verify(distance: int):
+    """Rows of (base fingerprints, probing ones) to links within distance: a star of each linked set of a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [np.zeros((0, 2), np.uint64)]
             for base, probe in zip(_lists(batch.column(0)), _lists(batch.column(1))):
-                found.append(_row_links(base, probe, distance, direct))
+                found.append(_row_links(base, probe, distance))
             a = np.unique(np.concatenate(found), axis=0).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(a[:, 0], pa.int64()), pa.array(a[:, 1], pa.int64())], names=["a", "b"])
 
@@ -197,7 +196,7 @@ def _lists(column: pa.ListArray) -> Iterator[np.ndarray]:
         yield flat[s:e]
 
 
-def _row_links(base: np.ndarray, probe: np.ndarray, distance: int, direct: bool) -> np.ndarray:
+def _row_links(base: np.ndarray, probe: np.ndarray, distance: int) -> np.ndarray:
     """Links of one row, larger fingerprint first. The work is on arrays of at most 256 by the row's length."""
     q, b = np.unique(np.concatenate([base, probe])), np.unique(base)
     own = np.searchsorted(q, b)
@@ -213,11 +212,6 @@ def _row_links(base: np.ndarray, probe: np.ndarray, distance: int, direct: bool)
     if n <= DENSE * len(q):
         i, j = np.nonzero(near)
         j = own[j]
-    elif direct:
-        some = np.flatnonzero(near.any(1))
-        i, j = np.concatenate([some, some]), np.concatenate([own[gap[some].argmin(1)], own[near[some].argmax(1)]])
-    if direct:
-        return np.stack([q[np.maximum(i, j)], q[np.minimum(i, j)]], 1)
     # Labels: the smallest index that each reaches, passed on along links and then from label to label.
     label = np.arange(len(q))
     while True:
@@ -238,7 +232,7 @@ def _row_links(base: np.ndarray, probe: np.ndarray, distance: int, direct: bool)
     return np.stack([q[star], q[label[star]]], 1)
 
 
-def links(reps: DataFrame, cap: int = CAP, distance: int = DISTANCE, direct: bool = False) -> DataFrame:
+def links(reps: DataFrame, cap: int = CAP, distance: int = DISTANCE) -> DataFrame:
     """Edges (a, b) that connect just the distinct fingerprints within distance bits, directly or over others."""
     found = plan(reps, distance)
     if any(t == 2 and len(bits) == 64 for bits, t in found):
@@ -253,20 +247,20 @@ def links(reps: DataFrame, cap: int = CAP, distance: int = DISTANCE, direct: boo
     sizes = materialise(sizes, "sizes")
     near = keys.join(sizes.where(F.col("n") <= cap), ["part", "key"])
     rows = near.groupBy("part", "key").agg(F.collect_list(F.when(F.col("probe") == 0, F.col("fp"))).alias("base"), F.collect_list(F.when(F.col("probe") == 1, F.col("fp"))).alias("probes"))
-    edges = rows.select("base", "probes").mapInArrow(_verify(distance, direct), "a long, b long")
+    edges = rows.select("base", "probes").mapInArrow(_verify(distance), "a long, b long")
     large = sizes.where(F.col("n") > cap)
     if distance <= 2:
         return edges.unionByName(stars(keys.join(large, ["part", "key"]).select("fp").distinct()))
-    return edges.unionByName(_block_links(keys.join(large.select("part", "key", F.ceil(F.col("n") * 2 / cap).cast("int").alias("blocks")), ["part", "key"]), distance, direct)).distinct()
+    return edges.unionByName(_block_links(keys.join(large.select("part", "key", F.ceil(F.col("n") * 2 / cap).cast("int").alias("blocks")), ["part", "key"]), distance)).distinct()
 
 
-def _block_links(keys: DataFrame, distance: int, direct: bool) -> DataFrame:
+def _block_links(keys: DataFrame, distance: int) -> DataFrame:
     """The same for buckets too large for one row: cut into blocks by hash, each pair of blocks verified in its own row."""
     dealt = keys.withColumn("i", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     blocks = dealt.groupBy("part", "key", "blocks", "i").agg(F.collect_list(F.when(F.col("probe") == 0, F.col("fp"))).alias("base"), F.collect_list(F.when(F.col("probe") == 1, F.col("fp"))).alias("probes"))
     left = blocks.select("part", "key", "base", F.col("probes").alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"))
     pairs = left.join(blocks.select("part", "key", "i", F.concat("base", "probes").alias("other")), ["part", "key", "i"])
-    return pairs.select("base", F.concat("own", "other").alias("probes")).mapInArrow(_verify(distance, direct), "a long, b long")
+    return pairs.select("base", F.concat("own", "other").alias("probes")).mapInArrow(_verify(distance), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, cap: int = CAP) -> DataFrame:
@@ -287,39 +281,90 @@ def shingles(text: str, size: int = 5) -> np.ndarray:
     return np.unique(hashes(text, size))
 
 
-def _jaccard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = []
-        for x, y in zip(_lists(batch.column(2)), _lists(batch.column(3))):
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(both / max(1, len(x) + len(y) - both))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())], names=["a", "b", "likeness"])
+        found = pa.array([shingles(t or "").view(np.int64) for t in batch.column(3).to_pylist()], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], found], names=["node", "fp", "part", "shingles"])
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(t or "").view(np.int64) for t in batch.column(1).to_pylist()], pa.list_(pa.int64()))], names=["node", "shingles"])
+def _compare(side: list[bool], node: list[int], fp: list[int], sets: list[np.ndarray], distance: int, likeness: float) -> list[tuple[int, int, float]]:
+    """Every pair within distance is verified unless verified links connect it already; a spanning forest of the links comes out.
+
+    side: the block of each text. If there are two, only pairs across them count, as each block has a row of its own.
+    """
+    two, across, prints, label = len(set(side)) > 1, np.array(side), np.array(fp, np.int64).view(np.uint64), np.arange(len(node))
+    ids, size = np.unique(np.concatenate(sets), return_inverse=True)[1], np.array([len(s) for s in sets])
+    end = np.cumsum(size)
+    has, out = np.zeros(len(ids) and int(ids.max()) + 1, bool), []
+    for x in range(len(node) - 1):
+        fit = (np.bitwise_count(prints[x] ^ prints[x + 1 :]) <= distance) & (label[x] != label[x + 1 :])
+        fit &= np.minimum(size[x], size[x + 1 :]) / np.maximum(size[x], size[x + 1 :]) >= likeness  # others cannot be alike enough
+        if two:
+            fit &= across[x] != across[x + 1 :]
+        ys = np.flatnonzero(fit) + x + 1
+        if not len(ys):
+            continue
+        own = ids[end[x] - size[x] : end[x]]
+        has[own] = True
+        hits = np.concatenate([has[ids[end[y] - size[y] : end[y]]] for y in ys.tolist()])
+        has[own] = False
+        both = np.add.reduceat(hits, np.cumsum(size[ys]) - size[ys], dtype=np.int64)
+        like = both / (size[x] + size[ys] - both)
+        for y, near in zip(ys[like >= likeness].tolist(), like[like >= likeness].tolist()):
+            if label[x] != label[y]:
+                label[label == label[y]] = label[x]
+                out.append((min(node[x], node[y]), max(node[x], node[y]), near))
+    return out
+
+
+def _alike(distance: int, likeness: float):
+    """Rows (part, lo, hi, block, node, fp, shingles), in order of their first four columns, to the links of each (part, lo, hi)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+
+        def links_of(rows: list[tuple]) -> list[tuple[int, int, float]]:
+            return _compare(*(list(c) for c in zip(*rows)), distance, likeness) if len(rows) > 1 else []
+
+        def told(out: list[tuple[int, int, float]]) -> pa.RecordBatch:
+            cols = list(zip(*out)) or [[], [], []]
+            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64())], names=["a", "b", "likeness"])
+
+        for batch in batches:
+            out = []
+            for part, lo, hi, *row, words in zip(*(batch.column(k).to_pylist() for k in range(6)), _lists(batch.column(6))):
+                if (part, lo, hi) != key:
+                    out += links_of(held)
+                    key, held = (part, lo, hi), []
+                held.append((*row, words))
+            yield told(out)
+        yield told(links_of(held))
+
+    return run
 
 
 def near_copies(texts: DataFrame, cap: int = CAP, distance: int = NEAR, likeness: float = 0.8) -> DataFrame:
     """texts(node long, fp long, text) to verified links (a, b) of near copies: distinct sets of five-word shingles alike to likeness.
 
-    Candidates are within distance bits in fp, the SimHash of two-word shingles, which a few changed words move little. They come as
-    all links of a bucket where those are few, and as stars with each text's nearest and smallest neighbour in a large group, never as all its pairs; all
-    are verified by the whole shingle sets. A text of a dense group, none of whose chosen neighbours in any bucket is alike enough, can be
-    missed. Links of equal fingerprints run over the smallest node.
+    Candidates are all pairs of texts within distance bits in fp, the SimHash of two-word shingles, which a few changed words move little.
+    The components of such fingerprints hold both texts of every candidate pair. A component's texts are cut into blocks of about cap texts
+    or BLOCK shingles, and each pair of blocks is verified on whole shingle sets in a row sequence of its own. Candidates that verified links
+    connect already are left out, so the links are a spanning forest of each pair of blocks and connect just what all verified
+    pairs would. A text without words is no near copy.
     """
-    reps = materialise(texts.groupBy("fp").agg(F.min("node").alias("rep")), "reps")
-    near = links(reps.select("fp"), cap, distance, direct=True)
-    name = lambda c: reps.select(F.col("fp").alias(c), F.col("rep").alias(f"n{c}"))
-    pairs = near.join(name("a"), "a").join(name("b"), "b").select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b"))
-    same = texts.select("node", "fp").join(reps, "fp").where("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b"))
-    pairs = materialise(pairs.unionByName(same).distinct(), "pairs")
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = materialise(texts.select("node", "text").join(nodes, "node", "left_semi").mapInArrow(_sets, "node long, shingles array<long>"), "shingles")
-    side = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb")
-    return both.mapInArrow(_jaccard, "a long, b long, likeness double").where(F.col("likeness") >= likeness)
+    label = components(links(texts.select("fp").distinct(), cap, distance))
+    named = materialise(texts.select("node", "fp").join(label.withColumnRenamed("node", "_fp"), F.col("fp") == F.col("_fp"), "left").select("node", "fp", F.coalesce("label", "fp").alias("part")), "named")
+    several = named.join(named.groupBy("part").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("part"), "part")
+    found = several.join(texts.select("node", "text"), "node").select("node", "fp", "part", "text").mapInArrow(_sets, "node long, fp long, part long, shingles array<long>")
+    sets = materialise(found.where("size(shingles) > 0"), "shingles")
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / cap), F.ceil(F.sum(F.size("shingles")) / BLOCK)).cast("int")
+    sizes = sets.groupBy("part").agg(F.count(F.lit(1)).alias("n"), blocks.alias("blocks")).where("n > 1")
+    dealt = sets.join(sizes, "part").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    # A block of texts goes to the rows of its pairs with all blocks, itself too.
+    rows = dealt.select("part", "block", "node", "fp", "shingles", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    rows = rows.select("part", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "fp", "shingles")
+    rows = rows.repartition("part", "lo", "hi").sortWithinPartitions("part", "lo", "hi", "block", "node")
+    return rows.mapInArrow(_alike(distance, likeness), "a long, b long, likeness double")
 
 
 def keep_one(docs: DataFrame, cap: int = CAP) -> DataFrame:

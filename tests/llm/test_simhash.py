@@ -137,4 +137,29 @@ def test_near_links_are_verified_and_cover_brute_force(spark):
         assert all(abs(alike(texts[r.a], texts[r.b]) - r.likeness) < 1e-9 for r in got)
         label = {r.node: r.label for r in S.components(spark.createDataFrame([(r.a, r.b) for r in got], "a long, b long")).collect()}
         near = [(i, j) for i in range(len(texts)) for j in range(i) if alike(texts[i], texts[j]) >= 0.8 and (prints[i] ^ prints[j]).bit_count() <= 8]
-        assert np.mean([label.get(i) == label.get(j) is not None for i, j in near]) > 0.97
+        assert np.mean([label.get(i) == label.get(j) is not None for i, j in near]) > 0.99
+
+
+def brute(texts, prints):
+    sets = [set(S.shingles(t).tolist()) for t in texts]
+    return [(i, j) for i in range(len(texts)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 8 and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8]
+
+
+def test_every_candidate_of_a_dense_group_is_verified(spark):
+    rnd = random.Random(9)
+    base = words(rnd, 150)
+    texts = []
+    for _ in range(300):
+        d = list(base)
+        for _ in range(rnd.randint(2, 5)):
+            d[rnd.randrange(len(d))] = rnd.choice("abcdefgh") * 6
+        texts.append(" ".join(d))
+    texts = list(dict.fromkeys(texts))
+    prints = [int(np.array([S.fingerprint(S.hashes(t, 2))], np.uint64).view(np.int64)[0]) for t in texts]
+    df = spark.createDataFrame([(i, f, t) for i, (f, t) in enumerate(zip(prints, texts))], "node long, fp long, text string")
+    near = brute(texts, prints)
+    assert len(near) > 400
+    want = {r.node: r.label for r in S.components(spark.createDataFrame(near, "a long, b long")).collect()}
+    for cap in (2048, 40):  # in one block, and in pairs of blocks
+        got = {r.node: r.label for r in S.components(S.near_copies(df, cap).select("a", "b")).collect()}
+        assert got == want
