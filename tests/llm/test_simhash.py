@@ -163,3 +163,12 @@ def test_every_candidate_of_a_dense_group_is_verified(spark):
     for cap in (2048, 40):  # in one block, and in pairs of blocks
         got = {r.node: r.label for r in S.components(S.near_copies(df, cap).select("a", "b")).collect()}
         assert got == want
+
+
+def test_texts_of_equal_fingerprints_meet_each_other(spark):
+    rnd = random.Random(10)
+    one, two = words(rnd, 100), words(rnd, 100)
+    texts = [words(rnd, 100), one, [*one[:-1], "changed"], words(rnd, 100), two, [*two[:-1], "changed"]]
+    prints = [0, 0, 0, 3, 3, 0]  # links within one fingerprint and across two, the smallest node of each unlike them
+    df = spark.createDataFrame([(i, f, " ".join(t)) for i, (f, t) in enumerate(zip(prints, texts))], "node long, fp long, text string")
+    assert {(r.a, r.b) for r in S.near_copies(df).collect()} == {(1, 2), (4, 5)}
