@@ -1,11 +1,11 @@
 """Operator 6: hierarchical multi-length packing.
 
-Every document's ids are cut into full windows and one remainder. The
-remainders are routed to context-size tiers by length and packed long tiers
-first, each gap taking the longest pieces of shorter tiers that fit. Where a
-window stays badly filled, its longest piece is cut at its tier's size (a power
-of two, a sequence that needs no padding) and the tail fills a gap elsewhere; so
-again, until little padding is left.
+Every document's ids are cut into full windows and one remainder. Best fit over
+all remainder lengths, longest first, into windows stands in for routing by
+context-size tier: each gap takes the longest pieces that fit, and no tier is
+packed by itself. Where a window stays badly filled, its longest piece is cut at
+the largest power of two in it (a sequence that needs no padding) and the tail
+fills a gap elsewhere; so again, until little padding is left.
 
 The plan works on the histogram of remainder lengths, at most WINDOW numbers
 whatever the corpus, so the driver holds no documents. Documents get their
