@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +40,18 @@ def whole(df: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in df.columns])
 
 
+def slices(batch: pa.RecordBatch, column: int, rows: int = 512, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch, in order, of at most rows rows and about size bytes of that text column, a row at least: a worker makes Python values of one part at a time."""
+    length = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    end = np.cumsum(length)
+    at = 0
+    while at < batch.num_rows:
+        done = int(end[at - 1]) if at else 0
+        to = max(at + 1, min(at + rows, int(np.searchsorted(end, done + size, side="right"))))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialise, whole
+from tessera.llm.common import materialise, slices, whole
 from tessera.llm.components import components
 
 DISTANCE = 2
@@ -40,12 +40,15 @@ SHINGLE = 3
 SEED = 42
 CAP = 2048
 SALTS = 16
-#: For near copies: words of a shingle, and bits by which their fingerprints differ at most.
-NEAR_SHINGLE, NEAR = 2, 8
-#: Shingles of a block of texts that are compared, about.
-BLOCK = 1_000_000
-#: Links that are listed one by one, a fingerprint; more are worked on as arrays.
-DENSE = 2
+#: For near copies: words of a shingle, bands of each text and minima of a band. A pair alike to 0.8 shares a band with a chance of 0.998.
+NEAR_SHINGLE, BANDS, WIDTH = 5, 16, 5
+#: The bands whose buckets are linked to a centre in each round, and how the centre is chosen (by a hash with that seed).
+ROUNDS = ((0, 4, 0), (4, BANDS, 0), (0, BANDS, 1))
+#: Texts that meet one copy of their centre; shingles of a block of texts that are compared, about.
+MEMBERS, BLOCK = 256, 1_000_000
+_draw = np.random.default_rng(SEED)
+_MINIMA = _draw.integers(1, 1 << 63, (BANDS * WIDTH, 1), dtype=np.uint64) | np.uint64(1)
+_MIX = _draw.integers(1, 1 << 63, (BANDS, WIDTH), dtype=np.uint64) | np.uint64(1)
 
 
 def hashes(text: str, shingle: int = SHINGLE) -> np.ndarray:
@@ -73,7 +76,7 @@ def fingerprint(h: np.ndarray) -> int:
 
 
 def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for full in batches for part in slices(full, 1)):
         fp = np.array([fingerprint(hashes(t or "")) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp, pa.int64())], names=["doc_id", "fp"])
 
@@ -138,7 +141,7 @@ def plan(reps: DataFrame, distance: int = DISTANCE) -> list[tuple[list[int], int
     for r in reps.select("fp").mapInArrow(_gram, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():  # 4096 rows at most
         gram[r["at"]] = r["n"]
     n, gram = reps.count(), gram.reshape(64, 64)
-    choices = [group_bits(gram, n, m) for m in range(max(1, -(-(distance + 1) // 3)), distance + 2 if distance < 6 else 7)]  # each threshold is 2 at most
+    choices = [group_bits(gram, n, m) for m in range(max(1, -(-(distance + 1) // 3)), distance + 2)]  # each threshold is 2 at most
     flat = [(m, k, bits) for m, parts in enumerate(choices) for k, bits in enumerate(parts) if len(parts) > 1]
     keyed = reps.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col("fp").bitwiseAND(F.lit(mask(bits))).alias("key")) for i, (_, _, bits) in enumerate(flat)])).alias("x")).select("x.*")
     pairs = {r["i"]: r["n"] for r in keyed.groupBy("i", "key").count().groupBy("i").agg(F.sum((F.col("count") * (F.col("count") - 1) / 2).cast("double")).alias("n")).collect()}  # a row a part
@@ -205,25 +208,16 @@ def _row_links(base: np.ndarray, probe: np.ndarray, distance: int) -> np.ndarray
         np.bitwise_count(q[at : at + 256, None] ^ b[None], out=gap[at : at + 256])
     gap[own, np.arange(len(b))] = 255
     near = gap <= distance
-    n = int(near.sum())
-    if not n:
+    if not near.any():
         return np.zeros((0, 2), np.uint64)
-    i = j = np.zeros(0, np.int64)
-    if n <= DENSE * len(q):
-        i, j = np.nonzero(near)
-        j = own[j]
     # Labels: the smallest index that each reaches, passed on along links and then from label to label.
     label = np.arange(len(q))
     while True:
         new = label.copy()
-        if n <= DENSE * len(q):
-            np.minimum.at(new, i, label[j])
-            np.minimum.at(new, j, label[i])
-        else:
-            for at in range(0, len(q), 256):
-                part = near[at : at + 256]
-                new[at : at + 256] = np.minimum(new[at : at + 256], np.where(part, label[own][None], len(q)).min(1))
-                new[own] = np.minimum(new[own], np.where(part, label[at : at + 256, None], len(q)).min(0))
+        for at in range(0, len(q), 256):
+            part = near[at : at + 256]
+            new[at : at + 256] = np.minimum(new[at : at + 256], np.where(part, label[own][None], len(q)).min(1))
+            new[own] = np.minimum(new[own], np.where(part, label[at : at + 256, None], len(q)).min(0))
         new = new[new]
         if (new == label).all():
             break
@@ -232,9 +226,9 @@ def _row_links(base: np.ndarray, probe: np.ndarray, distance: int) -> np.ndarray
     return np.stack([q[star], q[label[star]]], 1)
 
 
-def links(reps: DataFrame, cap: int = CAP, distance: int = DISTANCE) -> DataFrame:
-    """Edges (a, b) that connect just the distinct fingerprints within distance bits, directly or over others."""
-    found = plan(reps, distance)
+def links(reps: DataFrame, cap: int = CAP) -> DataFrame:
+    """Edges (a, b) that connect just the distinct fingerprints within DISTANCE bits, directly or over others."""
+    found = plan(reps, DISTANCE)
     if any(t == 2 and len(bits) == 64 for bits, t in found):
         return stars(reps)
     probes = []
@@ -247,20 +241,9 @@ def links(reps: DataFrame, cap: int = CAP, distance: int = DISTANCE) -> DataFram
     sizes = materialise(sizes, "sizes")
     near = keys.join(sizes.where(F.col("n") <= cap), ["part", "key"])
     rows = near.groupBy("part", "key").agg(F.collect_list(F.when(F.col("probe") == 0, F.col("fp"))).alias("base"), F.collect_list(F.when(F.col("probe") == 1, F.col("fp"))).alias("probes"))
-    edges = rows.select("base", "probes").mapInArrow(_verify(distance), "a long, b long")
+    edges = rows.select("base", "probes").mapInArrow(_verify(DISTANCE), "a long, b long")
     large = sizes.where(F.col("n") > cap)
-    if distance <= 2:
-        return edges.unionByName(stars(keys.join(large, ["part", "key"]).select("fp").distinct()))
-    return edges.unionByName(_block_links(keys.join(large.select("part", "key", F.ceil(F.col("n") * 2 / cap).cast("int").alias("blocks")), ["part", "key"]), distance)).distinct()
-
-
-def _block_links(keys: DataFrame, distance: int) -> DataFrame:
-    """The same for buckets too large for one row: cut into blocks by hash, each pair of blocks verified in its own row."""
-    dealt = keys.withColumn("i", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-    blocks = dealt.groupBy("part", "key", "blocks", "i").agg(F.collect_list(F.when(F.col("probe") == 0, F.col("fp"))).alias("base"), F.collect_list(F.when(F.col("probe") == 1, F.col("fp"))).alias("probes"))
-    left = blocks.select("part", "key", "base", F.col("probes").alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"))
-    pairs = left.join(blocks.select("part", "key", "i", F.concat("base", "probes").alias("other")), ["part", "key", "i"])
-    return pairs.select("base", F.concat("own", "other").alias("probes")).mapInArrow(_verify(distance), "a long, b long")
+    return edges.unionByName(stars(keys.join(large, ["part", "key"]).select("fp").distinct()))
 
 
 def near_duplicates(docs: DataFrame, cap: int = CAP) -> DataFrame:
@@ -276,28 +259,86 @@ def near_duplicates(docs: DataFrame, cap: int = CAP) -> DataFrame:
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", F.col("prints").alias("prints_in_component"))
 
 
-def shingles(text: str, size: int = 5) -> np.ndarray:
+def shingles(text: str, size: int = NEAR_SHINGLE) -> np.ndarray:
     """Distinct hashes of a text's shingles of size words."""
     return np.unique(hashes(text, size))
 
 
+def bands(own: np.ndarray) -> np.ndarray:
+    """BANDS keys of a set of shingles, each made of WIDTH minima of the set under different orders; none of an empty set."""
+    if not len(own):
+        return np.zeros(0, np.int64)
+    least = np.full(BANDS * WIDTH, np.iinfo(np.uint64).max)
+    for at in range(0, len(own), 4096):
+        np.minimum(least, (own[None, at : at + 4096] * _MINIMA).min(1), out=least)
+    return ((least.reshape(BANDS, WIDTH) ^ (least.reshape(BANDS, WIDTH) >> np.uint64(31))) * _MIX).sum(1, dtype=np.uint64).view(np.int64)
+
+
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(_id, _row, text) to op4's fingerprint, the number of five-word shingles and the band keys."""
+    for batch in (part for full in batches for part in slices(full, 2)):
+        fp, size, keys = [], [], []
+        for t in batch.column(2).to_pylist():
+            t = t or ""
+            own = shingles(t)
+            fp.append(fingerprint(hashes(t)))
+            size.append(len(own))
+            keys.append(bands(own))
+        cols = [pa.array(np.array(fp, np.uint64).view(np.int64), pa.int64()), pa.array(size, pa.int32()), pa.array(keys, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], names=["_id", "_row", "fp", "size", "keys"])
+
+
+SIGNED = "_id long, _row long, fp long, size int, keys array<long>"
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = pa.array([shingles(t or "").view(np.int64) for t in batch.column(3).to_pylist()], pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], found], names=["node", "fp", "part", "shingles"])
+    for batch in (part for full in batches for part in slices(full, 1)):
+        found = pa.array([shingles(t or "").view(np.int64) for t in batch.column(1).to_pylist()], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([batch.column(0), found], names=["node", "shingles"])
+
+
+def _like(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard index of two sorted sets."""
+    both = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum())
+    return both / (len(a) + len(b) - both)
+
+
+LINKS = "a long, b long, likeness double"
+
+
+def _told(out: list[tuple[int, int, float]]) -> pa.RecordBatch:
+    cols = list(zip(*out)) or [[], [], []]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64()))], names=["a", "b", "likeness"])
+
+
+def _to_centre(likeness: float):
+    """Rows (centre, part, kind, node, shingles) in that order to links: kind 0 is the centre itself, those after it are compared with it alone."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = None
+        for batch in batches:
+            out = []
+            for centre, kind, node, found in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), _lists(batch.column(4))):
+                if not kind:
+                    own = found.copy()
+                elif (near := _like(own, found)) >= likeness:
+                    out.append((min(centre, node), max(centre, node), near))
+            yield _told(out)
+
+    return run
 
-def _compare(side: list[bool], node: list[int], fp: list[int], sets: list[np.ndarray], distance: int, likeness: float) -> list[tuple[int, int, float]]:
-    """Every pair within distance is verified unless verified links connect it already; a spanning forest of the links comes out.
 
-    side: the block of each text. If there are two, only pairs across them count, as each block has a row of its own.
+def _compare(side: list[int], node: list[int], label: list[int], sets: list[np.ndarray], likeness: float) -> list[tuple[int, int, float]]:
+    """Every pair of different labels is verified unless links connect it already; a spanning forest of the links comes out.
+
+    side: the block of each text. If there are two, only pairs across them count, as each block has a row sequence of its own.
     """
-    two, across, prints, label = len(set(side)) > 1, np.array(side), np.array(fp, np.int64).view(np.uint64), np.arange(len(node))
+    two, across, group = len(set(side)) > 1, np.array(side), np.array(label)
     ids, size = np.unique(np.concatenate(sets), return_inverse=True)[1], np.array([len(s) for s in sets])
     end = np.cumsum(size)
     has, out = np.zeros(len(ids) and int(ids.max()) + 1, bool), []
     for x in range(len(node) - 1):
-        fit = (np.bitwise_count(prints[x] ^ prints[x + 1 :]) <= distance) & (label[x] != label[x + 1 :])
+        fit = group[x] != group[x + 1 :]
         fit &= np.minimum(size[x], size[x + 1 :]) / np.maximum(size[x], size[x + 1 :]) >= likeness  # others cannot be alike enough
         if two:
             fit &= across[x] != across[x + 1 :]
@@ -306,90 +347,127 @@ def _compare(side: list[bool], node: list[int], fp: list[int], sets: list[np.nda
             continue
         own = ids[end[x] - size[x] : end[x]]
         has[own] = True
-        hits = np.concatenate([has[ids[end[y] - size[y] : end[y]]] for y in ys.tolist()])
+        both = np.array([np.count_nonzero(has[ids[end[y] - size[y] : end[y]]]) for y in ys.tolist()])
         has[own] = False
-        both = np.add.reduceat(hits, np.cumsum(size[ys]) - size[ys], dtype=np.int64)
         like = both / (size[x] + size[ys] - both)
         for y, near in zip(ys[like >= likeness].tolist(), like[like >= likeness].tolist()):
-            if label[x] != label[y]:
-                label[label == label[y]] = label[x]
+            if group[x] != group[y]:
+                group[group == group[y]] = group[x]
                 out.append((min(node[x], node[y]), max(node[x], node[y]), near))
     return out
 
 
-def _alike(distance: int, likeness: float):
-    """Rows (part, lo, hi, block, node, fp, shingles), in order of their first four columns, to the links of each (part, lo, hi)."""
+def _alike(likeness: float):
+    """Rows (key, lo, hi, block, node, label, shingles), in order of their first four columns, to the links of each (key, lo, hi)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
 
         def links_of(rows: list[tuple]) -> list[tuple[int, int, float]]:
-            return _compare(*(list(c) for c in zip(*rows)), distance, likeness) if len(rows) > 1 else []
-
-        def told(out: list[tuple[int, int, float]]) -> pa.RecordBatch:
-            cols = list(zip(*out)) or [[], [], []]
-            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64())], names=["a", "b", "likeness"])
+            return _compare(*(list(c) for c in zip(*rows)), likeness) if len(rows) > 1 else []
 
         for batch in batches:
             out = []
-            for part, lo, hi, *row, words in zip(*(batch.column(k).to_pylist() for k in range(6)), _lists(batch.column(6))):
+            for part, lo, hi, *row, found in zip(*(batch.column(k).to_pylist() for k in range(6)), _lists(batch.column(6))):
                 if (part, lo, hi) != key:
                     out += links_of(held)
                     key, held = (part, lo, hi), []
-                held.append((*row, words))
-            yield told(out)
-        yield told(links_of(held))
+                held.append((*row, found.copy()))  # a copy, so that no batch is held
+            yield _told(out)
+        yield _told(links_of(held))
 
     return run
 
 
-def near_copies(texts: DataFrame, cap: int = CAP, distance: int = NEAR, likeness: float = 0.8) -> DataFrame:
-    """texts(node long, fp long, text) to verified links (a, b) of near copies: distinct sets of five-word shingles alike to likeness.
+def buckets(signed: DataFrame) -> DataFrame:
+    """signed(node, size, keys) to (key, band, node, size) of the keys that several texts have."""
+    keys = signed.select("node", "size", F.posexplode("keys").alias("band", "key"))
+    several = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    return materialise(keys.join(several, "key").select("key", "band", "node", "size"), "buckets")
+
+
+def _labelled(keys: DataFrame, links: DataFrame | None) -> DataFrame:
+    """keys with the label of each node's component by the links so far."""
+    if links is None:
+        return keys.withColumn("label", F.col("node"))
+    return keys.join(components(links).withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").drop("_node").withColumn("label", F.coalesce("label", "node"))
+
+
+def _centred(keys: DataFrame, sets: DataFrame, seed: int, likeness: float) -> DataFrame:
+    """Links of each bucket's texts to the bucket's centre, one text of it, where their labels differ."""
+    order = F.col("node") if not seed else F.xxhash64("node", F.lit(seed))
+    centres = keys.groupBy("key").agg(F.min_by(F.struct("node", "size", "label"), order).alias("c"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key", "c")
+    fit = F.least("size", "c.size") / F.greatest("size", "c.size") >= likeness  # others cannot be alike enough
+    pairs = keys.join(centres, "key").where((F.col("label") != F.col("c.label")) & fit).select(F.col("c.node").alias("centre"), "node").distinct()
+    pairs = materialise(pairs, "pairs")
+    parts = pairs.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("parts"))
+    members = pairs.join(parts, "centre").select("centre", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("kind"), "node")
+    own = parts.select("centre", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), F.col("centre").alias("node"))
+    rows = members.unionByName(own).join(sets, "node").select("centre", "part", "kind", "node", "shingles")
+    return rows.repartition("centre", "part").sortWithinPartitions("centre", "part", "kind", "node").mapInArrow(_to_centre(likeness), LINKS)
+
+
+def _blocked(keys: DataFrame, sets: DataFrame, cap: int, likeness: float) -> DataFrame:
+    """Links between all texts of different labels of a bucket, by pairs of blocks of about cap texts or BLOCK shingles."""
+    size = F.greatest(F.ceil(F.count(F.lit(1)) / cap), F.ceil(F.sum("size") / BLOCK)).cast("int")
+    open_ = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("who"), size.alias("blocks"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi and n > 2")
+    open_ = open_.groupBy("who", "n").agg(F.min_by(F.struct("key", "blocks"), "key").alias("x")).select("x.*")  # buckets of the same texts count once
+    dealt = materialise(keys.join(open_, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "open")
+    # A block of texts goes to the rows of its pairs with all blocks, itself too.
+    rows = dealt.select("key", "block", "node", "label", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    rows = rows.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "label").join(sets, "node").select("key", "lo", "hi", "block", "node", "label", "shingles")
+    return rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "block", "node").mapInArrow(_alike(likeness), LINKS)
+
+
+def verified(keys: DataFrame, sets: DataFrame, cap: int = CAP, likeness: float = 0.8) -> DataFrame:
+    """keys of buckets(), sets(node, shingles) to links (a, b, likeness) that connect just what the links of all pairs that share a bucket would.
 
-    Candidates are all pairs of texts within distance bits in fp, the SimHash of two-word shingles, which a few changed words move little.
-    The components of such fingerprints hold both texts of every candidate pair. A component's texts are cut into blocks of about cap texts
-    or BLOCK shingles, and each pair of blocks is verified on whole shingle sets in a row sequence of its own. Candidates that verified links
-    connect already are left out, so the links are a spanning forest of each pair of blocks and connect just what all verified
-    pairs would. A text without words is no near copy.
+    In each round a bucket's texts are compared with its centre alone, one text of the bucket, unless links connect them
+    already; what a round costs is in proportion to the bucket rows. Texts of a bucket that the rounds leave unconnected
+    are then compared with each other, block by block, so no pair that shares a bucket is lost.
     """
-    label = components(links(texts.select("fp").distinct(), cap, distance))
-    named = materialise(texts.select("node", "fp").join(label.withColumnRenamed("node", "_fp"), F.col("fp") == F.col("_fp"), "left").select("node", "fp", F.coalesce("label", "fp").alias("part")), "named")
-    several = named.join(named.groupBy("part").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("part"), "part")
-    found = several.join(texts.select("node", "text"), "node").select("node", "fp", "part", "text").mapInArrow(_sets, "node long, fp long, part long, shingles array<long>")
-    sets = materialise(found.where("size(shingles) > 0"), "shingles")
-    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / cap), F.ceil(F.sum(F.size("shingles")) / BLOCK)).cast("int")
-    sizes = sets.groupBy("part").agg(F.count(F.lit(1)).alias("n"), blocks.alias("blocks")).where("n > 1")
-    dealt = sets.join(sizes, "part").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # A block of texts goes to the rows of its pairs with all blocks, itself too.
-    rows = dealt.select("part", "block", "node", "fp", "shingles", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    rows = rows.select("part", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "fp", "shingles")
-    rows = rows.repartition("part", "lo", "hi").sortWithinPartitions("part", "lo", "hi", "block", "node")
-    return rows.mapInArrow(_alike(distance, likeness), "a long, b long, likeness double")
+    found = None
+    for lo, hi, seed in ROUNDS:
+        new = materialise(_centred(_labelled(keys.where((F.col("band") >= lo) & (F.col("band") < hi)), found), sets, seed, likeness), "links")
+        found = new if found is None else found.unionByName(new)
+    return found.unionByName(materialise(_blocked(_labelled(keys, found), sets, cap, likeness), "links"))
+
 
+def near_copies(texts: DataFrame, cap: int = CAP, likeness: float = 0.8) -> DataFrame:
+    """texts(node long, text) to verified links (a, b, likeness) of near copies: distinct sets of five-word shingles alike to likeness.
+
+    Candidates are all pairs of texts that share one of BANDS keys of WIDTH minima of their sets. The links connect just
+    what all verified candidate pairs would. A null text, or one without words, is no near copy; nodes must be distinct.
+    An empty table gives no links.
+    """
+    signed = materialise(texts.select("node", F.lit(0).cast("long"), "text").mapInArrow(_signed, SIGNED).select(F.col("_id").alias("node"), "size", "keys"), "signed")
+    keys = buckets(signed)
+    sets = materialise(texts.join(keys.select("node").distinct(), "node").select("node", "text").mapInArrow(_sets, "node long, shingles array<long>"), "sets")
+    return verified(keys, sets, cap, likeness)
 
-def keep_one(docs: DataFrame, cap: int = CAP) -> DataFrame:
+
+def keep_one(docs: DataFrame, cap: int = CAP, likeness: float = 0.8) -> DataFrame:
     """The documents with their columns, one of each group of copies: that of the smallest (doc_id, content); a null doc_id comes last.
 
-    First the components of near_duplicates(); then, of what stays, the near copies that near_copies() verifies.
-    Rows are named by doc_id and a hash of all columns; of equal rows one stays.
+    First the components of near_duplicates(); then, of what stays, the near copies as near_copies() finds them.
+    Rows are named by doc_id and a hash of all columns; of equal rows one stays. All documents whose text is null or
+    has no words are one group. An empty table gives an empty one.
     """
     rows = docs.select(whole(docs).alias("doc")).select("doc", F.xxhash64("doc").alias("_row"), F.coalesce(F.col("doc.doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("_id"))
-    prints = materialise(rows.select("_id", "_row", "doc.text").mapInArrow(_named_prints, "_id long, _row long, fp long, near long"), "prints")
-    reps = materialise(prints.groupBy("fp").agg(F.min(F.struct("_id", "_row", "near")).alias("least")), "reps")
+    signed = materialise(rows.select("_id", "_row", "doc.text").mapInArrow(_signed, SIGNED), "prints")
+    reps = materialise(signed.groupBy("fp").agg(F.min(F.struct("_id", "_row")).alias("least")), "reps")
     label = components(links(reps.select("fp"), cap))
     named = reps.join(label, reps.fp == label.node, "left").select("least", F.coalesce("label", "fp").alias("label"))
-    kept = materialise(named.groupBy("label").agg(F.min("least").alias("least")).select("least.*"), "kept")
-    # The texts move once: the rows of a key stay together for the removal of equal ones.
-    left = materialise(rows.join(kept, ["_id", "_row"]).dropDuplicates(["_id", "_row"]).select("doc", "_id", "_row", "near", F.xxhash64("_id", "_row").alias("node")), "left")
-    found = components(near_copies(left.select("node", F.col("near").alias("fp"), "doc.text"), cap).select("a", "b"))
-    ids = left.select("node", "_id", "_row").join(found, "node")
+    kept = named.groupBy("label").agg(F.min("least").alias("least")).select("least.*")
+    kept = materialise(signed.join(kept, ["_id", "_row"]).dropDuplicates(["_id", "_row"]).select("_id", "_row", F.xxhash64("_id", "_row").alias("node"), "size", "keys"), "kept")
+    keys = buckets(kept)
+    # The texts move once: rows of a key stay together for the removal of equal ones.
+    tried = keys.select("node").distinct().withColumn("tried", F.lit(True))
+    narrow = kept.select("_id", "_row", "node").join(tried, "node", "left")
+    left = materialise(rows.join(narrow, ["_id", "_row"]).dropDuplicates(["_id", "_row"]).select("doc", "_id", "_row", "node", "tried"), "left")
+    sets = materialise(left.where("tried").select("node", "doc.text").mapInArrow(_sets, "node long, shingles array<long>"), "sets")
+    found = components(verified(keys, sets, cap, likeness).select("a", "b"))
+    ids = kept.select("node", "_id", "_row").join(found, "node")
     first = ids.groupBy("label").agg(F.min_by("node", F.struct("_id", "_row")).alias("first"))
     gone = ids.join(first, "label").where("node <> first").select("node")
     return left.join(gone, "node", "left_anti").select("doc.*")
-
-
-def _named_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = [t or "" for t in batch.column(2).to_pylist()]
-        cols = [pa.array(np.array([fingerprint(hashes(t, k)) for t in texts], np.uint64).view(np.int64), pa.int64()) for k in (SHINGLE, NEAR_SHINGLE)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], names=["_id", "_row", "fp", "near"])

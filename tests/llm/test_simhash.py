@@ -120,55 +120,65 @@ def test_near_copies_go(spark):
     assert len([i for i in kept if i >= clean]) <= 3 and not any(i >= clean + 60 for i in kept)
 
 
-def test_near_links_are_verified_and_cover_brute_force(spark):
-    rnd = random.Random(8)
-    base = words(rnd, 150)
-    texts = []
-    for _ in range(120):  # one large group of near copies, and others about it
+def near_pairs(texts):
+    """All pairs of distinct five-word shingle sets alike to 0.8, by brute force."""
+    sets = [set(S.shingles(t).tolist()) for t in texts]
+    return [(i, j) for i in range(len(texts)) for j in range(i) if sets[i] and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8]
+
+
+def variants(rnd, base, n, most, word=None):
+    out = []
+    for _ in range(n):
         d = list(base)
-        for _ in range(rnd.randint(0, 3)):
-            d[rnd.randrange(len(d))] = "changed"
-        texts.append(" ".join(d))
-    texts = list(dict.fromkeys(texts + [" ".join(words(rnd, 150)) for _ in range(60)]))
-    prints = [int(np.array([S.fingerprint(S.hashes(t, 2))], np.uint64).view(np.int64)[0]) for t in texts]
-    df = spark.createDataFrame([(i, f, t) for i, (f, t) in enumerate(zip(prints, texts))], "node long, fp long, text string")
-    for cap in (2048, 8):
-        got = S.near_copies(df, cap).collect()
-        assert all(abs(alike(texts[r.a], texts[r.b]) - r.likeness) < 1e-9 for r in got)
-        label = {r.node: r.label for r in S.components(spark.createDataFrame([(r.a, r.b) for r in got], "a long, b long")).collect()}
-        near = [(i, j) for i in range(len(texts)) for j in range(i) if alike(texts[i], texts[j]) >= 0.8 and (prints[i] ^ prints[j]).bit_count() <= 8]
-        assert np.mean([label.get(i) == label.get(j) is not None for i, j in near]) > 0.99
+        for _ in range(rnd.randint(0, most)):
+            d[rnd.randrange(len(d))] = word or rnd.choice("abcdefgh") * 6
+        out.append(" ".join(d))
+    return out
 
 
-def brute(texts, prints):
-    sets = [set(S.shingles(t).tolist()) for t in texts]
-    return [(i, j) for i in range(len(texts)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 8 and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8]
+def groups_of(spark, pairs):
+    return {r.node: r.label for r in S.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
 
 
-def test_every_candidate_of_a_dense_group_is_verified(spark):
-    rnd = random.Random(9)
-    base = words(rnd, 150)
-    texts = []
-    for _ in range(300):
-        d = list(base)
-        for _ in range(rnd.randint(2, 5)):
-            d[rnd.randrange(len(d))] = rnd.choice("abcdefgh") * 6
-        texts.append(" ".join(d))
+def test_near_links_are_verified_and_those_of_brute_force(spark):
+    rnd = random.Random(8)
+    texts = variants(rnd, words(rnd, 150), 120, 3) + variants(rnd, words(rnd, 150), 300, 6)  # a dense group, and a loose one
+    texts += [" ".join(words(rnd, 150)) for _ in range(60)]
     texts = list(dict.fromkeys(texts))
-    prints = [int(np.array([S.fingerprint(S.hashes(t, 2))], np.uint64).view(np.int64)[0]) for t in texts]
-    df = spark.createDataFrame([(i, f, t) for i, (f, t) in enumerate(zip(prints, texts))], "node long, fp long, text string")
-    near = brute(texts, prints)
-    assert len(near) > 400
-    want = {r.node: r.label for r in S.components(spark.createDataFrame(near, "a long, b long")).collect()}
-    for cap in (2048, 40):  # in one block, and in pairs of blocks
-        got = {r.node: r.label for r in S.components(S.near_copies(df, cap).select("a", "b")).collect()}
-        assert got == want
+    df = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    near = near_pairs(texts)  # of all pairs, not of those that a fingerprint finds
+    assert len(near) > 1000
+    want = groups_of(spark, near)
+    for cap in (2048, 16):  # in one block, and in pairs of blocks
+        got = S.near_copies(df, cap).collect()
+        assert all(abs(alike(texts[r.a], texts[r.b]) - r.likeness) < 1e-9 and r.likeness >= 0.8 for r in got)
+        label = groups_of(spark, [(r.a, r.b) for r in got])
+        assert np.mean([label.get(i, -i) == label.get(j, -j) for i, j in near]) > 0.99
+        assert all(want[a] == want[b] for a, b in label.items())
 
 
-def test_texts_of_equal_fingerprints_meet_each_other(spark):
+def test_every_pair_of_a_bucket_is_verified(spark, monkeypatch):
     rnd = random.Random(10)
     one, two = words(rnd, 100), words(rnd, 100)
-    texts = [words(rnd, 100), one, [*one[:-1], "changed"], words(rnd, 100), two, [*two[:-1], "changed"]]
-    prints = [0, 0, 0, 3, 3, 0]  # links within one fingerprint and across two, the smallest node of each unlike them
-    df = spark.createDataFrame([(i, f, " ".join(t)) for i, (f, t) in enumerate(zip(prints, texts))], "node long, fp long, text string")
-    assert {(r.a, r.b) for r in S.near_copies(df).collect()} == {(1, 2), (4, 5)}
+    texts = [words(rnd, 100), one, [*one[:-1], "changed"], words(rnd, 100), two, [*two[:-1], "changed"], words(rnd, 100)]
+    sets = [S.shingles(" ".join(t)).view(np.int64).tolist() for t in texts]
+    monkeypatch.setattr(S, "ROUNDS", ((0, 1, 0),))
+    keys = spark.createDataFrame([(7, 0, i, len(s)) for i, s in enumerate(sets)], "key long, band int, node long, size int")  # one bucket, its centre unlike all
+    got = S.verified(keys, spark.createDataFrame(list(enumerate(sets)), "node long, shingles array<long>"), cap=3)
+    assert {(r.a, r.b) for r in got.collect()} == {(1, 2), (4, 5)}
+
+
+def test_bands_meet_by_likeness():
+    rng = np.random.default_rng(11)
+    met = 0
+    for _ in range(300):
+        own = rng.integers(1, 1 << 63, 360, dtype=np.uint64)  # 320 shared of 400: alike to 0.8
+        a, b = S.bands(np.unique(own)), S.bands(np.unique(np.concatenate([own[:320], rng.integers(1, 1 << 63, 40, dtype=np.uint64)])))
+        met += bool((a == b).any())
+    assert met >= 294 and not len(S.bands(np.zeros(0, np.uint64))) and len(S.bands(S.shingles("one word"))) == S.BANDS
+
+
+def test_near_copies_of_odd_tables(spark, odd_docs, no_docs):
+    named = odd_docs.selectExpr("monotonically_increasing_id() AS node", "text")
+    assert {r.likeness for r in S.near_copies(named).collect()} == {1.0}  # the equal texts alone
+    assert S.near_copies(no_docs.selectExpr("doc_id AS node", "text")).count() == 0
