@@ -7,10 +7,13 @@ products weigh pairs of terms, such as an insult with the mention of a group, wh
 added weights miss. A document's features are the distinct kept numbers of its
 whole text, so length neither dilutes nor cuts anything.
 
-Training: a sample of at most SAMPLE labelled rows, the least by hash of doc_id
-(documented bound; their share of the corpus does not matter). Executors count
-documents by number and label; the KEPT numbers with the clearest difference remain, and
-the driver fits the machine to the sample's few kept numbers. All else is fixed by seed.
+Training: a sample of labelled rows, the least by hash of doc_id, at most SAMPLE of them and TERMS
+numbers in all (documented bounds; their share of the corpus does not matter). The driver fits
+the machine in three steps. All numbers of LEAST documents are admitted. Weights alone are fitted
+with an L1 penalty at the level that noise reaches, which sets most of them to nothing. The errors
+left are then summed over the documents of each pair of the PAIRED most frequent numbers: of the pairs
+beyond what noise reaches over all pairs, the PAIRS clearest stay, even if their members are neutral alone.
+The whole machine is fitted to the numbers that stay. All is fixed by seed.
 
 Nulls and empties: a null or empty text gets the score of no features. Labels
 that are null, or of rows without a document, are left out; of several labels the highest
@@ -30,18 +33,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tessera.llm.common import materialise, whole
+from tessera.llm.common import materialise, slices, whole
 
 WORD = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 20
 STEMS = (3, 4, 5, 6)
-SAMPLE = 24_000
-KEPT = 4096
+SAMPLE, TERMS = 16_000, 24_000_000
 FACTORS = 4
-LEAST = 4  # documents of the sample that a kept number occurs in at least
-CLEAR = 5.0  # standard errors that its share among toxic documents differs by at least
+LEAST = 4  # documents of the sample that an admitted number occurs in at least
+PAIRED, PAIRS = 4096, 200  # most frequent numbers whose pairs are looked at, and pairs that stay at most: the size of the model
 THRESHOLD = 0.3
-REMEMBER = 200_000
+REMEMBER = 4 << 20  # characters of the words that a worker remembers
 SEED = 7
 
 
@@ -58,29 +60,96 @@ def features(text: str | None) -> set[int]:
     return out
 
 
-
 def held_out(doc_id: Column) -> Column:
     """Rows whose labels are never learnt from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    n = np.zeros((2, BUCKETS), np.int32)
-    for batch in batches:
-        for text, toxic in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            n[toxic, np.fromiter(features(text), np.int64)] += 1
-    at = np.flatnonzero(n.sum(0))
-    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(n[0, at], pa.int64()), pa.array(n[1, at], pa.int64())], names=["term", "clean", "toxic"])
-
-
-def _pick(kept: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        want = set(kept.tolist())
-        for batch in batches:
-            found = [sorted(features(t) & want) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32())), batch.column(2)], names=["doc_id", "terms", "toxic"])
-
-    return run
+def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text, toxic) to (doc_id, toxic, n, terms): the hashed terms, four bytes each."""
+    for batch in (part for full in batches for part in slices(full, 1)):
+        found = [np.sort(np.fromiter(features(t), "<i4")) for t in batch.column(1).to_pylist()]
+        cols = [batch.column(0), batch.column(2), pa.array(map(len, found), pa.int32()), pa.array([x.tobytes() for x in found], pa.binary())]
+        yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "toxic", "n", "terms"])
+
+
+class Table:
+    """The sample: documents with their numbers, worked on in parts so that no array of all of them is made."""
+
+    def __init__(self, col: np.ndarray, size: np.ndarray, width: int, part: int = 1 << 20) -> None:
+        self.col, self.size, self.n, self.width = col, size, len(size), width
+        self.end = np.cumsum(size)
+        self.cuts = [0, *sorted({int(np.searchsorted(self.end, k)) for k in range(part, len(col), part)} - {0, self.n}), self.n]
+
+    def parts(self) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        for lo, hi in zip(self.cuts[:-1], self.cuts[1:]):
+            if hi > lo:
+                yield slice(lo, hi), np.repeat(np.arange(hi - lo), self.size[lo:hi]), self.col[self.end[lo] - self.size[lo] : self.end[hi - 1]]
+
+    def times(self, v: np.ndarray) -> np.ndarray:
+        """Sum of v over each document's numbers."""
+        return np.concatenate([np.zeros(0), *(np.bincount(row, v[col], rows.stop - rows.start) for rows, row, col in self.parts())])
+
+    def back(self, u: np.ndarray) -> np.ndarray:
+        """Sum of u over each number's documents."""
+        return sum((np.bincount(col, u[rows][row], self.width) for rows, row, col in self.parts()), np.zeros(self.width))
+
+
+def sparse_weights(x: Table, y: np.ndarray, rounds: int = 40) -> tuple[np.ndarray, np.ndarray]:
+    """Weights by logistic loss with an L1 penalty, and the errors left; numbers are scaled to equal variance, and the penalty is the largest of as many pure noise terms (accelerated proximal gradient)."""
+    df = x.back(np.ones(x.n))
+    scale = 1 / np.sqrt(df * (1 - df / x.n) + 0.5)
+    share = y.mean()
+    penalty = np.sqrt(2 * np.log(x.width + 1) * share * (1 - share))
+    u = np.random.default_rng(SEED).normal(size=x.width)
+    for _ in range(6):  # the steepest curvature, by power iteration
+        r = x.times(scale * (u / np.linalg.norm(u)))
+        u = scale * x.back(r - r.mean())
+    steep = 0.3 * np.linalg.norm(u) + 1e-9
+    bias, w, z, t = float(np.log((y.sum() + 1) / (x.n - y.sum() + 1))), np.zeros(x.width), np.zeros(x.width), 1.0
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(bias + x.times(scale * z), -30, 30)))
+        bias -= 0.5 * float((p - y).mean() / max((p * (1 - p)).mean(), 0.02))
+        new = z - scale * x.back((p - y) - (p - y).mean()) / steep
+        new = np.sign(new) * np.maximum(np.abs(new) - penalty / steep, 0)
+        later = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        z, w, t = new + (t - 1) / later * (new - w), new, later
+    return scale * w, y - 1 / (1 + np.exp(-np.clip(bias + x.times(scale * w), -30, 30)))
+
+
+def telling_pairs(x: Table, left: np.ndarray, share: float) -> np.ndarray:
+    """Numbers of the pairs over whose documents the errors left, less what each of the two has by itself, add up to more than the largest of as many sums of noise."""
+    often = np.argsort(-x.back(np.ones(x.n)), kind="stable")[:PAIRED]
+    at = np.full(x.width, -1)
+    at[often] = np.arange(len(often))
+    has = np.zeros((x.n, len(often)), bool)
+    for rows, row, col in x.parts():
+        own = at[col]
+        has[rows.start + row[own >= 0], own[own >= 0]] = True
+    # Fewer common documents than this do not make a normal sum.
+    least, limit = 5 / (share * (1 - share)), np.sqrt(2 * np.log(len(often) ** 2 / 2 + 2) * left.var())
+    found, alone = [], (x.back(left) / np.maximum(x.back(np.ones(x.n)), 1))[often].astype(np.float32)
+    for done in range(0, len(often), 512):
+        n = np.zeros((min(512, len(often) - done), len(often)), np.float32)
+        error = np.zeros_like(n)
+        for k in range(0, x.n, 2048):
+            block = has[k : k + 2048].astype(np.float32)
+            n += block[:, done : done + 512].T @ block
+            error += (block[:, done : done + 512] * left[k : k + 2048, None].astype(np.float32)).T @ block
+        error -= n * (alone[done : done + 512, None] + alone[None])  # what each of the two has by itself
+        z = np.abs(error) / np.sqrt(np.maximum(n, 1))
+        z[np.arange(len(often))[None] <= done + np.arange(len(n))[:, None]] = 0  # each pair once
+        i, j = np.nonzero((n >= least) & (z > limit))
+        found = sorted([*found, *zip((-z[i, j]).tolist(), (i + done).tolist(), j.tolist())])[:PAIRS]
+    return often[sorted({k for _, *pair in found for k in pair})]
+
+
+def choose(x: Table, y: np.ndarray) -> np.ndarray:
+    """The numbers that stay: those with a weight, and those of pairs that tell."""
+    if not x.width or not 0 < y.sum() < x.n:
+        return np.zeros(0, np.int64)
+    w, left = sparse_weights(x, y)
+    return np.union1d(np.flatnonzero(w), telling_pairs(x, left, y.mean()))
 
 
 class Machine:
@@ -129,40 +198,48 @@ def fit(kept: np.ndarray, rows: list[list[int]], y: np.ndarray, rounds: int = 25
     return m
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int = TERMS) -> Machine:
     """Fit a machine to a sample of the labels that are not held out."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic").where("doc_id is not null and toxic in (0, 1)").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     # At most SAMPLE rows of two numbers, so the broadcast has a fixed size.
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id").select("doc_id", "text", "toxic")
-    rows = materialise(rows, "labelled")
-    total = {r[0]: r[1] for r in rows.groupBy("toxic").count().collect()}
-    clean, toxic = total.get(0, 0), total.get(1, 0)
-    if not clean + toxic:
+    numbered = rows.mapInArrow(_number, "doc_id long, toxic int, n int, terms binary").groupBy("doc_id").agg(F.min(F.struct("terms", "n", "toxic")).alias("x"))
+    numbered = materialise(numbered.select("doc_id", "x.terms", "x.n", "x.toxic", F.xxhash64("doc_id").alias("place")), "labelled")
+    sizes = sorted((r.place, r.doc_id, r.n) for r in numbered.select("place", "doc_id", "n").collect())  # SAMPLE rows at most
+    fit_in = int(np.searchsorted(np.cumsum([n for _, _, n in sizes]), terms, side="right"))
+    got = numbered if fit_in == len(sizes) else numbered.where(F.struct("place", "doc_id") < F.struct(*(F.lit(v).cast("long") for v in sizes[fit_in][:2])))
+    got = got.select("doc_id", "terms", "toxic").toArrow().sort_by("doc_id")  # TERMS numbers at most
+    y = got.column("toxic").to_numpy().astype(float)
+    found = [np.frombuffer(t.as_py(), "<i4") for t in got.column("terms")]
+    if not len(y):
         return Machine(np.zeros(0, np.int64), -30.0, np.zeros(0), np.zeros((0, FACTORS)))
-    terms = rows.coalesce(16).mapInArrow(_count, "term int, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where(F.col("clean") + F.col("toxic") >= LEAST)
-    p = (F.col("clean") + F.col("toxic")) / (clean + toxic)
-    gap = F.col("toxic") / max(toxic, 1) - F.col("clean") / max(clean, 1)
-    z = F.abs(gap) / F.sqrt(p * (1 - p) * (1 / max(toxic, 1) + 1 / max(clean, 1)) + 1e-12)
-    best = terms.withColumn("z", z).where(F.col("z") >= CLEAR).orderBy(F.desc("z"), "term").limit(KEPT)
-    kept = np.array(sorted(r[0] for r in best.select("term").collect()), np.int64)  # KEPT numbers at most
-    found = rows.mapInArrow(_pick(kept), "doc_id long, terms array<int>, toxic int").orderBy("doc_id").collect()  # SAMPLE rows of the few kept terms
-    return fit(kept, [np.searchsorted(kept, r["terms"]).tolist() for r in found], np.array([r["toxic"] for r in found], float))
+    df = sum((np.bincount(np.concatenate(found[k : k + 256]), minlength=BUCKETS) for k in range(0, len(found), 256)), np.zeros(BUCKETS, np.int64))
+    admitted = np.flatnonzero(df >= LEAST)
+    at = np.full(BUCKETS, -1, np.int32)
+    at[admitted] = np.arange(len(admitted), dtype=np.int32)
+    found = [x[x >= 0] for x in (at[x] for x in found)]
+    stay = choose(Table(np.concatenate(found), np.array([len(x) for x in found]), len(admitted)), y)
+    at = np.full(len(admitted), -1)
+    at[stay] = np.arange(len(stay))
+    return fit(admitted[stay], [x[x >= 0].tolist() for x in (at[x] for x in found)], y)
 
 
 def _score(machine: Machine):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = {int(x): i for i, x in enumerate(machine.kept)}
         seen: dict[str, tuple[int, ...]] = {}  # of each word met: its kept terms
-        for batch in batches:
+        held = 0
+        for batch in (part for full in batches for part in slices(full, full.num_columns - 1)):
             rows = []
             for text in batch.column(batch.num_columns - 1).to_pylist():
                 got = set(WORD.findall((text or "").lower()))
                 for w in got.difference(seen):
                     seen[w] = tuple(at[x] for x in numbers(w) if x in at)
+                    held += len(w) + 24
                 rows.append(sorted({x for w in got for x in seen[w]}))
-                if len(seen) > REMEMBER:
-                    seen = {}
+                if held > REMEMBER:
+                    seen, held = {}, 0
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(machine.scores(rows), pa.float64())], names=[*batch.schema.names[:-1], "score"])
 
     return run

@@ -169,6 +169,41 @@ def test_toxicity(spark, odd_docs, no_docs):
     assert sure.count() == 10
 
 
+def test_pairs_of_neutral_words_are_learnt():
+    """Each of four words is as frequent among toxic texts as among others; which two stand together decides."""
+    rng = np.random.default_rng(6)
+    y = (np.arange(1500) % 3 == 0).astype(float)
+    pairs = {1: [(0, 1), (2, 3)], 0: [(0, 2), (0, 3), (1, 2), (1, 3)]}
+    rows = [np.unique([*pairs[int(t)][rng.integers(len(pairs[int(t)]))], *rng.integers(4, 900, 30)]) for t in y]
+    x = toxicity.Table(np.concatenate(rows), np.array([len(r) for r in rows]), 900, part=5000)
+    assert np.allclose(x.times(np.arange(900.0)), [r.sum() for r in rows])
+    assert np.allclose(x.back(y), np.bincount(np.concatenate(rows), np.repeat(y, [len(r) for r in rows]), 900))
+    stay = toxicity.choose(x, y)
+    assert {0, 1, 2, 3} <= set(stay.tolist()) and len(stay) < 60
+    inside = [np.searchsorted(stay, np.intersect1d(r, stay)).tolist() for r in rows]
+    machine = toxicity.fit(stay, inside, y)
+    assert ((machine.scores(inside) >= toxicity.THRESHOLD) == (y == 1)).mean() > 0.97
+    # Nothing stands out in noise.
+    assert len(toxicity.choose(x, rng.permutation(y))) < 30
+
+
+def test_scores_are_those_of_all_pairs():
+    rng = np.random.default_rng(7)
+    m = toxicity.Machine(np.arange(50), 0.3, rng.normal(size=50), rng.normal(size=(50, toxicity.FACTORS)))
+    rows = [[], [4], *(rng.choice(50, n, replace=False).tolist() for n in (2, 9, 50))]
+    want = [0.3 + sum(m.weight[i] for i in r) + sum(float(m.factor[i] @ m.factor[j]) for i in r for j in r if i < j) for r in rows]
+    assert np.allclose(m.scores(rows), 1 / (1 + np.exp(-np.clip(want, -30, 30))))
+
+
+def test_the_sample_is_bounded(spark):
+    data = toxic_docs(random.Random(8), 400)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in data] + [(0, "idiot " + data[0][1])], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, x) for i, _, x in data], "doc_id long, toxic int")
+    few = toxicity.learn(docs, labels, terms=9000)
+    assert len(few.kept) and few.kept.tolist() == toxicity.learn(docs.repartition(4), labels, terms=9000).kept.tolist()
+    assert toxicity.learn(docs, labels, sample=0).bias == -30
+
+
 def test_labels_of_held_out_rows_change_nothing(spark):
     data = toxic_docs(random.Random(4), 600)
     docs = spark.createDataFrame([(i, t) for i, t, _ in data], "doc_id long, text string")
