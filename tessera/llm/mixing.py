@@ -10,11 +10,12 @@ from START to 2 - START times its mean (odd ranks rise, even ranks fall), so its
 target * (s t + (1 - s) t^2). Its documents stand in a fixed random order, one
 after another and again from the first once all are used. The words that
 lie below the target are taken; a copy's training position is the time at which
-the demand reaches its first word, by inverting the integral.
+the demand reaches its first word, by inverting the integral. mix() cuts the copy that the target
+ends in after the last word taken, so its texts hold just the words that are taken.
 
 Nulls and empties: null or empty texts have size 0, are taken 0 words and get
 position null. A null source is a source of its own, the last one. Repeated rows are
-documents of their own. With no words at all, targets are 0. An empty table gives an empty
+documents of their own, in the order of all their columns where they tie. With no words at all, targets are 0. An empty table gives an empty
 result. Extra columns are ignored, or kept by mix().
 """
 
@@ -29,7 +30,8 @@ from tessera.llm.common import materialise, prefix_sums, whole, words
 WEIGHTS = (5, 2, 1)
 CEILING = 3
 START = 0.5
-BUCKETS = 256
+#: Documents of a bucket of the random order, about; the number of buckets follows the data.
+BUCKET = 50_000
 
 
 def targets(sizes: DataFrame) -> DataFrame:
@@ -65,28 +67,51 @@ def draw(doc_id: Column, text: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.coalesce(doc_id.cast("long").cast("string"), F.lit("")), F.sha2(F.coalesce(text, F.lit("")), 256)), 256)
 
 
-def taken(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, taken, position (of the first copy), rank and before (words ahead of it)."""
-    sized = materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", words(F.col("text")).alias("size"), draw(F.col("doc_id"), F.col("text")).alias("draw")), "sizes")
+def _taken(docs: DataFrame, own: list[Column]) -> DataFrame:
+    """One row per document: own, source, size, source_size, target, rank, before (words ahead of it) and draw."""
+    sized = materialise(docs.select(*own, "source", words(F.col("text")).alias("size"), draw(F.col("doc_id"), F.col("text")).alias("draw")), "sizes")
     goals = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")))
-    dealt = sized.withColumn("_bucket", F.conv(F.substring("draw", 1, 2), 16, 10).cast("int"))
-    ahead = prefix_sums(dealt, ["source"], "_bucket", ["draw"], F.col("size"), "before")
-    found = ahead.join(goals.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
-    goal = F.round("target").cast("long")
-    take = sum(F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), goal - (k * F.col("source_size") + F.col("before")))) for k in range(CEILING))
+    digits = next((d for d in range(1, 7) if 16**d * BUCKET >= sized.count()), 7)
+    names = [c for c in sized.columns if c not in ("source", "size", "draw")]
+    dealt = sized.withColumn("_bucket", F.conv(F.substring("draw", 1, digits), 16, 10).cast("int"))
+    ahead = prefix_sums(dealt, ["source"], "_bucket", ["draw", *names], F.col("size"), "before")
+    return ahead.join(goals.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source", "_bucket")
+
+
+def _of_copy(k: Column | int) -> Column:
+    """Words taken of copy k of a document."""
+    return F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.round("target").cast("long") - (k * F.col("source_size") + F.col("before"))))
+
+
+def taken(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, taken and position (of the first copy)."""
+    found = _taken(docs, [F.col("doc_id").cast("long").alias("doc_id")])
+    take = sum(_of_copy(k) for k in range(CEILING))
     when = position(F.col("before").cast("double"), F.col("target"), F.col("rank") % 2 == 0)
-    return found.select("doc_id", "source", "size", "source_size", "target", take.alias("taken"), F.when(take > 0, when).alias("position"), "rank", "before", "draw")
+    return found.select("doc_id", "source", "size", "source_size", "target", take.alias("taken"), F.when(take > 0, when).alias("position"))
+
+
+def _first_words(text: Column, n: Column) -> Column:
+    """text up to the end of its n-th word."""
+    return F.concat_ws("", F.slice(F.split(text, r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])", n + 1), F.lit(1), n))
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """The documents in training order, with all their columns: a row for each copy that the mix takes by half or more."""
-    chosen = taken(docs).where("taken > 0")
-    copies = chosen.select("draw", "source", F.explode(F.expr(f"filter(transform(sequence(0, {CEILING - 1}), k -> struct(k AS copy, k * source_size + before AS at)), x -> x.at + size / 2.0 <= round(target))")).alias("x"), "target", "rank")
+    """The documents in training order, with all their columns: a row for each copy that the mix takes.
+
+    A copy that is taken in part holds the words taken. Every row is named, as equal rows are documents of their own.
+    """
+    named = materialise(docs.select(F.monotonically_increasing_id().alias("row"), whole(docs).alias("doc")), "named")
+    narrow = named.select("row", F.xxhash64("doc").alias("content"), "doc.doc_id", "doc.text", "doc.source")
+    found = _taken(narrow, [F.col("content"), F.col("row")])
+    copies = F.array_compact(F.array(*[F.when(_of_copy(k) > 0, F.struct((k * F.col("source_size") + F.col("before")).alias("at"), _of_copy(k).alias("words"))) for k in range(CEILING)]))
+    placed = found.select("row", "draw", "size", "target", "rank", F.explode(copies).alias("x"))
     at = position(F.col("x.at").cast("double"), F.col("target"), F.col("rank") % 2 == 0)
-    placed = copies.groupBy("draw", "source").agg(F.array_sort(F.collect_set(at)).alias("times"))
-    named = docs.select(whole(docs).alias("doc")).select("doc", draw(F.col("doc.doc_id"), F.col("doc.text")).alias("name"))
-    out = named.join(placed, (F.col("name") == F.col("draw")) & F.col("doc.source").eqNullSafe(F.col("source"))).select("doc", "name", F.explode("times").alias("time"))
-    return out.repartitionByRange("time", "name").sortWithinPartitions("time", "name").select("doc.*")
+    placed = placed.select(F.col("row").alias("_row"), "draw", at.alias("time"), F.when(F.col("x.words") < F.col("size"), F.col("x.words").cast("int")).alias("part"))
+    out = named.join(placed, F.col("row") == F.col("_row"))
+    cut = F.when(F.col("part").isNull(), F.col("doc.text")).otherwise(_first_words(F.col("doc.text"), F.col("part")))
+    out = out.select(F.col("doc").withField("text", cut).alias("doc"), "time", "draw")
+    return out.repartitionByRange("time", "draw").sortWithinPartitions("time", "draw").select("doc.*")
 
 
 def query(docs: DataFrame) -> DataFrame:

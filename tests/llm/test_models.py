@@ -79,6 +79,20 @@ def test_targets_and_demand(spark):
     assert abs(0.5 * y + 0.5 * y * y - 0.3) < 1e-5
 
 
+def test_mix_takes_what_the_query_says(spark):
+    """Repeated rows, and rows that tie in all but another column, are documents of their own; texts hold just the words taken."""
+    equal = [(1, "a b c d", "s", 1)] * 6 + [(2, "e f  g h", "s", 1), (3, "x\ty", "t", 1), (3, "x\ty", "t", 2), (4, None, "t", 1), (5, "p q r s t u v w x y z " * 40, None, 1)]
+    docs = spark.createDataFrame(equal, "doc_id long, text string, source string, row int")
+    want = mixing.taken(docs).toPandas()
+    got = mixing.mix(docs).withColumn("words", mixing.words(F.col("text"))).toPandas()
+    assert got.groupby("doc_id").words.sum().to_dict() == {k: v for k, v in want.groupby("doc_id").taken.sum().to_dict().items() if v}
+    assert got.columns.tolist() == ["doc_id", "text", "source", "row", "words"]
+    full = {1: "a b c d", 2: "e f  g h", 3: "x\ty", 5: equal[-1][1]}
+    assert all(full[i].startswith(t) and not t.endswith(" " * (len(t) < len(full[i]))) or t == full[i] for i, t in zip(got.doc_id, got.text))
+    assert (got.text != got.doc_id.map(full)).sum() <= 3  # one a source at most is cut
+    assert sorted(map(tuple, got.astype(str).to_numpy())) == sorted(map(tuple, mixing.mix(docs.repartition(3)).withColumn("words", mixing.words(F.col("text"))).toPandas().astype(str).to_numpy()))
+
+
 def test_perspectives(spark):
     schema = "conv_id long, turn long, role string, text string, part string, own int"
     data = [(1, 0, "system", "be kind"), (1, 1, "ann", "hi <|end|>"), (1, 2, "bob", "yo"), (1, 2, "bob", "yo"), (1, 2, "ann", "tie"), (1, None, "bob", None), (2, 0, "system", "alone"), (None, 0, None, "x"), (3, 5, "a|b", "")]
@@ -239,7 +253,7 @@ def test_pipeline(spark, odd_docs, no_docs, tmp_path):
         if k == 3:
             want = mixing.taken(cur).agg(F.sum("taken")).first()[0]
             got = out.select(mixing.words(F.col("text")).alias("n")).agg(F.sum("n")).first()[0]
-            assert abs(got - want) < 0.1 * want + 30_000
+            assert got == want
         if k == 4:
             assert out.select("doc_id").distinct().count() == cur.select("doc_id").distinct().count()
         sizes.append(out.count())
