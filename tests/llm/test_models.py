@@ -130,19 +130,31 @@ def test_top_k(spark):
     assert pivots.top_k(df.limit(0)).count() == 0 and pivots.top_k(df.where("vec_id = 7")).count() == 0
 
 
+def blocks_of(x, p, size=200):
+    near = np.argsort(p.nearest(x), kind="stable")
+    return [pivots.Block(near[k : k + size], near[k : k + size], x[near[k : k + size]], p.table(x[near[k : k + size]])) for k in range(0, len(x), size)]
+
+
+def share_evaluated(x, asked, chosen, k=5):
+    """Of all pairs, after a comparison with brute force; and of blocks of clusters."""
+    p = pivots.Pivots(chosen)
+    found, done = pivots.search(pivots.Block(asked, asked, x[asked], p.table(x[asked])), blocks_of(x, p), k)
+    for n, q in enumerate(asked.tolist()):
+        s = x @ x[q]
+        assert [(j, v) for i, j, _, v in found if i == n] == [(j, -v) for v, j in sorted((-s[j], j) for j in range(len(x)) if j != q)[:k]]
+    return done / (len(asked) * len(x))
+
+
 def test_bounds_leave_candidates_out():
     rng = np.random.default_rng(2)
-    centre = rng.normal(0, 100, (20, 16))
-    x = np.repeat(centre, 100, 0).astype(np.int64) + rng.integers(-3, 4, (2000, 16))
-    p = x[::200]
-    d = pivots._distances(x, p)
-    ids = np.arange(2000)
-    found, done = pivots.search(x[:50], d[:50], ids[:50], x, d, ids, ids, 5)
-    assert done < 0.6 * 50 * 2000
-    for q in range(50):
-        s = x @ x[q]
-        best = sorted((-s[j], j) for j in range(2000) if j != q)[:5]
-        assert [(j, v) for i, j, v in found if i == q] == [(j, -v) for v, j in best]
+    clusters = np.repeat(rng.normal(0, 100, (20, 16)), 100, 0).astype(np.int64) + rng.integers(-3, 4, (2000, 16))
+    assert share_evaluated(clusters, np.arange(0, 2000, 50), clusters[::200]) < 0.15
+    real = pd.read_parquet(os.path.join(os.path.dirname(SF.rstrip("/")), "sf0.1", "embeddings.parquet"))
+    x = np.floor(256 * np.stack(real[real.embedding.notna()].embedding.to_numpy()).astype(float)).astype(np.int64)
+    asked = np.arange(0, len(x), 50)
+    assert share_evaluated(x, asked, x[1 : 1 + int(pivots.SHARE * x.shape[1])]) < 0.05  # no clusters: seven eighths of the width are needed
+    few = pivots.Pivots(x[1:17])
+    assert (pivots._safe(few.table(x[asked]) @ few.table(x).T) >= x[asked] @ x.T).all()  # a bound with any pivots
 
 
 def toxic_docs(rnd, n):
