@@ -152,7 +152,7 @@ def test_bounds_leave_candidates_out():
     real = pd.read_parquet(os.path.join(os.path.dirname(SF.rstrip("/")), "sf0.1", "embeddings.parquet"))
     x = np.floor(256 * np.stack(real[real.embedding.notna()].embedding.to_numpy()).astype(float)).astype(np.int64)
     asked = np.arange(0, len(x), 50)
-    assert share_evaluated(x, asked, x[1 : 1 + int(pivots.SHARE * x.shape[1])]) < 0.05  # no clusters: seven eighths of the width are needed
+    assert share_evaluated(x, asked, x[1 : 1 + int(pivots.SHARE * x.shape[1])]) < 0.1  # no clusters: seven eighths of the width are needed
     few = pivots.Pivots(x[1:17])
     assert (pivots._safe(few.table(x[asked]) @ few.table(x).T) >= x[asked] @ x.T).all()  # a bound with any pivots
 
