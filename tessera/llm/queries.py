@@ -29,7 +29,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_edit_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return editprint.fingerprints(_read(spark, sf_dir, "documents"))
+    return editprint.near(_read(spark, sf_dir, "documents"))
 
 
 @query

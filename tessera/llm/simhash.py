@@ -32,6 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.banding import buckets, lists, verified
 from tessera.llm.common import materialise, slices, whole
 from tessera.llm.components import components
 
@@ -42,10 +43,6 @@ CAP = 2048
 SALTS = 16
 #: For near copies: words of a shingle, bands of each text and minima of a band. A pair alike to 0.8 shares a band with a chance of 0.998.
 NEAR_SHINGLE, BANDS, WIDTH = 5, 16, 5
-#: The bands whose buckets are linked to a centre in each round, and how the centre is chosen (by a hash with that seed).
-ROUNDS = ((0, 4, 0), (4, BANDS, 0), (0, BANDS, 1))
-#: Texts that meet one copy of their centre; shingles of a block of texts that are compared, about.
-MEMBERS, BLOCK = 256, 1_000_000
 _draw = np.random.default_rng(SEED)
 _MINIMA = _draw.integers(1, 1 << 63, (BANDS * WIDTH, 1), dtype=np.uint64) | np.uint64(1)
 _MIX = _draw.integers(1, 1 << 63, (BANDS, WIDTH), dtype=np.uint64) | np.uint64(1)
@@ -184,21 +181,14 @@ def _verify(distance: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [np.zeros((0, 2), np.uint64)]
-            for base, probe in zip(_lists(batch.column(0)), _lists(batch.column(1))):
-                found.append(_row_links(base, probe, distance))
+            for base, probe in zip(lists(batch.column(0)), lists(batch.column(1))):
+                found.append(_row_links(base.view(np.uint64), probe.view(np.uint64), distance))
             a = np.unique(np.concatenate(found), axis=0).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(a[:, 0], pa.int64()), pa.array(a[:, 1], pa.int64())], names=["a", "b"])
 
     return run
 
 
-def _lists(column: pa.ListArray) -> Iterator[np.ndarray]:
-    """The lists of a column, as views: no Python number is made of them."""
-    at, flat = column.offsets.to_numpy(), column.values.to_numpy().view(np.uint64)
-    for s, e in zip(at[:-1].tolist(), at[1:].tolist()):
-        yield flat[s:e]
-
-
 def _row_links(base: np.ndarray, probe: np.ndarray, distance: int) -> np.ndarray:
     """Links of one row, larger fingerprint first. The work is on arrays of at most 256 by the row's length."""
     q, b = np.unique(np.concatenate([base, probe])), np.unique(base)
@@ -294,143 +284,19 @@ SIGNED = "_id long, _row long, fp long, size int, keys array<long>"
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in (part for full in batches for part in slices(full, 1)):
         found = pa.array([shingles(t or "").view(np.int64) for t in batch.column(1).to_pylist()], pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), found], names=["node", "shingles"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), found], names=["node", "item"])
 
 
 def _like(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard index of two sorted sets."""
+    """Jaccard index of two sorted sets of unsigned numbers."""
+    a, b = a.view(np.uint64), b.view(np.uint64)
     both = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum())
     return both / (len(a) + len(b) - both)
 
 
-LINKS = "a long, b long, likeness double"
-
-
-def _told(out: list[tuple[int, int, float]]) -> pa.RecordBatch:
-    cols = list(zip(*out)) or [[], [], []]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64()))], names=["a", "b", "likeness"])
-
-
-def _to_centre(likeness: float):
-    """Rows (centre, part, kind, node, shingles) in that order to links: kind 0 is the centre itself, those after it are compared with it alone."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = None
-        for batch in batches:
-            out = []
-            for centre, kind, node, found in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), _lists(batch.column(4))):
-                if not kind:
-                    own = found.copy()
-                elif (near := _like(own, found)) >= likeness:
-                    out.append((min(centre, node), max(centre, node), near))
-            yield _told(out)
-
-    return run
-
-
-def _compare(side: list[int], node: list[int], label: list[int], sets: list[np.ndarray], likeness: float) -> list[tuple[int, int, float]]:
-    """Every pair of different labels is verified unless links connect it already; a spanning forest of the links comes out.
-
-    side: the block of each text. If there are two, only pairs across them count, as each block has a row sequence of its own.
-    """
-    two, across, group = len(set(side)) > 1, np.array(side), np.array(label)
-    ids, size = np.unique(np.concatenate(sets), return_inverse=True)[1], np.array([len(s) for s in sets])
-    end = np.cumsum(size)
-    has, out = np.zeros(len(ids) and int(ids.max()) + 1, bool), []
-    for x in range(len(node) - 1):
-        fit = group[x] != group[x + 1 :]
-        fit &= np.minimum(size[x], size[x + 1 :]) / np.maximum(size[x], size[x + 1 :]) >= likeness  # others cannot be alike enough
-        if two:
-            fit &= across[x] != across[x + 1 :]
-        ys = np.flatnonzero(fit) + x + 1
-        if not len(ys):
-            continue
-        own = ids[end[x] - size[x] : end[x]]
-        has[own] = True
-        both = np.array([np.count_nonzero(has[ids[end[y] - size[y] : end[y]]]) for y in ys.tolist()])
-        has[own] = False
-        like = both / (size[x] + size[ys] - both)
-        for y, near in zip(ys[like >= likeness].tolist(), like[like >= likeness].tolist()):
-            if group[x] != group[y]:
-                group[group == group[y]] = group[x]
-                out.append((min(node[x], node[y]), max(node[x], node[y]), near))
-    return out
-
-
-def _alike(likeness: float):
-    """Rows (key, lo, hi, block, node, label, shingles), in order of their first four columns, to the links of each (key, lo, hi)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
-
-        def links_of(rows: list[tuple]) -> list[tuple[int, int, float]]:
-            return _compare(*(list(c) for c in zip(*rows)), likeness) if len(rows) > 1 else []
-
-        for batch in batches:
-            out = []
-            for part, lo, hi, *row, found in zip(*(batch.column(k).to_pylist() for k in range(6)), _lists(batch.column(6))):
-                if (part, lo, hi) != key:
-                    out += links_of(held)
-                    key, held = (part, lo, hi), []
-                held.append((*row, found.copy()))  # a copy, so that no batch is held
-            yield _told(out)
-        yield _told(links_of(held))
-
-    return run
-
-
-def buckets(signed: DataFrame) -> DataFrame:
-    """signed(node, size, keys) to (key, band, node, size) of the keys that several texts have."""
-    keys = signed.select("node", "size", F.posexplode("keys").alias("band", "key"))
-    several = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    return materialise(keys.join(several, "key").select("key", "band", "node", "size"), "buckets")
-
-
-def _labelled(keys: DataFrame, links: DataFrame | None) -> DataFrame:
-    """keys with the label of each node's component by the links so far."""
-    if links is None:
-        return keys.withColumn("label", F.col("node"))
-    return keys.join(components(links).withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").drop("_node").withColumn("label", F.coalesce("label", "node"))
-
-
-def _centred(keys: DataFrame, sets: DataFrame, seed: int, likeness: float) -> DataFrame:
-    """Links of each bucket's texts to the bucket's centre, one text of it, where their labels differ."""
-    order = F.col("node") if not seed else F.xxhash64("node", F.lit(seed))
-    centres = keys.groupBy("key").agg(F.min_by(F.struct("node", "size", "label"), order).alias("c"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key", "c")
-    fit = F.least("size", "c.size") / F.greatest("size", "c.size") >= likeness  # others cannot be alike enough
-    pairs = keys.join(centres, "key").where((F.col("label") != F.col("c.label")) & fit).select(F.col("c.node").alias("centre"), "node").distinct()
-    pairs = materialise(pairs, "pairs")
-    parts = pairs.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("parts"))
-    members = pairs.join(parts, "centre").select("centre", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("kind"), "node")
-    own = parts.select("centre", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), F.col("centre").alias("node"))
-    rows = members.unionByName(own).join(sets, "node").select("centre", "part", "kind", "node", "shingles")
-    return rows.repartition("centre", "part").sortWithinPartitions("centre", "part", "kind", "node").mapInArrow(_to_centre(likeness), LINKS)
-
-
-def _blocked(keys: DataFrame, sets: DataFrame, cap: int, likeness: float) -> DataFrame:
-    """Links between all texts of different labels of a bucket, by pairs of blocks of about cap texts or BLOCK shingles."""
-    size = F.greatest(F.ceil(F.count(F.lit(1)) / cap), F.ceil(F.sum("size") / BLOCK)).cast("int")
-    open_ = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("who"), size.alias("blocks"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi and n > 2")
-    open_ = open_.groupBy("who", "n").agg(F.min_by(F.struct("key", "blocks"), "key").alias("x")).select("x.*")  # buckets of the same texts count once
-    dealt = materialise(keys.join(open_, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "open")
-    # A block of texts goes to the rows of its pairs with all blocks, itself too.
-    rows = dealt.select("key", "block", "node", "label", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    rows = rows.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "label").join(sets, "node").select("key", "lo", "hi", "block", "node", "label", "shingles")
-    return rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "block", "node").mapInArrow(_alike(likeness), LINKS)
-
-
-def verified(keys: DataFrame, sets: DataFrame, cap: int = CAP, likeness: float = 0.8) -> DataFrame:
-    """keys of buckets(), sets(node, shingles) to links (a, b, likeness) that connect just what the links of all pairs that share a bucket would.
-
-    In each round a bucket's texts are compared with its centre alone, one text of the bucket, unless links connect them
-    already; what a round costs is in proportion to the bucket rows. Texts of a bucket that the rounds leave unconnected
-    are then compared with each other, block by block, so no pair that shares a bucket is lost.
-    """
-    found = None
-    for lo, hi, seed in ROUNDS:
-        new = materialise(_centred(_labelled(keys.where((F.col("band") >= lo) & (F.col("band") < hi)), found), sets, seed, likeness), "links")
-        found = new if found is None else found.unionByName(new)
-    return found.unionByName(materialise(_blocked(_labelled(keys, found), sets, cap, likeness), "links"))
+def _fit(likeness: float):
+    """Whether sets of these sizes can be alike enough."""
+    return lambda a, b: F.least(a, b) / F.greatest(a, b) >= likeness
 
 
 def near_copies(texts: DataFrame, cap: int = CAP, likeness: float = 0.8) -> DataFrame:
@@ -442,8 +308,8 @@ def near_copies(texts: DataFrame, cap: int = CAP, likeness: float = 0.8) -> Data
     """
     signed = materialise(texts.select("node", F.lit(0).cast("long"), "text").mapInArrow(_signed, SIGNED).select(F.col("_id").alias("node"), "size", "keys"), "signed")
     keys = buckets(signed)
-    sets = materialise(texts.join(keys.select("node").distinct(), "node").select("node", "text").mapInArrow(_sets, "node long, shingles array<long>"), "sets")
-    return verified(keys, sets, cap, likeness)
+    sets = materialise(texts.join(keys.select("node").distinct(), "node").select("node", "text").mapInArrow(_sets, "node long, item array<long>"), "sets")
+    return verified(keys, sets, _like, likeness, cap, _fit(likeness))
 
 
 def keep_one(docs: DataFrame, cap: int = CAP, likeness: float = 0.8) -> DataFrame:
@@ -465,8 +331,8 @@ def keep_one(docs: DataFrame, cap: int = CAP, likeness: float = 0.8) -> DataFram
     tried = keys.select("node").distinct().withColumn("tried", F.lit(True))
     narrow = kept.select("_id", "_row", "node").join(tried, "node", "left")
     left = materialise(rows.join(narrow, ["_id", "_row"]).dropDuplicates(["_id", "_row"]).select("doc", "_id", "_row", "node", "tried"), "left")
-    sets = materialise(left.where("tried").select("node", "doc.text").mapInArrow(_sets, "node long, shingles array<long>"), "sets")
-    found = components(verified(keys, sets, cap, likeness).select("a", "b"))
+    sets = materialise(left.where("tried").select("node", "doc.text").mapInArrow(_sets, "node long, item array<long>"), "sets")
+    found = components(verified(keys, sets, _like, likeness, cap, _fit(likeness)).select("a", "b"))
     ids = kept.select("node", "_id", "_row").join(found, "node")
     first = ids.groupBy("label").agg(F.min_by("node", F.struct("_id", "_row")).alias("first"))
     gone = ids.join(first, "label").where("node <> first").select("node")

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import xxhash
 
+from tessera.llm import banding
 from tessera.llm import simhash as S
 
 
@@ -162,9 +163,9 @@ def test_every_pair_of_a_bucket_is_verified(spark, monkeypatch):
     one, two = words(rnd, 100), words(rnd, 100)
     texts = [words(rnd, 100), one, [*one[:-1], "changed"], words(rnd, 100), two, [*two[:-1], "changed"], words(rnd, 100)]
     sets = [S.shingles(" ".join(t)).view(np.int64).tolist() for t in texts]
-    monkeypatch.setattr(S, "ROUNDS", ((0, 1, 0),))
-    keys = spark.createDataFrame([(7, 0, i, len(s)) for i, s in enumerate(sets)], "key long, band int, node long, size int")  # one bucket, its centre unlike all
-    got = S.verified(keys, spark.createDataFrame(list(enumerate(sets)), "node long, shingles array<long>"), cap=3)
+    monkeypatch.setattr(banding, "ROUNDS", ((0, 1, 0),))
+    keys = spark.createDataFrame([(7, 0.0, i, len(s)) for i, s in enumerate(sets)], "key long, band float, node long, size int")  # one bucket, its centre unlike all
+    got = banding.verified(keys, spark.createDataFrame(list(enumerate(sets)), "node long, item array<long>"), S._like, 0.8, cap=3)
     assert {(r.a, r.b) for r in got.collect()} == {(1, 2), (4, 5)}
 
 
