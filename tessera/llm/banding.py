@@ -16,7 +16,7 @@ from tessera.llm.common import materialise
 from tessera.llm.components import components
 
 #: The share of the bands whose buckets are linked to a centre in each round, and how the centre is chosen (by a hash with that seed).
-ROUNDS = ((0.0, 0.25, 0), (0.25, 1.0, 0), (0.0, 1.0, 1))
+ROUNDS = ((0.0, 0.25, 0), (0.0, 1.0, 1))
 #: Items that meet one copy of their centre; numbers of a block of items that are compared, about.
 MEMBERS, BLOCK = 256, 1_000_000
 LINKS = "a long, b long, likeness double"
@@ -95,11 +95,15 @@ def buckets(signed: DataFrame) -> DataFrame:
     return materialise(keys.join(several, "key").select("key", (F.col("band") / F.col("of")).cast("float").alias("band"), "node", "size"), "buckets")
 
 
-def _labelled(keys: DataFrame, links: DataFrame | None) -> DataFrame:
-    """keys with the label of each node's component by the links so far."""
-    if links is None:
-        return keys.withColumn("label", F.col("node"))
-    return keys.join(components(links).withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").drop("_node").withColumn("label", F.coalesce("label", "node"))
+def _labelled(keys: DataFrame, label: DataFrame) -> DataFrame:
+    """keys with the label of each node; a node that label does not hold is its own."""
+    return keys.join(label.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").drop("_node").withColumn("label", F.coalesce("label", "node"))
+
+
+def _roughly(links: DataFrame) -> DataFrame:
+    """(node, label): the smallest node linked to each, and the one linked to that. Finer than components, which costs a round some comparisons, and no result."""
+    up = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label"))
+    return up.join(up.select(F.col("node").alias("label"), F.col("label").alias("next")), "label", "left").select("node", F.coalesce("next", "label").alias("label"))
 
 
 def _centred(keys: DataFrame, items: DataFrame, seed: int, like: Like, least: float, fit) -> DataFrame:
@@ -115,28 +119,39 @@ def _centred(keys: DataFrame, items: DataFrame, seed: int, like: Like, least: fl
     return rows.repartition("centre", "part").sortWithinPartitions("centre", "part", "kind", "node").mapInArrow(_to_centre(like, least), LINKS)
 
 
-def _blocked(keys: DataFrame, items: DataFrame, cap: int, like: Like, least: float) -> DataFrame:
-    """Links between all items of different labels of a bucket, by pairs of blocks of about cap items or BLOCK numbers."""
+def _open(keys: DataFrame, cap: int) -> DataFrame:
+    """Rows of buckets whose items have several labels, with a block each of about cap items or BLOCK numbers. A bucket of two has been compared whole by its centre."""
     size = F.greatest(F.ceil(F.count(F.lit(1)) / cap), F.ceil(F.sum("size") / BLOCK)).cast("int")
     open_ = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("who"), size.alias("blocks"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi and n > 2")
     open_ = open_.groupBy("who", "n").agg(F.min_by(F.struct("key", "blocks"), "key").alias("x")).select("x.*")  # buckets of the same items count once
-    dealt = materialise(keys.join(open_, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "open")
+    return materialise(keys.join(open_, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "open")
+
+
+def _blocked(dealt: DataFrame, items: DataFrame, like: Like, least: float) -> DataFrame:
+    """Links between all items of different labels of a bucket, by pairs of blocks."""
     # A block of items goes to the rows of its pairs with all blocks, itself too.
     rows = dealt.select("key", "block", "node", "label", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     rows = rows.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "label").join(items, "node").select("key", "lo", "hi", "block", "node", "label", "item")
     return rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "block", "node").mapInArrow(_alike(like, least), LINKS)
 
 
-def verified(keys: DataFrame, items: DataFrame, like: Like, least: float, cap: int = 2048, fit: Callable[[Column, Column], Column] = lambda a, b: F.lit(True)) -> DataFrame:
-    """keys of buckets(), items(node, item array) to links (a, b, likeness) that connect just what the links of all pairs that share a bucket would.
+def verified(keys: DataFrame, items: DataFrame, like: Like, least: float, cap: int = 2048, fit: Callable[[Column, Column], Column] = lambda a, b: F.lit(True), rounds: tuple = ROUNDS) -> tuple[DataFrame, DataFrame]:
+    """keys of buckets(), items(node, item array) to links (a, b, likeness) that connect just what those of all pairs that share a bucket would, and their components (node, label).
 
     In each round a bucket's items are compared with its centre alone, one item of the bucket, unless links connect them
     already; what a round costs is in proportion to the bucket rows. Items of a bucket that the rounds leave unconnected
     are then compared with each other, block by block, so no pair that shares a bucket is lost.
-    fit: whether items of these sizes can be alike enough. A bucket of two has been compared whole by its centre.
+    fit: whether items of these sizes can be alike enough.
     """
     found = None
-    for lo, hi, seed in ROUNDS:
-        new = materialise(_centred(_labelled(keys.where((F.col("band") >= lo) & (F.col("band") < hi)), found), items, seed, like, least, fit), "links")
+    for lo, hi, seed in rounds:
+        some = keys.where((F.col("band") >= lo) & (F.col("band") < hi))
+        some = some.withColumn("label", F.col("node")) if found is None else _labelled(some, _roughly(found))
+        new = materialise(_centred(some, items, seed, like, least, fit), "links")
         found = new if found is None else found.unionByName(new)
-    return found.unionByName(materialise(_blocked(_labelled(keys, found), items, cap, like, least), "links"))
+    label = components(found)
+    dealt = _open(_labelled(keys, label), cap)
+    if dealt.isEmpty():
+        return found, label
+    found = found.unionByName(materialise(_blocked(dealt, items, like, least), "links"))
+    return found, components(found)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tessera.llm.common import materialise
@@ -17,18 +17,18 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
     shuffle, so a hub costs no task more than its distinct neighbours' minimum.
     """
     cur = materialise(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    n, before = cur.count(), None
+    before = None
     for _ in range(most):
         both = cur.unionByName(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         small = large.groupBy("a").agg(F.min("b").alias("m"))
         star = large.join(small, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").where("a <> b").distinct()
-        cur = materialise(star, "edges")
-        now = cur.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("long")), F.sum(F.xxhash64("a", "b") % 1000003)).first()
-        if tuple(now) == before:
+        seen = Observation()  # counted as the round is written, without a job of its own
+        cur = materialise(star.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.hash("a", "b").cast("long")).alias("x"), F.sum(F.xxhash64("a", "b") % 1000003).alias("y")), "edges")
+        if seen.get == before:
             break
-        before = tuple(now)
+        before = seen.get
     else:
         raise RuntimeError(f"components did not settle in {most} rounds")
     return cur.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(cur.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())

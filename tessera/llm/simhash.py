@@ -309,7 +309,7 @@ def near_copies(texts: DataFrame, cap: int = CAP, likeness: float = 0.8) -> Data
     signed = materialise(texts.select("node", F.lit(0).cast("long"), "text").mapInArrow(_signed, SIGNED).select(F.col("_id").alias("node"), "size", "keys"), "signed")
     keys = buckets(signed)
     sets = materialise(texts.join(keys.select("node").distinct(), "node").select("node", "text").mapInArrow(_sets, "node long, item array<long>"), "sets")
-    return verified(keys, sets, _like, likeness, cap, _fit(likeness))
+    return verified(keys, sets, _like, likeness, cap, _fit(likeness))[0]
 
 
 def keep_one(docs: DataFrame, cap: int = CAP, likeness: float = 0.8) -> DataFrame:
@@ -332,7 +332,7 @@ def keep_one(docs: DataFrame, cap: int = CAP, likeness: float = 0.8) -> DataFram
     narrow = kept.select("_id", "_row", "node").join(tried, "node", "left")
     left = materialise(rows.join(narrow, ["_id", "_row"]).dropDuplicates(["_id", "_row"]).select("doc", "_id", "_row", "node", "tried"), "left")
     sets = materialise(left.where("tried").select("node", "doc.text").mapInArrow(_sets, "node long, item array<long>"), "sets")
-    found = components(verified(keys, sets, _like, likeness, cap, _fit(likeness)).select("a", "b"))
+    _, found = verified(keys, sets, _like, likeness, cap, _fit(likeness))
     ids = kept.select("node", "_id", "_row").join(found, "node")
     first = ids.groupBy("label").agg(F.min_by("node", F.struct("_id", "_row")).alias("first"))
     gone = ids.join(first, "label").where("node <> first").select("node")

@@ -57,7 +57,8 @@ def test_packing_contract(spark, odd_docs, no_docs):
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 2047), st.integers(1, 400), max_size=30))
 def test_plan(hist):
-    rows, n = P.plan(hist)
+    rows, tiers = P.plan(hist)
+    n = sum(m for _, m in tiers)
     seqs, held = {}, {}
     for k, lo, hi, _, _, start, size, q, base, copies, at in rows:
         for r in range(lo, hi):
@@ -71,6 +72,8 @@ def test_plan(hist):
             at += size
         assert at == k
     wasted = 0
+    order = [size for size, m in tiers for _ in range(m)]
+    assert order == sorted(order, reverse=True) and order == [P.context(sum(size for _, size in seqs[k])) for k in range(n)]
     for s in seqs.values():
         at = 0
         for offset, size in sorted(s):
@@ -82,6 +85,24 @@ def test_plan(hist):
     assert wasted <= 0.01 * total + 2048
 
 
+def test_tiers_are_filled_by_shorter_ones():
+    # 1500 + 548 fill the long window, 700 + 324 the next tier, 300 + 212 the one below; 100 is left for a long window.
+    groups = P.by_tier({1500: 2, 548: 2, 700: 3, 324: 3, 300: 1, 212: 1, 100: 1})
+    got = {(P.context(P.total_of(c)), tuple(sorted(length for length, _ in c))): n for n, c in groups}
+    assert got == {(2048, (548, 1500)): 2, (1024, (324, 700)): 3, (512, (212, 300)): 1, (2048, (100,)): 1}
+
+
+def test_steps_hold_one_tier_and_equal_tokens(spark):
+    rnd = random.Random(3)
+    docs = spark.createDataFrame([(i, "word " * rnd.choice([1, 30, 63, 200, 900, 3000])) for i in range(600)], "doc_id long, text string")
+    got = P.pack(docs, step=4096).toPandas()
+    steps = got.drop_duplicates("sequence_id").groupby("step_group").agg(tier=("tier", "nunique"), size=("tier", "first"), n=("tier", "size"))
+    assert (steps.tier == 1).all() and (steps.n * steps["size"] <= 4096).all()
+    assert all((g.n * g["size"] < 4096).sum() <= 1 for _, g in steps.groupby("size"))  # the last one of a tier alone may be smaller
+    lengths = got.groupby("sequence_id").agg(n=("length", "sum"), tier=("tier", "first"))
+    assert all(P.context(n) == t for n, t in zip(lengths.n, lengths.tier)) and sorted(got.step_group.unique()) == list(range(len(steps)))
+
+
 def best_cost(w, limit):
     """Package-merge by lists of symbols."""
     leaves = sorted((x, (i,)) for i, x in enumerate(w))
