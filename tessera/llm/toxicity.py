@@ -38,10 +38,10 @@ from tessera.llm.common import materialise, slices, whole
 WORD = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 20
 STEMS = (3, 4, 5, 6)
-SAMPLE, TERMS = 16_000, 24_000_000
+SAMPLE, TERMS = 16_000, 10_000_000
 FACTORS = 4
 LEAST = 4  # documents of the sample that an admitted number occurs in at least
-PAIRED, PAIRS = 4096, 200  # most frequent numbers whose pairs are looked at, and pairs that stay at most: the size of the model
+PAIRED, PAIRS = 2048, 200  # most frequent numbers whose pairs are looked at, and pairs that stay at most: the size of the model
 THRESHOLD = 0.3
 REMEMBER = 4 << 20  # characters of the words that a worker remembers
 SEED = 7
@@ -86,6 +86,17 @@ class Table:
             if hi > lo:
                 yield slice(lo, hi), np.repeat(np.arange(hi - lo), self.size[lo:hi]), self.col[self.end[lo] - self.size[lo] : self.end[hi - 1]]
 
+    def rows(self, kept: np.ndarray) -> list[list[int]]:
+        """Of each document, the indices into kept (sorted numbers) of its numbers."""
+        at = np.full(self.width, -1)
+        at[kept] = np.arange(len(kept))
+        out: list[list[int]] = [[] for _ in range(self.n)]
+        for rows, row, col in self.parts():
+            own = at[col]
+            for r, c in zip((rows.start + row[own >= 0]).tolist(), own[own >= 0].tolist()):
+                out[r].append(c)
+        return out
+
     def times(self, v: np.ndarray) -> np.ndarray:
         """Sum of v over each document's numbers."""
         return np.concatenate([np.zeros(0), *(np.bincount(row, v[col], rows.stop - rows.start) for rows, row, col in self.parts())])
@@ -209,20 +220,34 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int =
     sizes = sorted((r.place, r.doc_id, r.n) for r in numbered.select("place", "doc_id", "n").collect())  # SAMPLE rows at most
     fit_in = int(np.searchsorted(np.cumsum([n for _, _, n in sizes]), terms, side="right"))
     got = numbered if fit_in == len(sizes) else numbered.where(F.struct("place", "doc_id") < F.struct(*(F.lit(v).cast("long") for v in sizes[fit_in][:2])))
-    got = got.select("doc_id", "terms", "toxic").toArrow().sort_by("doc_id")  # TERMS numbers at most
-    y = got.column("toxic").to_numpy().astype(float)
-    found = [np.frombuffer(t.as_py(), "<i4") for t in got.column("terms")]
-    if not len(y):
+    got = got.select("doc_id", "terms", "toxic").toArrow()  # TERMS numbers at most
+    x, y, admitted = _table(got.combine_chunks())
+    del got
+    if not x.n:
         return Machine(np.zeros(0, np.int64), -30.0, np.zeros(0), np.zeros((0, FACTORS)))
-    df = sum((np.bincount(np.concatenate(found[k : k + 256]), minlength=BUCKETS) for k in range(0, len(found), 256)), np.zeros(BUCKETS, np.int64))
+    stay = choose(x, y)
+    return fit(admitted[stay], x.rows(stay), y)
+
+
+def _table(got: pa.Table) -> tuple[Table, np.ndarray, np.ndarray]:
+    """(doc_id, terms, toxic) to the table of admitted numbers, in the order of doc_id, the labels and the admitted numbers."""
+    order = np.argsort(got.column("doc_id").to_numpy(), kind="stable").tolist()
+    held = got.column("terms").chunk(0) if got.num_rows else []
+    terms = lambda k: np.frombuffer(held[k].as_buffer(), "<i4")
+    df = np.zeros(BUCKETS, np.int32)
+    for k in order:
+        df[terms(k)] += 1  # a document's numbers are distinct
     admitted = np.flatnonzero(df >= LEAST)
     at = np.full(BUCKETS, -1, np.int32)
     at[admitted] = np.arange(len(admitted), dtype=np.int32)
-    found = [x[x >= 0] for x in (at[x] for x in found)]
-    stay = choose(Table(np.concatenate(found), np.array([len(x) for x in found]), len(admitted)), y)
-    at = np.full(len(admitted), -1)
-    at[stay] = np.arange(len(stay))
-    return fit(admitted[stay], [x[x >= 0].tolist() for x in (at[x] for x in found)], y)
+    col, size, end = np.empty(int(df[admitted].sum()), np.int32), np.zeros(len(order), np.int64), 0
+    for i, k in enumerate(order):
+        own = at[terms(k)]
+        own = own[own >= 0]
+        size[i] = len(own)
+        col[end : end + len(own)] = own
+        end += len(own)
+    return Table(col, size, len(admitted)), got.column("toxic").to_numpy().astype(float)[order], admitted
 
 
 def _score(machine: Machine):

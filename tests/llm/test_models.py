@@ -207,6 +207,7 @@ def test_pairs_of_neutral_words_are_learnt():
     stay = toxicity.choose(x, y)
     assert {0, 1, 2, 3} <= set(stay.tolist()) and len(stay) < 60
     inside = [np.searchsorted(stay, np.intersect1d(r, stay)).tolist() for r in rows]
+    assert x.rows(stay) == inside
     machine = toxicity.fit(stay, inside, y)
     assert ((machine.scores(inside) >= toxicity.THRESHOLD) == (y == 1)).mean() > 0.97
     # Nothing stands out in noise.
