@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialise
+from tessera.llm.common import counted, materialise
 from tessera.llm.components import components
 
 #: The share of the bands whose buckets are linked to a centre in each round, and how the centre is chosen (by a hash with that seed).
@@ -88,11 +88,11 @@ def _alike(like: Like, least: float):
     return run
 
 
-def buckets(signed: DataFrame) -> DataFrame:
-    """signed(node, size, keys array<long>) to (key, band, node, size) of the keys that several items have; band is the share of an item's keys before it."""
+def buckets(signed: DataFrame) -> tuple[DataFrame, int]:
+    """signed(node, size, keys array<long>) to (key, band, node, size) of the keys that several items have, and their number; band is the share of an item's keys before it."""
     keys = signed.select("node", "size", (F.size("keys")).alias("of"), F.posexplode("keys").alias("band", "key"))
     several = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    return materialise(keys.join(several, "key").select("key", (F.col("band") / F.col("of")).cast("float").alias("band"), "node", "size"), "buckets")
+    return counted(keys.join(several, "key").select("key", (F.col("band") / F.col("of")).cast("float").alias("band"), "node", "size"), "buckets")
 
 
 def _labelled(keys: DataFrame, label: DataFrame) -> DataFrame:
@@ -106,12 +106,12 @@ def _roughly(links: DataFrame) -> DataFrame:
     return up.join(up.select(F.col("node").alias("label"), F.col("label").alias("next")), "label", "left").select("node", F.coalesce("next", "label").alias("label"))
 
 
-def _centred(keys: DataFrame, items: DataFrame, seed: int, like: Like, least: float, fit) -> DataFrame:
+def _centred(keys: DataFrame, n: int, items: DataFrame, seed: int, like: Like, least: float, fit) -> DataFrame:
     """Links of each bucket's items to the bucket's centre, one item of it, where their labels differ."""
     order = F.col("node") if not seed else F.xxhash64("node", F.lit(seed))
     centres = keys.groupBy("key").agg(F.min_by(F.struct("node", "size", "label"), order).alias("c"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key", "c")
     pairs = keys.join(centres, "key").where((F.col("label") != F.col("c.label")) & fit(F.col("size"), F.col("c.size"))).select(F.col("c.node").alias("centre"), "node").distinct()
-    pairs = materialise(pairs, "pairs")
+    pairs = materialise(pairs, "pairs", rows=n)
     parts = pairs.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("parts"))
     members = pairs.join(parts, "centre").select("centre", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("kind"), "node")
     own = parts.select("centre", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), F.col("centre").alias("node"))
@@ -119,12 +119,12 @@ def _centred(keys: DataFrame, items: DataFrame, seed: int, like: Like, least: fl
     return rows.repartition("centre", "part").sortWithinPartitions("centre", "part", "kind", "node").mapInArrow(_to_centre(like, least), LINKS)
 
 
-def _open(keys: DataFrame, cap: int) -> DataFrame:
+def _open(keys: DataFrame, n: int, cap: int) -> DataFrame:
     """Rows of buckets whose items have several labels, with a block each of about cap items or BLOCK numbers. A bucket of two has been compared whole by its centre."""
     size = F.greatest(F.ceil(F.count(F.lit(1)) / cap), F.ceil(F.sum("size") / BLOCK)).cast("int")
     open_ = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("who"), size.alias("blocks"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi and n > 2")
     open_ = open_.groupBy("who", "n").agg(F.min_by(F.struct("key", "blocks"), "key").alias("x")).select("x.*")  # buckets of the same items count once
-    return materialise(keys.join(open_, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "open")
+    return materialise(keys.join(open_, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "open", rows=n)
 
 
 def _blocked(dealt: DataFrame, items: DataFrame, like: Like, least: float) -> DataFrame:
@@ -135,8 +135,8 @@ def _blocked(dealt: DataFrame, items: DataFrame, like: Like, least: float) -> Da
     return rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "block", "node").mapInArrow(_alike(like, least), LINKS)
 
 
-def verified(keys: DataFrame, items: DataFrame, like: Like, least: float, cap: int = 2048, fit: Callable[[Column, Column], Column] = lambda a, b: F.lit(True), rounds: tuple = ROUNDS) -> tuple[DataFrame, DataFrame]:
-    """keys of buckets(), items(node, item array) to links (a, b, likeness) that connect just what those of all pairs that share a bucket would, and their components (node, label).
+def verified(keys: DataFrame, n: int, items: DataFrame, like: Like, least: float, cap: int = 2048, fit: Callable[[Column, Column], Column] = lambda a, b: F.lit(True), rounds: tuple = ROUNDS) -> tuple[DataFrame, DataFrame]:
+    """keys of buckets() and their number, items(node, item array) to links (a, b, likeness) that connect just what those of all pairs that share a bucket would, and their components (node, label).
 
     In each round a bucket's items are compared with its centre alone, one item of the bucket, unless links connect them
     already; what a round costs is in proportion to the bucket rows. Items of a bucket that the rounds leave unconnected
@@ -147,10 +147,10 @@ def verified(keys: DataFrame, items: DataFrame, like: Like, least: float, cap: i
     for lo, hi, seed in rounds:
         some = keys.where((F.col("band") >= lo) & (F.col("band") < hi))
         some = some.withColumn("label", F.col("node")) if found is None else _labelled(some, _roughly(found))
-        new = materialise(_centred(some, items, seed, like, least, fit), "links")
+        new = materialise(_centred(some, n, items, seed, like, least, fit), "links", rows=n)
         found = new if found is None else found.unionByName(new)
     label = components(found)
-    dealt = _open(_labelled(keys, label), cap)
+    dealt = _open(_labelled(keys, label), n, cap)
     if dealt.isEmpty():
         return found, label
     found = found.unionByName(materialise(_blocked(dealt, items, like, least), "links"))

@@ -9,32 +9,59 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
 
 
+#: Rows of a file of a narrow table, about.
+FILE_ROWS = 50_000
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; a temporary one only where that is unset."""
+    """A folder of this application in the one that driver and executors share, spark.checkpoint.dir. Where that is unset, a temporary one on a local master, and an error on a cluster, whose machines do not share such a folder."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    app = spark.sparkContext.applicationId
     if not found:
-        found = _own.setdefault(spark.sparkContext.applicationId, "") or "file://" + tempfile.mkdtemp(prefix="tessera-")
-        _own[spark.sparkContext.applicationId] = found
-    return found.rstrip("/")
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        found = _own.get(app) or _own.setdefault(app, "file://" + tempfile.mkdtemp(prefix="tessera-"))
+    return f"{found.rstrip('/')}/{app}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path by the file system that it names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def materialise(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+def clean_up(spark: SparkSession) -> None:
+    """Delete the tables that this application materialised. Results that are not written yet read them: call this after that."""
+    remove(spark, shared_dir(spark))
+
+
+def materialise(df: DataFrame, name: str, codec: str = "zstd", rows: int | None = None) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back.
 
     This cuts the lineage: what follows survives lost executors without
     computing the rows again, and several readers share one computation.
+    rows: about how many narrow rows there are at most, so that they are not written as many small files.
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // FILE_ROWS)))
     df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame, name: str, rows: int | None = None) -> tuple[DataFrame, int]:
+    """materialise(), and the number of rows, counted as they are written."""
+    seen = Observation()
+    found = materialise(df.observe(seen, F.count(F.lit(1)).alias("n")), name, rows=rows)
+    return found, seen.get["n"]
+
+
 def whole(df: DataFrame) -> Column:
     """All columns of df as one struct, so that helper columns beside it clash with none of them; select("doc.*") gives them back."""
     return F.struct(*[F.col(f"`{c}`") for c in df.columns])

@@ -99,19 +99,25 @@ def _first_words(text: Column, n: Column) -> Column:
 def mix(docs: DataFrame) -> DataFrame:
     """The documents in training order, with all their columns: a row for each copy that the mix takes.
 
-    A copy that is taken in part holds the words taken. Every row is named, as equal rows are documents of their own.
+    A copy that is taken in part holds the words taken. Rows are known by their content and draw. Of rows
+    that are equal in all columns one stands for all, and is given the copies of each.
     """
-    named = materialise(docs.select(F.monotonically_increasing_id().alias("row"), whole(docs).alias("doc")), "named")
-    narrow = named.select("row", F.xxhash64("doc").alias("content"), "doc.doc_id", "doc.text", "doc.source")
-    found = _taken(narrow, [F.col("content"), F.col("row")])
+    content = F.xxhash64("doc").alias("_content")
+    rows = docs.select(whole(docs).alias("doc")).select("doc", content, draw(F.col("doc.doc_id"), F.col("doc.text")).alias("_draw"))
+    found = _taken(docs.select(whole(docs).alias("doc")).select(content, "doc.doc_id", "doc.text", "doc.source"), [F.col("_content")])
     copies = F.array_compact(F.array(*[F.when(_of_copy(k) > 0, F.struct((k * F.col("source_size") + F.col("before")).alias("at"), _of_copy(k).alias("words"))) for k in range(CEILING)]))
-    placed = found.select("row", "draw", "size", "target", "rank", F.explode(copies).alias("x"))
+    placed = found.select("_content", F.col("draw").alias("_draw"), "size", "target", "rank", F.explode(copies).alias("x"))
     at = position(F.col("x.at").cast("double"), F.col("target"), F.col("rank") % 2 == 0)
-    placed = placed.select(F.col("row").alias("_row"), "draw", at.alias("time"), F.when(F.col("x.words") < F.col("size"), F.col("x.words").cast("int")).alias("part"))
-    out = named.join(placed, F.col("row") == F.col("_row"))
-    cut = F.when(F.col("part").isNull(), F.col("doc.text")).otherwise(_first_words(F.col("doc.text"), F.col("part")))
-    out = out.select(F.col("doc").withField("text", cut).alias("doc"), "time", "draw")
-    return out.repartitionByRange("time", "draw").sortWithinPartitions("time", "draw").select("doc.*")
+    placed = placed.select("_content", "_draw", at.alias("_time"), F.when(F.col("x.words") < F.col("size"), F.col("x.words").cast("int")).alias("_part"))
+    key = ["_content", "_draw"]
+    equal = materialise(found.groupBy("_content", F.col("draw").alias("_draw")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key), "equal")
+    # The first scan drops rows that have equals, the second one keeps one of each; both tests are joins with the table of such rows alone, mostly a small one.
+    once = rows.join(equal, key, "left_anti")
+    several = rows.join(equal, key, "left_semi").dropDuplicates(key)
+    out = once.unionByName(several).join(placed, key)
+    cut = F.when(F.col("_part").isNull(), F.col("doc.text")).otherwise(_first_words(F.col("doc.text"), F.col("_part")))
+    out = out.select(F.col("doc").withField("text", cut).alias("doc"), "_time", "_draw")
+    return out.repartitionByRange("_time", "_draw").sortWithinPartitions("_time", "_draw").select("doc.*")
 
 
 def query(docs: DataFrame) -> DataFrame:

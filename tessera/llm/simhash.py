@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.banding import buckets, lists, verified
-from tessera.llm.common import materialise, slices, whole
+from tessera.llm.common import counted, materialise, slices, whole
 from tessera.llm.components import components
 
 DISTANCE = 2
@@ -216,7 +216,7 @@ def _row_links(base: np.ndarray, probe: np.ndarray, distance: int) -> np.ndarray
     return np.stack([q[star], q[label[star]]], 1)
 
 
-def links(reps: DataFrame, cap: int = CAP) -> DataFrame:
+def links(reps: DataFrame, cap: int = CAP, n: int | None = None) -> DataFrame:
     """Edges (a, b) that connect just the distinct fingerprints within DISTANCE bits, directly or over others."""
     found = plan(reps, DISTANCE)
     if any(t == 2 and len(bits) == 64 for bits, t in found):
@@ -228,7 +228,7 @@ def links(reps: DataFrame, cap: int = CAP) -> DataFrame:
         probes.append(F.array(entry(0, 0), *[entry(x, 0 if t == 2 else 1) for x in flips(bits)]) if t else F.array(entry(0, 0)))
     keys = reps.select("fp", F.explode(F.concat(*probes)).alias("x")).select("fp", "x.*")
     sizes = keys.groupBy("part", "key").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.expr("probe = 0")).alias("bases")).where("n > 1 and bases > 0")
-    sizes = materialise(sizes, "sizes")
+    sizes = materialise(sizes, "sizes", rows=n)
     near = keys.join(sizes.where(F.col("n") <= cap), ["part", "key"])
     rows = near.groupBy("part", "key").agg(F.collect_list(F.when(F.col("probe") == 0, F.col("fp"))).alias("base"), F.collect_list(F.when(F.col("probe") == 1, F.col("fp"))).alias("probes"))
     edges = rows.select("base", "probes").mapInArrow(_verify(DISTANCE), "a long, b long")
@@ -239,8 +239,8 @@ def links(reps: DataFrame, cap: int = CAP) -> DataFrame:
 def near_duplicates(docs: DataFrame, cap: int = CAP) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id, links (other fingerprints of the component)."""
     prints = materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_prints, "doc_id long, fp long"), "prints")
-    reps = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "reps")
-    label = components(links(reps, cap))
+    reps, n = counted(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "reps")
+    label = components(links(reps, cap, n))
     named = reps.join(label, reps.fp == label.node, "left").select("fp", "rep", F.coalesce("label", "fp").alias("label"))
     least = named.groupBy("label").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("prints"))
     # A third of all documents may share a fingerprint: both sides are salted.
@@ -307,9 +307,9 @@ def near_copies(texts: DataFrame, cap: int = CAP, likeness: float = 0.8) -> Data
     An empty table gives no links.
     """
     signed = materialise(texts.select("node", F.lit(0).cast("long"), "text").mapInArrow(_signed, SIGNED).select(F.col("_id").alias("node"), "size", "keys"), "signed")
-    keys = buckets(signed)
+    keys, n = buckets(signed)
     sets = materialise(texts.join(keys.select("node").distinct(), "node").select("node", "text").mapInArrow(_sets, "node long, item array<long>"), "sets")
-    return verified(keys, sets, _like, likeness, cap, _fit(likeness))[0]
+    return verified(keys, n, sets, _like, likeness, cap, _fit(likeness))[0]
 
 
 def keep_one(docs: DataFrame, cap: int = CAP, likeness: float = 0.8) -> DataFrame:
@@ -320,19 +320,19 @@ def keep_one(docs: DataFrame, cap: int = CAP, likeness: float = 0.8) -> DataFram
     has no words are one group. An empty table gives an empty one.
     """
     rows = docs.select(whole(docs).alias("doc")).select("doc", F.xxhash64("doc").alias("_row"), F.coalesce(F.col("doc.doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("_id"))
-    signed = materialise(rows.select("_id", "_row", "doc.text").mapInArrow(_signed, SIGNED), "prints")
-    reps = materialise(signed.groupBy("fp").agg(F.min(F.struct("_id", "_row")).alias("least")), "reps")
-    label = components(links(reps.select("fp"), cap))
+    signed, n = counted(rows.select("_id", "_row", "doc.text").mapInArrow(_signed, SIGNED), "prints")
+    reps = materialise(signed.groupBy("fp").agg(F.min(F.struct("_id", "_row")).alias("least")), "reps", rows=n)
+    label = components(links(reps.select("fp"), cap, n))
     named = reps.join(label, reps.fp == label.node, "left").select("least", F.coalesce("label", "fp").alias("label"))
     kept = named.groupBy("label").agg(F.min("least").alias("least")).select("least.*")
-    kept = materialise(signed.join(kept, ["_id", "_row"]).dropDuplicates(["_id", "_row"]).select("_id", "_row", F.xxhash64("_id", "_row").alias("node"), "size", "keys"), "kept")
-    keys = buckets(kept)
+    kept = materialise(signed.join(kept, ["_id", "_row"]).dropDuplicates(["_id", "_row"]).select("_id", "_row", F.xxhash64("_id", "_row").alias("node"), "size", "keys"), "kept", rows=n)
+    keys, n = buckets(kept)
     # The texts move once: rows of a key stay together for the removal of equal ones.
     tried = keys.select("node").distinct().withColumn("tried", F.lit(True))
     narrow = kept.select("_id", "_row", "node").join(tried, "node", "left")
     left = materialise(rows.join(narrow, ["_id", "_row"]).dropDuplicates(["_id", "_row"]).select("doc", "_id", "_row", "node", "tried"), "left")
     sets = materialise(left.where("tried").select("node", "doc.text").mapInArrow(_sets, "node long, item array<long>"), "sets")
-    _, found = verified(keys, sets, _like, likeness, cap, _fit(likeness))
+    _, found = verified(keys, n, sets, _like, likeness, cap, _fit(likeness))
     ids = kept.select("node", "_id", "_row").join(found, "node")
     first = ids.groupBy("label").agg(F.min_by("node", F.struct("_id", "_row")).alias("first"))
     gone = ids.join(first, "label").where("node <> first").select("node")

@@ -165,7 +165,7 @@ def test_every_pair_of_a_bucket_is_verified(spark, monkeypatch):
     sets = [S.shingles(" ".join(t)).view(np.int64).tolist() for t in texts]
     monkeypatch.setattr(banding, "ROUNDS", ((0, 1, 0),))
     keys = spark.createDataFrame([(7, 0.0, i, len(s)) for i, s in enumerate(sets)], "key long, band float, node long, size int")  # one bucket, its centre unlike all
-    got = banding.verified(keys, spark.createDataFrame(list(enumerate(sets)), "node long, item array<long>"), S._like, 0.8, cap=3)[0]
+    got = banding.verified(keys, 7, spark.createDataFrame(list(enumerate(sets)), "node long, item array<long>"), S._like, 0.8, cap=3)[0]
     assert {(r.a, r.b) for r in got.collect()} == {(1, 2), (4, 5)}
 
 
