@@ -135,13 +135,14 @@ def _blocked(dealt: DataFrame, items: DataFrame, like: Like, least: float) -> Da
     return rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "block", "node").mapInArrow(_alike(like, least), LINKS)
 
 
-def verified(keys: DataFrame, n: int, items: DataFrame, like: Like, least: float, cap: int = 2048, fit: Callable[[Column, Column], Column] = lambda a, b: F.lit(True), rounds: tuple = ROUNDS) -> tuple[DataFrame, DataFrame]:
+def verified(keys: DataFrame, n: int, items: DataFrame, like: Like, least: float, cap: int = 2048, fit: Callable[[Column, Column], Column] = lambda a, b: F.lit(True), rounds: tuple = ROUNDS, rest: bool = True) -> tuple[DataFrame, DataFrame]:
     """keys of buckets() and their number, items(node, item array) to links (a, b, likeness) that connect just what those of all pairs that share a bucket would, and their components (node, label).
 
     In each round a bucket's items are compared with its centre alone, one item of the bucket, unless links connect them
     already; what a round costs is in proportion to the bucket rows. Items of a bucket that the rounds leave unconnected
     are then compared with each other, block by block, so no pair that shares a bucket is lost.
-    fit: whether items of these sizes can be alike enough.
+    fit: whether items of these sizes can be alike enough. rest: False leaves out the comparison block by block, whose cost grows with the
+    square of the texts of a bucket that are unlike its centres; links are then those to the centres of the rounds alone.
     """
     found = None
     for lo, hi, seed in rounds:
@@ -150,6 +151,8 @@ def verified(keys: DataFrame, n: int, items: DataFrame, like: Like, least: float
         new = materialise(_centred(some, n, items, seed, like, least, fit), "links", rows=n)
         found = new if found is None else found.unionByName(new)
     label = components(found)
+    if not rest:
+        return found, label
     dealt = _open(_labelled(keys, label), n, cap)
     if dealt.isEmpty():
         return found, label

@@ -38,7 +38,7 @@ from tessera.llm.common import materialise, slices, whole
 WORD = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 20
 STEMS = (3, 4, 5, 6)
-SAMPLE, TERMS = 16_000, 10_000_000
+SAMPLE, TERMS = 16_000, 8_000_000
 FACTORS = 4
 LEAST = 4  # documents of the sample that an admitted number occurs in at least
 PAIRED, PAIRS = 2048, 200  # most frequent numbers whose pairs are looked at, and pairs that stay at most: the size of the model
@@ -220,34 +220,32 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int =
     sizes = sorted((r.place, r.doc_id, r.n) for r in numbered.select("place", "doc_id", "n").collect())  # SAMPLE rows at most
     fit_in = int(np.searchsorted(np.cumsum([n for _, _, n in sizes]), terms, side="right"))
     got = numbered if fit_in == len(sizes) else numbered.where(F.struct("place", "doc_id") < F.struct(*(F.lit(v).cast("long") for v in sizes[fit_in][:2])))
-    got = got.select("doc_id", "terms", "toxic").toArrow()  # TERMS numbers at most
-    x, y, admitted = _table(got.combine_chunks())
-    del got
+    x, y, admitted = _table(got.select("doc_id", "n", "terms", "toxic"), fit_in, sum(n for _, _, n in sizes[:fit_in]))
     if not x.n:
         return Machine(np.zeros(0, np.int64), -30.0, np.zeros(0), np.zeros((0, FACTORS)))
     stay = choose(x, y)
     return fit(admitted[stay], x.rows(stay), y)
 
 
-def _table(got: pa.Table) -> tuple[Table, np.ndarray, np.ndarray]:
-    """(doc_id, terms, toxic) to the table of admitted numbers, in the order of doc_id, the labels and the admitted numbers."""
-    order = np.argsort(got.column("doc_id").to_numpy(), kind="stable").tolist()
-    held = got.column("terms").chunk(0) if got.num_rows else []
-    terms = lambda k: np.frombuffer(held[k].as_buffer(), "<i4")
+def _table(got: DataFrame, n: int, terms: int) -> tuple[Table, np.ndarray, np.ndarray]:
+    """(doc_id, n, terms, toxic) of n documents and that many terms to the table of admitted numbers, in the order of doc_id, the labels and the admitted numbers. Partitions come one by one."""
+    raw, names, size, y, end = np.empty(terms, np.int32), np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), 0
     df = np.zeros(BUCKETS, np.int32)
-    for k in order:
-        df[terms(k)] += 1  # a document's numbers are distinct
+    for k, r in enumerate(got.toLocalIterator()):
+        own = np.frombuffer(r.terms, "<i4")
+        raw[end : end + r.n] = own
+        df[own] += 1  # a document's numbers are distinct
+        names[k], size[k], y[k], end = r.doc_id, r.n, r.toxic, end + r.n
     admitted = np.flatnonzero(df >= LEAST)
     at = np.full(BUCKETS, -1, np.int32)
     at[admitted] = np.arange(len(admitted), dtype=np.int32)
-    col, size, end = np.empty(int(df[admitted].sum()), np.int32), np.zeros(len(order), np.int64), 0
-    for i, k in enumerate(order):
-        own = at[terms(k)]
+    order, begin, kept, end = np.argsort(names, kind="stable"), np.cumsum(size) - size, size.copy(), 0
+    col = np.empty(int(df[admitted].sum()), np.int32)
+    for i, k in enumerate(order.tolist()):
+        own = at[raw[begin[k] : begin[k] + size[k]]]
         own = own[own >= 0]
-        size[i] = len(own)
-        col[end : end + len(own)] = own
-        end += len(own)
-    return Table(col, size, len(admitted)), got.column("toxic").to_numpy().astype(float)[order], admitted
+        col[end : end + len(own)], kept[i], end = own, len(own), end + len(own)
+    return Table(col, kept, len(admitted)), y[order], admitted
 
 
 def _score(machine: Machine):
