@@ -190,7 +190,31 @@ def _rationales(spark, sf):
     return table(spark, sf, "events").select("event_id", "user_id", r.alias("rationale"))
 
 
-@query()
+def _sql_text(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+def _slots_sql(reading: str) -> str:
+    """A list of the first reading of each slot; reading is SQL on x.w."""
+    return "[" + ", ".join(f"list_filter(list_transform(windows, lambda x: CASE WHEN x.slot = {k} THEN {reading} END), lambda x: x IS NOT NULL)[1]" for k in range(1, 5)) + "]"
+
+
+_TOKEN = f"regexp_extract(x.w, {_sql_text(evals.STATE)})"
+VERDICTS_SQL = _slots_sql(f"CASE WHEN regexp_matches(x.w, {_sql_text(evals.NO)}) THEN 'no' WHEN regexp_matches(x.w, {_sql_text(evals.YES)}) THEN 'yes' END")
+STATES_SQL = _slots_sql(f"CASE WHEN starts_with({_TOKEN}, '분모') THEN 'excluded' WHEN {_TOKEN} = '부분' THEN 'partial' WHEN {_TOKEN} = '충족' THEN 'full' WHEN {_TOKEN} <> '' THEN 'none' END")
+ELEMENTS_SQL = _slots_sql("nullif(concat_ws(';', " + ", ".join(f"CASE WHEN regexp_matches(x.w, '\\({e}\\)\\s*({evals.HELD})') THEN '{e}=' || regexp_extract_all(x.w, '\\({e}\\)\\s*({evals.HELD})', 1)[-1] END" for e in "abc") + "), '')")
+#: Rationales cut into windows by DuckDB.
+WINDOWS_SQL = f"""r AS (SELECT *, [{", ".join(map(_sql_text, RATIONALES))}][event_id % {len(RATIONALES)} + 1] AS rationale FROM events),
+cut AS (SELECT *, list_transform(string_split(regexp_replace(rationale, {_sql_text("(" + evals.MARKS + ")")}, chr(57344) || '\\1' || chr(57345), 'g'), chr(57344))[2:], lambda p: string_split(p, chr(57345))) AS pieces FROM r),
+w AS (SELECT *, list_transform(pieces, lambda p: {{'slot': CAST(regexp_extract(translate(p[1], '①②③④', '1234'), '[1-4]') AS INT), 'w': left(string_split_regex(p[2], '→|->')[1], 200)}}) AS windows FROM cut),
+s AS (SELECT *, {VERDICTS_SQL} AS v, {STATES_SQL} AS st, {ELEMENTS_SQL} AS el FROM w)"""
+
+
+def _dashed(name: str) -> str:
+    return f"array_to_string(list_transform({name}, lambda x: coalesce(x, '-')), '|')"
+
+
+@query(f"WITH {WINDOWS_SQL} SELECT event_id, {_dashed('v')} AS verdicts, {_dashed('st')} AS states, {_dashed('el')} AS elements FROM s")
 def slot_states(spark, sf):
     r = _rationales(spark, sf)
     join = lambda a: F.concat_ws("|", F.transform(a, lambda x: F.coalesce(x, F.lit("-"))))
@@ -202,13 +226,42 @@ def stated_denominator(spark, sf):
     return _rationales(spark, sf).select("event_id", T.stated_denominator(F.col("rationale")).alias("denominator"))
 
 
-@query()
+def _share(cond: str, among: str) -> str:
+    return f"round(avg(CASE WHEN {among} THEN CAST(coalesce({cond}, false) AS INT) END), 3)"
+
+
+_WHOLE = "(len(list_filter(st, lambda x: x IS NULL)) = 0)"
+_POINTS = "list_sum(list_transform(st, lambda x: CASE x WHEN 'full' THEN 1.0 WHEN 'partial' THEN 0.5 ELSE 0.0 END)) / nullif(len(list_filter(st, lambda x: x <> 'excluded')), 0)"
+_TABLE = f"CASE WHEN NOT {_WHOLE} OR st[1] = 'excluded' THEN NULL WHEN st[1] = 'none' THEN 1 WHEN {_POINTS} >= 1 THEN 5 WHEN {_POINTS} >= 0.75 THEN 4 WHEN {_POINTS} >= 0.5 THEN 3 ELSE 2 END"
+
+
+@query(f"""WITH {WINDOWS_SQL},
+d AS (SELECT *, event_id % 7 > 0 AS judged, event_id % 14 = 0 AS failed, event_id % 6 = 5 AS coded, 1 + event_id % 5 AS score, [3, 4, NULL, NULL, NULL][event_id % 5 + 1] AS stated FROM s),
+l AS (SELECT *, judged AND NOT coded AS legacy, {_TABLE} AS due FROM d)
+SELECT user_id AS item_id, count(*) FILTER (WHERE judged) AS n, count(*) FILTER (WHERE failed) AS failures, max(CASE WHEN judged THEN 'judge-v4' END) AS judge_prompt,
+CASE WHEN count(*) FILTER (WHERE judged) = 0 THEN NULL WHEN count(*) FILTER (WHERE legacy) = 0 THEN 'code' WHEN count(*) FILTER (WHERE judged AND coded) > 0 THEN 'mixed' ELSE 'judge' END AS scored_by,
+{_share("len(list_filter(v, lambda x: x IS NULL)) = 0", "legacy")} AS slot_adherence, {_share("stated = 3", "legacy")} AS denominator_adherence, {_share(_WHOLE, "legacy")} AS state_adherence, {_share("due = score", f"legacy AND {_WHOLE}")} AS score_table_adherence,
+{", ".join(f"{_share(f"v[{k}] = 'yes'", 'legacy')} AS fill_{k}" for k in range(1, 5))},
+{", ".join("concat_ws(';', " + ", ".join(f"CASE WHEN count(*) FILTER (WHERE legacy AND st[{k}] = '{x}') > 0 THEN '{x}=' || count(*) FILTER (WHERE legacy AND st[{k}] = '{x}') END" for x in evals.STATES) + f") AS states_{k}" for k in range(1, 5))}
+FROM l GROUP BY user_id""")
 def repeat_stats(spark, sf):
     e = F.col("event_id")
     rows = _rationales(spark, sf).select(F.col("user_id").alias("item_id"), (e % 7 > 0).alias("judged"), (e % 14 == 0).alias("failed"), (e % 6 == 5).alias("coded"), "rationale", (1 + e % 5).alias("score"), T.stated_denominator(F.col("rationale")).alias("stated"), F.lit(3).alias("labelled"), F.lit("judge-v4").alias("judge_prompt"))
     return evals.repeat_stats(rows)
 
 
+#: Rationales of the strict reading, labels and what it says of them, by event_id.
+STRICT = (("①사건: (a) 담김 | ②범위: (a) 이름만 (b) 없음", (1, 2, 0, 0), "ok:a=담김|a=이름만;b=없음||"), ("①(a) 담김 ①(a) 담김", (1, 0, 0, 0), "error:slot twice"), ("①(a) 담김 (a) 없음", (1, 0, 0, 0), "error:slot 1 contradicts itself"),
+          ("①(a) 담김", (2, 0, 0, 0), "error:slot 1 has other elements than its label"), (" ", (1, 0, 0, 0), "error:empty"), ("②(a) 담김", (1, 0, 0, 0), "error:slot 1 missing"), ("③(b) 담김 ①(a) 없음 (a) 없음", (1, 0, 0, 0), "ok:a=없음|||"))
+
+
+@query(f"SELECT event_id, [{', '.join(_sql_text(x) for _, _, x in STRICT)}][event_id % {len(STRICT)} + 1] AS read FROM events")
+def strict_elements(spark, sf):
+    rows = F.array(*[F.struct(F.lit(t).alias("t"), F.array(*[F.lit(n) for n in sizes]).alias("sizes")) for t, sizes, _ in STRICT])
+    r = table(spark, sf, "events").select("event_id", F.element_at(rows, (F.col("event_id") % len(STRICT) + 1).cast("int")).alias("r"))
+    return r.select("event_id", evals.parsed_elements(F.col("r.t"), F.col("r.sizes")).alias("read"))
+
+
 STOP = "CASE WHEN event_id % 4 = 0 THEN 'length' ELSE 'stop' END"
 
 

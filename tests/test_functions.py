@@ -116,9 +116,12 @@ def test_slots(spark):
     assert each(spark, evals.slot_states, [RATIONALE, "", None]) == [["full", "none", "partial", "excluded"], [None] * 4, [None] * 4]
     assert each(spark, evals.slot_verdicts, [RATIONALE])[0][:3] == ["yes", "no", "yes"]
     assert each(spark, T.stated_denominator, [RATIONALE, "1/3, 2/4 슬롯", "없음"]) == [3, 4, None]
-    assert evals.parse_elements("①사건: (a) 담김 | ②범위: (a) 이름만 (b) 없음", [1, 2, 0, 0]) == (True, "a=담김|a=이름만;b=없음||")
-    for bad, sizes in (("①(a) 담김 ①(a) 담김", [1, 0, 0, 0]), ("①(a) 담김 (a) 없음", [1, 0, 0, 0]), ("①(a) 담김", [2, 0, 0, 0]), ("①(a) 담김 (b) 담김", [1, 0, 0, 0]), ("", [1, 0, 0, 0]), ("②(a) 담김", [1, 0, 0, 0])):
-        assert not evals.parse_elements(bad, sizes)[0]
+    strict = lambda text, sizes: one(spark, evals.parsed_elements(F.lit(text), F.array(*[F.lit(n) for n in sizes])))
+    assert strict("①사건: (a) 담김 | ②범위: (a) 이름만 (b) 없음", [1, 2, 0, 0]) == "ok:a=담김|a=이름만;b=없음||"
+    for bad, sizes in (("①(a) 담김 ①(a) 담김", [1, 0, 0, 0]), ("①(a) 담김 (a) 없음", [1, 0, 0, 0]), ("①(a) 담김", [2, 0, 0, 0]), ("①(a) 담김 (b) 담김", [1, 0, 0, 0]), ("", [1, 0, 0, 0]), ("②(a) 담김", [1, 0, 0, 0]), (None, [1, 0, 0, 0])):
+        assert strict(bad, sizes).startswith("error:")
+    assert each(spark, evals.element_verdicts, ["①(a) 담김 (a) 없음 (c)이름만 → (b) 담김 ② x ②(b) 담김"]) == [["a=없음;c=이름만", "b=담김", None, None]]
+    assert each(spark, evals.slot_verdicts, ["①" + "가" * 200 + "충족 ② 채우지 못했다 충족"]) == [[None, "no", None, None]]
 
 
 def test_golden_and_slot_rules(spark):
