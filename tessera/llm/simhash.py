@@ -40,6 +40,8 @@ DISTANCE = 2
 SHINGLE = 3
 SEED = 42
 CAP = 2048
+#: What a key costs, which is shuffled twice, in candidate pairs, which are an exclusive or inside an array.
+KEY_COST = 64
 SALTS = 16
 #: For near copies: words of a shingle, bands of each text and minima of a band. A pair alike to 0.8 shares a band with a chance of 0.998.
 NEAR_SHINGLE, BANDS, WIDTH = 5, 16, 5
@@ -148,10 +150,10 @@ def plan(reps: DataFrame, distance: int = DISTANCE) -> list[tuple[list[int], int
         for k, bits in enumerate(parts):
             d = within(p[bits], 2)
             same = next((pairs.get(i, 0.0) for i, (a, b, _) in enumerate(flat) if (a, b) == (m, k)), 0.0)
-            cost = {-1: 0.0, 0: n + same}
-            cost[1] = (2 + len(bits)) * n + same * (d[0] + d[1]) / d[0]
+            cost = {-1: 0.0, 0: KEY_COST * n + same}
+            cost[1] = KEY_COST * (2 + len(bits)) * n + same * (d[0] + d[1]) / d[0]
             # At threshold 2 both sides emit their one-bit neighbours; if all bits are one part, no false candidate remains, see stars().
-            cost[2] = (1 + len(bits)) * n + (0 if len(bits) == 64 else same * d.sum() / d[0])
+            cost[2] = KEY_COST * (1 + len(bits)) * n + (0 if len(bits) == 64 else same * d.sum() / d[0])
             costs.append(cost)
         got = allocate(costs, distance)
         if best is None or got[0] < best[0]:
@@ -228,7 +230,7 @@ def links(reps: DataFrame, cap: int = CAP, n: int | None = None) -> DataFrame:
         probes.append(F.array(entry(0, 0), *[entry(x, 0 if t == 2 else 1) for x in flips(bits)]) if t else F.array(entry(0, 0)))
     keys = reps.select("fp", F.explode(F.concat(*probes)).alias("x")).select("fp", "x.*")
     sizes = keys.groupBy("part", "key").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.expr("probe = 0")).alias("bases")).where("n > 1 and bases > 0")
-    sizes = materialise(sizes, "sizes", rows=n)
+    sizes = materialise(sizes, "sizes", rows=n and 8 * n)
     near = keys.join(sizes.where(F.col("n") <= cap), ["part", "key"])
     rows = near.groupBy("part", "key").agg(F.collect_list(F.when(F.col("probe") == 0, F.col("fp"))).alias("base"), F.collect_list(F.when(F.col("probe") == 1, F.col("fp"))).alias("probes"))
     edges = rows.select("base", "probes").mapInArrow(_verify(DISTANCE), "a long, b long")
