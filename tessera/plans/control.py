@@ -44,9 +44,9 @@ def shared_budget(spark, sf):
     return control.take(d, "source", ["doc_id"], F.col("doc_id") % 4 > 0, 60).select("doc_id", "taken")
 
 
-@query("""WITH recent AS (SELECT doc_id FROM documents WHERE doc_id % 3 = 0 ORDER BY n_chars DESC, CAST(doc_id AS VARCHAR) LIMIT 15) SELECT CAST(doc_id AS VARCHAR) AS doc_id FROM recent ORDER BY sha256(doc_id || 'x') LIMIT 3""")
+@query("""WITH recent AS (SELECT doc_id FROM documents ORDER BY n_chars DESC, CAST(doc_id AS VARCHAR) LIMIT 15) SELECT CAST(doc_id AS VARCHAR) AS doc_id FROM recent ORDER BY sha256(doc_id || 'x') LIMIT 3""")
 def review_sample(spark, sf):
-    d = table(spark, sf, "documents").where("doc_id % 3 = 0").select(F.col("doc_id").cast("string").alias("doc_id"), "n_chars")
+    d = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "n_chars")
     return control.review_sample(d, "n_chars", seed="x").select("doc_id")
 
 

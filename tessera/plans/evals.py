@@ -19,14 +19,14 @@ def _broken(spark, sf):
     d = F.col("doc_id")
     e = extractions(spark, sf)
     e = e.withColumn("tech_domains", F.when(d % 12 == 0, F.array(F.lit("Cooking"))).otherwise(F.col("tech_domains"))).withColumn("impact", F.when(d % 15 == 0, 6).otherwise(F.col("impact")))
-    return e.withColumn("summary", F.left("text", F.lit(100))).withColumn("rationale", F.left("text", (d % 40).cast("int")))
+    return e.withColumn("summary", F.col("text")).withColumn("rationale", F.concat("text", "lang"))
 
 
-BROKEN = f"""{EXTRACTIONS}, broken AS (SELECT doc_id, source_name, CASE WHEN doc_id % 12 = 0 THEN ['Cooking'] ELSE tech_domains END AS tech_domains, release_type, CASE WHEN doc_id % 15 = 0 THEN 6 ELSE impact END AS impact, left(text, 100) AS summary, left(text, doc_id % 40) AS rationale FROM extractions)"""
+BROKEN = f"""{EXTRACTIONS}, broken AS (SELECT doc_id, source_name, CASE WHEN doc_id % 12 = 0 THEN ['Cooking'] ELSE tech_domains END AS tech_domains, release_type, CASE WHEN doc_id % 15 = 0 THEN 6 ELSE impact END AS impact, text AS summary, text || lang AS rationale FROM extractions)"""
 
 
 @query(f"""WITH {BROKEN} SELECT doc_id, array_to_string(list_filter([CASE WHEN length(summary) NOT BETWEEN 20 AND 600 THEN 'summary_length' END, CASE WHEN doc_id % 12 = 0 THEN 'domain_vocab' END,
-  CASE WHEN impact > 5 THEN 'score_range' END, CASE WHEN length(rationale) < 15 THEN 'rationale_length' END], lambda x: x IS NOT NULL), ',') AS violations FROM broken""")
+  CASE WHEN impact > 5 THEN 'score_range' END, CASE WHEN length(rationale) NOT BETWEEN 15 AND 300 THEN 'rationale_length' END], lambda x: x IS NOT NULL), ',') AS violations FROM broken""")
 def validate_ontology(spark, sf):
     v = records.violations(F.col("summary"), F.col("tech_domains"), F.col("release_type"), F.col("prior_art"), F.col("impact"), F.col("rationale"))
     return _broken(spark, sf).select("doc_id", F.array_join(v, ",").alias("violations"))
@@ -71,15 +71,16 @@ def export_records(spark, sf):
                         F.col("provenance.extraction_model").alias("extraction_model"), F.array_join("ontology.tech_domains", ",").alias("domains"))
 
 
-MERGED = """snap AS (SELECT doc_id, 'old ' || doc_id AS title, left(text, 50) AS text, 'http://s/' || doc_id AS url FROM documents WHERE doc_id % 3 = 0),
-rec AS (SELECT doc_id, 'new ' || doc_id AS title, left(text, 70) AS text, 'https://r/' || doc_id AS url FROM documents WHERE doc_id % 2 = 0),
+MERGED = """snap AS (SELECT doc_id, 'old ' || doc_id AS title, text, 'http://s/' || doc_id AS url FROM documents),
+rec AS (SELECT page_id * 5 AS doc_id, 'new ' || page_id AS title, html AS text, url FROM pages),
 merged AS (SELECT coalesce(s.doc_id, r.doc_id) AS doc_id, coalesce(s.title, r.title) AS title, coalesce(s.text, r.text) AS text, coalesce(r.url, s.url) AS url, s.doc_id IS NOT NULL AND r.doc_id IS NOT NULL AS merged FROM snap s FULL JOIN rec r ON s.doc_id = r.doc_id)"""
 
 
 def _snapshot(spark, sf):
-    d = table(spark, sf, "documents")
-    side = lambda k, word, n, host: d.where(f"doc_id % {k} = 0").select("doc_id", F.concat(F.lit(word), F.col("doc_id").cast("string")).alias("title"), F.left("text", F.lit(n)).alias("text"), F.lit("abstract").alias("locator"), F.concat(F.lit(host), F.col("doc_id").cast("string")).alias("url"), F.lit("o").alias("ontology"))
-    return side(3, "old ", 50, "http://s/"), side(2, "new ", 70, "https://r/").withColumn("ord", F.col("doc_id"))
+    """All documents as the snapshot, and all pages as records; their ids are spread, so that some are in one of them alone."""
+    side = lambda d, word, k, body: d.select((F.col(k) * (5 if k == "page_id" else 1)).alias("doc_id"), F.concat(F.lit(word), F.col(k).cast("string")).alias("title"), F.col(body).alias("text"), F.lit("abstract").alias("locator"), "url", F.lit("o").alias("ontology"))
+    docs = table(spark, sf, "documents").withColumn("url", F.concat(F.lit("http://s/"), F.col("doc_id").cast("string")))
+    return side(docs, "old ", "doc_id", "text"), side(table(spark, sf, "pages"), "new ", "page_id", "html").withColumn("ord", F.col("doc_id"))
 
 
 @query(f"WITH {MERGED} SELECT * FROM merged")
@@ -87,10 +88,10 @@ def merge_snapshot(spark, sf):
     return records.merge(*_snapshot(spark, sf), "ord").select("doc_id", "title", "text", "url", F.coalesce("merged", F.lit(False)).alias("merged"))
 
 
-@query(f"WITH {MERGED}, pairs AS (SELECT doc_id % 10 AS case_id, doc_id FROM documents WHERE doc_id % 5 = 0) SELECT case_id, doc_id, 'missing' AS why FROM pairs p WHERE NOT EXISTS (SELECT 1 FROM merged m WHERE m.doc_id = p.doc_id)")
+@query(f"WITH {MERGED}, pairs AS (SELECT event_id % 10 AS case_id, event_id AS doc_id FROM events) SELECT case_id, doc_id, 'missing' AS why FROM pairs p WHERE NOT EXISTS (SELECT 1 FROM merged m WHERE m.doc_id = p.doc_id)")
 def golden_pairs_broken(spark, sf):
     snap, rec = _snapshot(spark, sf)
-    pairs = table(spark, sf, "documents").where("doc_id % 5 = 0").select((F.col("doc_id") % 10).alias("case_id"), "doc_id")
+    pairs = table(spark, sf, "events").select((F.col("event_id") % 10).alias("case_id"), F.col("event_id").alias("doc_id"))
     return records.broken_pairs(pairs, snap, records.merge(snap, rec, "ord"))
 
 

@@ -135,11 +135,11 @@ def quarantine(spark, sf):
 
 @query("""
 SELECT event_type AS source, CAST(ts AS DATE) AS day, event_id AS id FROM events e
-WHERE event_id % 5 = 0 AND event_id % 3 > 0 AND NOT EXISTS (SELECT 1 FROM events n WHERE n.event_type = e.event_type AND n.event_id = e.event_id + 5)""", text="day")
+WHERE NOT EXISTS (SELECT 1 FROM events n WHERE n.event_type = e.event_type AND n.event_id = e.event_id + 5)""", text="day")
 def backlog_evictions(spark, sf):
     e = table(spark, sf, "events").select(F.col("event_type").alias("source"), F.to_date("ts").alias("day"), F.col("event_id").alias("id"))
     now = e.select("source", (F.col("id") - 5).alias("id"))
-    return flow.evictions(e.where("id % 5 = 0 and id % 3 > 0"), now, ["source", "id"]).select("source", "day", "id")
+    return flow.evictions(e, now, ["source", "id"]).select("source", "day", "id")
 
 
 @query(f"""

@@ -170,21 +170,21 @@ CUT = """CASE WHEN length(s) <= 40 THEN s
   ELSE regexp_replace(left(s, 40), '^-+|-+$', '', 'g') END"""
 
 
-@query(f"SELECT doc_id, slug, '2024-01-31-' || source || '-' || CASE WHEN slug = '' THEN 'untitled' ELSE slug END || '.md' AS file FROM (SELECT doc_id, source, {CUT} AS slug FROM (SELECT doc_id, source, {SLUG.format('left(text, 60)')} AS s FROM documents))")
+@query(f"SELECT doc_id, slug, '2024-01-31-' || source || '-' || CASE WHEN slug = '' THEN 'untitled' ELSE slug END || '.md' AS file FROM (SELECT doc_id, source, {CUT} AS slug FROM (SELECT doc_id, source, {SLUG.format('text')} AS s FROM documents))")
 def slugify(spark, sf):
-    title = F.left("text", F.lit(60))
+    title = F.col("text")
     return table(spark, sf, "documents").select("doc_id", T.slugify(title, T.SLUG_MAX).alias("slug"), T.build_filename(title, F.col("source"), F.lit(TODAY)).alias("file"))
 
 
 @query("""
-SELECT doc_id, '## 요약' || chr(10) || chr(10) || regexp_replace(left(text, 100), '^\\s+|\\s+$', '', 'g') || chr(10) || chr(10) || '## 관련 개념' || chr(10) || chr(10)
+SELECT doc_id, '## 요약' || chr(10) || chr(10) || regexp_replace(text, '^\\s+|\\s+$', '', 'g') || chr(10) || chr(10) || '## 관련 개념' || chr(10) || chr(10)
   || CASE WHEN doc_id % 4 = 0 THEN '- (없음)' ELSE '- [[t ' || (doc_id % 5) || ']]' || chr(10) || '- [[' || source || ']]' END
   || chr(10) || chr(10) || '## 원문' || chr(10) || chr(10) || '[' || source || '에서 보기](https://h/' || doc_id || ')' || chr(10) AS body FROM documents""")
 def render_note_body(spark, sf):
     some = F.col("doc_id") % 4 != 0
     none = F.array().cast("array<string>")
     tags = F.when(some, F.array(F.concat(F.lit("[[t#"), (F.col("doc_id") % 5).cast("string"), F.lit("]]")))).otherwise(none)
-    return table(spark, sf, "documents").select("doc_id", T.render_body(F.left("text", F.lit(100)), tags, F.when(some, F.array("source")).otherwise(none), F.col("source"), F.concat(F.lit("https://h/"), F.col("doc_id").cast("string"))).alias("body"))
+    return table(spark, sf, "documents").select("doc_id", T.render_body(F.col("text"), tags, F.when(some, F.array("source")).otherwise(none), F.col("source"), F.concat(F.lit("https://h/"), F.col("doc_id").cast("string"))).alias("body"))
 
 
 @query("SELECT doc_id, regexp_replace('a/' || source || ':' || lang, '[^A-Za-z0-9._-]', '_', 'g') || '.json' AS file FROM documents ORDER BY 2, 1")
