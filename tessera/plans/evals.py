@@ -217,9 +217,9 @@ def _dashed(name: str) -> str:
 
 @query(f"WITH {WINDOWS_SQL} SELECT event_id, {_dashed('v')} AS verdicts, {_dashed('st')} AS states, {_dashed('el')} AS elements FROM s")
 def slot_states(spark, sf):
-    r = _rationales(spark, sf)
+    r, cut = _rationales(spark, sf).withColumn("cut", evals.windows(F.col("rationale"))), F.col("cut")
     join = lambda a: F.concat_ws("|", F.transform(a, lambda x: F.coalesce(x, F.lit("-"))))
-    return r.select("event_id", join(evals.slot_verdicts("rationale")).alias("verdicts"), join(evals.slot_states("rationale")).alias("states"), join(evals.element_verdicts("rationale")).alias("elements"))
+    return r.select("event_id", join(evals.slot_verdicts("rationale", cut)).alias("verdicts"), join(evals.slot_states("rationale", cut)).alias("states"), join(evals.element_verdicts("rationale", cut)).alias("elements"))
 
 
 @query("""SELECT event_id, CAST([3, 4, NULL, NULL, NULL][event_id % 5 + 1] AS VARCHAR) AS denominator FROM events""", text="denominator")
