@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import editprint, html_text, huffman, mixing, packing, perspectives, pivots, secrets, secrets_sql, simhash, toxicity
+from tessera.llm import divergence, editprint, html_text, huffman, mixing, packing, perspectives, pivots, secrets, secrets_sql, simhash, toxicity, url_filter, whitening
 from tessera.llm.common import shared_dir
 
 QUERIES: dict = {}
@@ -85,3 +85,24 @@ def op8_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op8_perspectives"] = perspectives.SQL
+
+
+@query
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.query(_read(spark, sf_dir, "pages"))
+
+
+ORACLES["op11_url_filter"] = url_filter.SQL
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.query(_read(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_divergence"] = divergence.SQL
