@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.functions import urls as U
+from tessera.sources import lines
 
 
 def load_prompt(text: str, name: str = "prompt") -> tuple[str, str]:
@@ -102,11 +103,10 @@ def missing_labels(golden: DataFrame) -> DataFrame:
 
 def read_predictions(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A JSON lines file keyed by item_id: blank lines are skipped, a bad line aborts with its number, the last line of an item wins (S-13)."""
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("no", "line")).where(F.trim("line") != "")
-    got = lines.select("no", "line", F.from_json("line", schema, {"mode": "PERMISSIVE"}).alias("r"))
-    checked = F.when(F.col("r").isNull() | F.col("r.item_id").isNull(), F.raise_error(F.concat(F.lit("bad line "), (F.col("no") + 1).cast("string"))).cast("string")).otherwise(F.col("r.item_id"))
-    rows = got.select("no", checked.alias("_id"), "r.*")
-    return rows.withColumn("_r", F.row_number().over(W.partitionBy("_id").orderBy(F.desc("no")))).where("_r = 1").drop("_r", "no", "_id")
+    got = lines.read_keyed(spark, path, schema)
+    bad = F.concat(F.element_at(F.split("file", "/"), -1), F.lit(": bad line "), F.col("line").cast("string"), F.lit(" ("), "error", F.lit(")"))
+    checked = got.withColumn("record", F.when(F.col("error").isNotNull(), F.raise_error(bad).cast(got.schema["record"].dataType)).otherwise(F.col("record")))
+    return checked.groupBy("record.item_id").agg(F.max_by("record", F.struct("file", "line")).alias("r")).select("r.*")
 
 
 def pool(items: DataFrame, wanted: DataFrame, source: str, order: str, factor: int = 3) -> DataFrame:
