@@ -49,6 +49,19 @@ def _columns(df: DataFrame, names: list[str]) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in names)
 
 
+def settle(client: Client, item: dict, fits: Callable[[str], bool] | None = None, corrections: int = 0) -> tuple[str, str | None, str | None, int]:
+    """(outcome, response, error, attempts) of one logical call: a response that does not fit is asked for again, with the reason in item["error"]."""
+    attempts, reason = 0, None
+    while True:
+        attempts += 1
+        outcome, response, error = ask(client, {**item, "error": reason} if corrections else item)
+        if outcome == "ok" and fits and not fits(response):
+            outcome, error = "schema", "the response does not fit its schema"
+        if outcome != "schema" or attempts > corrections:
+            return outcome, response, error, attempts
+        reason = error
+
+
 def _rows(batches, most: int = 256):
     """Lists of at most most rows, as dicts."""
     for batch in batches:
@@ -60,7 +73,7 @@ def _complete(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path}/_SUCCESS")
 
 
-def guarded(items: DataFrame, client: Client, keys: list[str], order: list[str], key: str, path: str, at: int = BREAKER_AT, step: int = 50) -> DataFrame:
+def guarded(items: DataFrame, client: Client, keys: list[str], order: list[str], key: str, path: str, at: int = BREAKER_AT, step: int = 50, fits: Callable[[str], bool] | None = None, corrections: int = 0) -> DataFrame:
     """Call the client on the items of each group of keys in their order, until at transport failures in a row.
 
     Groups run beside each other, the items of one after another, step of each group at a time: a slice is
@@ -77,7 +90,7 @@ def guarded(items: DataFrame, client: Client, keys: list[str], order: list[str],
     most = plan.agg(F.max("no")).first()[0]
     names = list(plan.columns)
     kept = [*keys, key, "no"]
-    schema = f"{_columns(plan, kept)}, outcome string, response string, error string, streak int"
+    schema = f"{_columns(plan, kept)}, outcome string, response string, error string, streak int, attempts int"
     out_names = StructType.fromDDL(schema).names
 
     def run(batches):
@@ -90,9 +103,9 @@ def guarded(items: DataFrame, client: Client, keys: list[str], order: list[str],
                     at_group, streak = group, row["_streak"]
                 if streak >= at:
                     continue
-                outcome, response, error = ask(client, {n: row[n] for n in names if n != "no"})
+                outcome, response, error, attempts = settle(client, {n: row[n] for n in names if n != "no"}, fits, corrections)
                 streak = 0 if outcome == "ok" else streak + (outcome == "transport")
-                found.append({**{n: row[n] for n in kept}, "outcome": outcome, "response": response, "error": error, "streak": streak})
+                found.append({**{n: row[n] for n in kept}, "outcome": outcome, "response": response, "error": error, "streak": streak, "attempts": attempts})
             yield pa.RecordBatch.from_pylist(found, schema=arrow)
 
     arrow = to_arrow_schema(StructType.fromDDL(schema))
@@ -113,7 +126,7 @@ def guarded(items: DataFrame, client: Client, keys: list[str], order: list[str],
     same = (F.col("no") == F.col("_no")) & F.col(key).eqNullSafe(F.col(f"_{key}"))
     for k in keys:
         same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
-    return plan.select(*kept).join(made, same, "left").select(*kept, F.coalesce("_outcome", F.lit("left")).alias("outcome"), F.col("_response").alias("response"), F.col("_error").alias("error"), F.col("_streak").alias("streak"))
+    return plan.select(*kept).join(made, same, "left").select(*kept, F.coalesce("_outcome", F.lit("left")).alias("outcome"), F.col("_response").alias("response"), F.col("_error").alias("error"), F.col("_streak").alias("streak"), F.col("_attempts").alias("attempts"))
 
 
 def tripped(calls: DataFrame, keys: list[str], at: int = BREAKER_AT) -> DataFrame:

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import json
+from datetime import date
 
 from pyspark.sql import functions as F
 
 from tessera.operators import calls, flow
-from tessera.plans.fixtures import RAW_ITEMS, RUNS, raw_items, runs
+from tessera.plans import daily, pipeline
+from tessera.plans.fixtures import RAW_ITEMS, RUNS, TODAY, raw_items, runs
 from tessera.plans.flow import CALLS
 from tessera.plans.registry import query
 from tessera.session import table
 from tessera.sources import history, lines, papers
 from tessera.sources.scratch import scratch
+from tessera.sources.tables import KeyedTable
 from tessera.streaming import silence
 from tessera.vocab import BREAKER_AT, LOOKBACK_RUNS
 
@@ -170,3 +173,62 @@ def paper_batches(spark, sf):
     wanted = p.select((F.col("page_id") - F.lit(first)).alias("ord"), "url")
     answers = papers.fetch(wanted, transport=_paper_transport(), delays=(0, 0), batch=50)
     return papers.outcome(wanted, answers).select("ord", "paper_id", "title", "attempts")
+
+
+GATE, EXTRACT, UNDATED = 15, 4, 5
+
+_GATED = f"""items AS (SELECT doc_id, source, length(coalesce(text, '')) AS n, CASE WHEN doc_id % 11 <> 0 THEN date '{TODAY}' - CAST(doc_id * 7 % 21 AS INTEGER) END AS p FROM documents),
+adm AS (SELECT *, p IS NULL AS undated, CASE WHEN p IS NULL THEN row_number() OVER (PARTITION BY source, p IS NULL ORDER BY doc_id) <= {UNDATED} ELSE p >= date '{TODAY}' - 7 END AS let_in FROM items),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY source, let_in ORDER BY doc_id) AS r FROM adm),
+inside AS (SELECT *, let_in AND r <= {GATE} AS in_source FROM ranked),
+asked AS (SELECT *, in_source AND sum(CASE WHEN in_source THEN 1 ELSE 0 END) OVER (ORDER BY source, doc_id) <= least(200, {GATE} * (SELECT count(DISTINCT source) FROM documents)) AS granted FROM inside)"""
+
+
+def _streaks(name: str, rows: str, granted: str, failed: str, neutral: str) -> str:
+    """CTEs that add to rows whether the breaker was still closed before each granted row of its source."""
+    return f"""{name}_i AS (SELECT *, sum(CASE WHEN {granted} AND NOT ({failed}) AND NOT ({neutral}) THEN 1 ELSE 0 END) OVER (PARTITION BY source ORDER BY doc_id) AS island FROM {rows}),
+{name}_s AS (SELECT *, sum(CASE WHEN {granted} AND ({failed}) THEN 1 ELSE 0 END) OVER (PARTITION BY source, island ORDER BY doc_id) AS streak FROM {name}_i),
+{name} AS (SELECT * EXCLUDE (island, streak), {granted} AND coalesce(max(streak) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < {BREAKER_AT} AS {name}_called FROM {name}_s)"""
+
+
+@query(f"""
+WITH {_GATED}, {_streaks('gate', 'asked', 'granted', 'n % 4 = 0', 'false')},
+passed AS (SELECT *, gate_called AND n % 4 >= 2 AS ok FROM gate),
+wants AS (SELECT *, ok AND row_number() OVER (PARTITION BY source, ok ORDER BY doc_id) <= {EXTRACT} AS taken FROM passed),
+got AS (SELECT *, taken AND sum(CASE WHEN taken THEN 1 ELSE 0 END) OVER (ORDER BY source, doc_id) <= least(100, {EXTRACT} * (SELECT count(DISTINCT source) FROM documents)) AS picked FROM wants),
+{_streaks('extract', 'got', 'picked', 'n % 11 = 0 AND n % 7 <> 0', 'n % 7 = 0')},
+t AS (SELECT source, count(*) AS collected, count(*) FILTER (WHERE NOT let_in AND NOT undated) AS out_of_window, count(*) FILTER (WHERE NOT let_in AND undated) AS undated_deferred, count(*) FILTER (WHERE gate_called) AS gate_calls,
+  count(*) FILTER (WHERE gate_called AND n % 4 = 0) AS gate_error, count(*) FILTER (WHERE ok) AS gate_passed, count(*) FILTER (WHERE let_in AND NOT gate_called) AS deferred_gate, count(*) FILTER (WHERE extract_called) AS extract_calls,
+  count(*) FILTER (WHERE extract_called AND n % 7 = 0) AS extract_schema_failed, count(*) FILTER (WHERE extract_called AND n % 11 = 0 AND n % 7 <> 0) AS extract_transport_error,
+  count(*) FILTER (WHERE extract_called AND n % 11 <> 0 AND n % 7 <> 0) AS extracted, count(*) FILTER (WHERE ok AND NOT extract_called) AS deferred_extraction FROM extract GROUP BY 1),
+s AS (SELECT *, deferred_gate = 0 AND undated_deferred = 0 AS window_drained, CAST(sum(gate_error + extract_schema_failed + extract_transport_error) OVER () AS BIGINT) AS failures, CAST(sum(extracted) OVER () * 2 AS BIGINT) AS produced FROM t)
+SELECT *, CAST(CASE WHEN failures = 0 THEN 0 WHEN produced > 0 THEN 3 ELSE 1 END AS INTEGER) AS exit_code FROM s""")
+def run_report(spark, sf):
+    """The report of one whole run over all documents, a row a source; clients fail by the length of the text."""
+    d = table(spark, sf, "documents")
+    published = F.when(F.col("doc_id") % 11 != 0, F.date_sub(F.lit(TODAY).cast("date"), (F.col("doc_id") * 7 % 21).cast("int")))
+    items = d.select(F.col("source").alias("source_name"), F.concat(F.lit("https://h.example/"), F.col("doc_id").cast("string")).alias("url"), F.lit("t").alias("title"), F.coalesce("text", F.lit("")).alias("body"), published.alias("published_at"), F.col("doc_id").alias("feed_ord"))
+    names = sorted(r.source for r in d.select("source").distinct().limit(1000).collect())  # configured sources
+    at = scratch(spark, "run")
+    keyed = lambda name, schema: KeyedTable(spark, f"{at}/{name}", "doc_id", schema)
+    places = pipeline.Places(keyed("ledger", daily.LEDGER), keyed("store", daily.STORE), history.Marks(spark, f"{at}/runs", f"{at}/marks"), f"{at}/work")
+    fetches = spark.createDataFrame([(n, "ok", None, None) for n in names], "source_name string, status string, detail string, depth_hours double")
+    inputs = pipeline.Inputs(items, fetches, spark.createDataFrame([], "doc_id string, path string"))
+
+    def gate(item):
+        if len(item["body"]) % 4 == 0:
+            raise ConnectionError("no answer")
+        return json.dumps({"is_relevant": len(item["body"]) % 4 >= 2, "reason": ""})
+
+    def extract(item):
+        if len(item["body"]) % 7 == 0:
+            return "no JSON"
+        if len(item["body"]) % 11 == 0:
+            raise ConnectionError("no answer")
+        return json.dumps({"model": "m", "release_type": "Paper", "impact": 1})
+
+    rules = pipeline.Rules("g|m", date.fromisoformat(TODAY), "now", breaker="source", undated=UNDATED)
+    report = pipeline.run(spark, "pipeline-1", [pipeline.Source(n, GATE, EXTRACT) for n in names], inputs, places, rules, gate, extract)
+    kinds = ("collected", "out_of_window", "undated_deferred", "gate_calls", "gate_error", "gate_passed", "deferred_gate", "extract_calls", "extract_schema_failed", "extract_transport_error", "extracted", "deferred_extraction")
+    rows = report.select(F.explode("sources").alias("source", "t"), "window", "failures", "produced", "exit_code")
+    return rows.select("source", *[F.coalesce(F.try_element_at("t", F.lit(k)), F.lit(0)).alias(k) for k in kinds], F.try_element_at("window", F.col("source")).window_drained.alias("window_drained"), "failures", "produced", "exit_code")
