@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tessera.sources.tables import KeyedTable
 from tessera.vocab import CLOSED_KEEP, RUN_INTERVAL_HOURS, SEVERITIES
 
 DEPTH_KINDS = ("source_error", "env_not_ready", "breaker")
@@ -85,8 +86,103 @@ def tightest(clocks: DataFrame) -> DataFrame:
     return clocks.orderBy("slack_hours", "source").limit(1)
 
 
-def events_of(report: DataFrame) -> DataFrame:
-    """report(run, source, fetch_ok, silent, capped, drained, evicted, rollover, sample, quarantined) to events, a row a source each; conditions are fixed by kind (O-09)."""
-    rules = (("source_error", "not fetch_ok"), ("stale_feed", "silent"), ("window_capped", "capped"), ("not_drained", "not drained"), ("evicted", "evicted > 0"), ("feed_rollover", "rollover and not sample"), ("quarantined", "quarantined > 0"))
-    kinds = F.array_compact(F.array(*[F.when(F.expr(cond), F.lit(kind)) for kind, cond in rules]))
-    return report.select("run", "source", F.explode(kinds).alias("kind"), F.lit(None).cast("double").alias("slack"))
+def depth_rows(reports: DataFrame) -> DataFrame:
+    """(run_id, started_at, source, fetched, depth_hours, tripped): what last_depths() needs of each report; sample feeds are left out."""
+    rows = reports.select("run_id", "started_at", (F.size(F.coalesce("breaker_tripped", F.array().cast("array<string>"))) > 0).alias("tripped"), F.explode("fetch").alias("source", "f"))
+    return rows.where(~F.coalesce(F.col("f.feed_kind") == "sample", F.lit(False))).select("run_id", "started_at", "source", F.col("f.status").isin("ok", "empty").alias("fetched"), "f.depth_hours", "tripped")
+
+
+def _of_map(reports: DataFrame, column: str) -> DataFrame:
+    return reports.select("run_id", "fetch", "sources", F.explode(column).alias("source", "v"))
+
+
+def events_of(reports: DataFrame) -> DataFrame:
+    """Run reports to typed events (run_id, ord, kind, source, detail); what is no condition of a kind gives no event (O-09).
+
+    One pass over each nested map of a report; ord is the order of the kinds within a report.
+    """
+    n = lambda m, k: F.coalesce(F.try_element_at(m, F.lit(k)), F.lit(0))
+    own = lambda m: F.try_element_at(m, F.col("source"))
+    text = lambda pattern, *c: F.format_string(pattern, *[F.coalesce(x.cast("string"), F.lit("")) for x in c])
+
+    def take(rows: DataFrame, rules: list[tuple[int, str, Column, Column]]) -> DataFrame:
+        found = F.array_compact(F.array(*[F.when(cond, F.struct(F.lit(o).alias("ord"), F.lit(kind).alias("kind"), detail.alias("detail"))) for o, kind, cond, detail in rules]))
+        return rows.select("run_id", "source", F.explode(found).alias("e")).select("run_id", "e.ord", "e.kind", "source", "e.detail")
+
+    v = F.col("v")
+    fetch = take(_of_map(reports, "fetch"), [
+        (0, "source_error", ~v.status.isin("ok", "empty"), F.trim(text("fetch failed [%s] %s", v.status, v.detail))),
+        (1, "stale_feed", v.silent.isNotNull(), text("newest item %s (%s days ago, at most %s)", v.silent.newest, v.silent.age_days, v.silent.max_silence_days))])
+    tally = own(F.col("sources"))
+    window = take(_of_map(reports, "window"), [
+        (2, "window_capped", F.coalesce(v.capped, F.lit(False)), text("the window is at its cap (from %s, %s days)", v.cutoff, v.span_days)),
+        (3, "not_drained", F.coalesce(~v.drained, F.lit(False)), text("waiting: gate %s, undated %s, extraction %s; the window's anchor %s", n(tally, "deferred_gate"), n(tally, "undated_deferred"), n(tally, "deferred_extraction"), F.when(F.coalesce(v.window_drained, F.lit(True)), "moves").otherwise("stays")))])
+    gate, extraction = n(v, "evicted_gate"), n(v, "evicted_extraction")
+    sample = F.coalesce(own(F.col("fetch")).feed_kind == "sample", F.lit(False))
+    sources = take(_of_map(reports, "sources"), [
+        (4, "evicted", (gate > 0) | (extraction > 0), text("left the feed unprocessed: gate %s, extraction %s", gate, extraction)),
+        (5, "feed_rollover", (n(v, "feed_rollover") > 0) & ~sample, F.lit("the whole head of the last feed is gone; items may be lost, their number is not known")),
+        (7, "quarantined", n(v, "quarantined_now") > 0, text("%s quarantined in this run", n(v, "quarantined_now")))])
+    stages = reports.select("run_id", F.lit(6).alias("ord"), F.lit("breaker").alias("kind"), F.lit(None).cast("string").alias("source"), F.explode("breaker_tripped").alias("_s"))
+    stages = stages.select("run_id", "ord", "kind", "source", text("%s: transport failures in a row", F.col("_s")).alias("detail"))
+    return fetch.unionByName(window).unionByName(sources).unionByName(stages)
+
+
+def with_loss(events: DataFrame, clocks: DataFrame) -> DataFrame:
+    """events with slack: that of its source's clock(source, depth_hours, hours_since_success, slack_hours), the tightest clock where an event has no source; only kinds of DEPTH_KINDS have one, and their detail says so (J-21)."""
+    best = tightest(clocks).withColumn("source", F.lit(None).cast("string"))
+    named = tightest(clocks).select(F.lit(None).cast("string").alias("_s"), F.col("source").alias("_name"))
+    keyed = clocks.unionByName(best).join(named, F.col("source").eqNullSafe(F.col("_s")), "left")  # a row a configured source
+    keyed = keyed.select(F.col("source").alias("_key"), F.coalesce("_name", "source").alias("_clock"), "depth_hours", "hours_since_success", F.col("slack_hours").alias("slack"))
+    out = events.join(keyed, F.col("source").eqNullSafe(F.col("_key")) & F.col("kind").isin(*DEPTH_KINDS), "left")
+    verdict = F.when(F.col("slack") <= 0, "items are lost unless it runs before the next scheduled run").otherwise(F.format_string("%s hours left", F.col("slack").cast("string")))
+    said = F.format_string("%s; %s has a feed of %s hours, last processed %s hours ago: %s", F.col("detail"), F.col("_clock"), F.col("depth_hours").cast("string"), F.col("hours_since_success").cast("string"), verdict)
+    return out.select(*events.drop("detail").columns, F.when(F.col("slack").isNull(), F.col("detail")).otherwise(said).alias("detail"), "slack")
+
+
+ALERTS_SCHEMA = 1
+STATE = "key string, kind string, source string, detail string, first_seen string, last_seen string, last_run string, consecutive int, severity string, slack double, raised boolean, closed_at string, closed_by string, schema int"
+
+
+class AlertState:
+    """Open and closed alerts across runs, one version a run (S-31, T-09).
+
+    A state that was written under another schema version is not read: alerts then start anew, as with no state.
+    """
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.table = spark, KeyedTable(spark, path, "key", STATE)
+
+    def load(self) -> DataFrame:
+        state = self.table.read()
+        other = state.where(~F.coalesce(F.col("schema") == ALERTS_SCHEMA, F.lit(False)))
+        return state.limit(0) if other.limit(1).count() else state
+
+    def open(self) -> DataFrame:
+        """Worst first, then oldest."""
+        return self.load().where("closed_at is null").orderBy(rank(F.col("severity")).desc(), "first_seen", "key")
+
+    def closed(self) -> DataFrame:
+        return self.load().where("closed_at is not null")
+
+    def update(self, events: DataFrame, run_id: str, now: str, evaluated: list[str], keep: int = CLOSED_KEEP) -> DataFrame:
+        """Take in a run's events(ord, kind, source, detail, slack); the alerts that are new or rose in severity.
+
+        Of several events on a key the first counts. Open alerts of an evaluated kind without an event are closed; those of other kinds stay as they are.
+        """
+        state = self.load()
+        was = state.where("closed_at is null")
+        first = events.withColumn("key", key_of(F.col("kind"), F.col("source"))).groupBy("key").agg(F.min_by(F.struct("kind", "source", "detail", "slack"), F.struct("ord", "detail")).alias("e")).select("key", "e.*")
+        before = was.select("key", F.col("consecutive").alias("_n"), F.col("first_seen").alias("_from"), F.col("severity").alias("_was"))
+        now_ = F.lit(now)
+        hit = first.join(before, "key", "left").withColumn("consecutive", F.coalesce(F.col("_n") + 1, F.lit(1)))
+        hit = hit.withColumn("severity", severity(F.col("kind"), F.col("consecutive"), F.col("slack")))
+        none = F.lit(None).cast("string")
+        on = hit.select("key", "kind", "source", "detail", F.coalesce("_from", now_).alias("first_seen"), now_.alias("last_seen"), F.lit(run_id).alias("last_run"), "consecutive", "severity", "slack",
+                        (F.col("_was").isNull() | (rank(F.col("severity")) > rank(F.col("_was")))).alias("raised"), none.alias("closed_at"), none.alias("closed_by"), F.lit(ALERTS_SCHEMA).alias("schema"))
+        quiet = was.join(first.select("key"), "key", "left_anti").withColumn("raised", F.lit(False))
+        over = F.col("kind").isin(*evaluated)
+        ended = quiet.where(over).withColumn("closed_at", now_).withColumn("closed_by", F.lit(run_id))
+        done = state.where("closed_at is not null").unionByName(ended).orderBy(F.desc("closed_at"), "key").limit(keep)
+        self.table.overwrite(on.unionByName(quiet.where(~over)).unionByName(done))
+        return self.open().where("raised")

@@ -232,3 +232,51 @@ def run_report(spark, sf):
     kinds = ("collected", "out_of_window", "undated_deferred", "gate_calls", "gate_error", "gate_passed", "deferred_gate", "extract_calls", "extract_schema_failed", "extract_transport_error", "extracted", "deferred_extraction")
     rows = report.select(F.explode("sources").alias("source", "t"), "window", "failures", "produced", "exit_code")
     return rows.select("source", *[F.coalesce(F.try_element_at("t", F.lit(k)), F.lit(0)).alias(k) for k in kinds], F.try_element_at("window", F.col("source")).window_drained.alias("window_drained"), "failures", "produced", "exit_code")
+
+
+_FIGURES = f"""{RUNS}, day_ AS (SELECT day, 'pipeline-' || strftime(day, '%Y%m%d') || '-000000' AS run_id, bool_or(tripped) AS shut FROM runs GROUP BY 1),
+r AS (SELECT runs.*, run_id, shut FROM runs JOIN day_ USING (day))"""
+
+
+def _alert_reports(spark, sf):
+    """A report a day whose figures follow from its events."""
+    r = runs(spark, sf)
+    k = F.col("k")
+    silent = F.when(k % 7 == 0, F.struct(F.col("cutoff").cast("string").alias("newest"), (k % 30).alias("age_days"), F.lit(7).cast("long").alias("max_silence_days")))
+    fetch = F.struct(F.when(F.col("fetched"), "ok").otherwise("timeout").alias("status"), F.lit("slow").alias("detail"), F.when(F.col("source") == "view", "sample").otherwise("stream").alias("feed_kind"), "depth_hours", silent.alias("silent"))
+    window = F.struct(F.col("day").cast("string").alias("today"), F.col("cutoff").cast("string").alias("cutoff"), F.datediff("day", "cutoff").alias("span_days"), (k % 9 == 0).alias("capped"), (k % 2 == 0).alias("window_drained"), "drained")
+    tally = F.create_map(*[x for name, v in (("deferred_gate", k % 4), ("deferred_extraction", k % 5), ("evicted_gate", F.when(k % 8 == 0, k % 3).otherwise(0)), ("feed_rollover", F.when(k % 10 == 0, 1).otherwise(0)), ("quarantined_now", F.when(k % 11 == 0, 2).otherwise(0))) for x in (F.lit(name), v.cast("long"))])
+    as_map = lambda v: F.map_from_entries(F.collect_list(F.struct("source", v.alias("v"))))
+    days = r.groupBy("day").agg(as_map(fetch).alias("fetch"), as_map(window).alias("window"), as_map(tally).alias("sources"), F.max("tripped").alias("shut"))
+    return days.select(F.concat(F.lit("pipeline-"), F.date_format("day", "yyyyMMdd"), F.lit("-000000")).alias("run_id"), F.col("day").cast("string").alias("started_at"), "fetch", "window", "sources", F.when(F.col("shut"), F.array(F.lit("extraction"))).otherwise(F.array().cast("array<string>")).alias("breaker_tripped"))
+
+
+@query(f"""
+WITH {_FIGURES},
+ev AS (
+  SELECT run_id, 'source_error' AS kind, source, 'fetch failed [timeout] slow' AS detail FROM r WHERE NOT fetched
+  UNION ALL SELECT run_id, 'stale_feed', source, 'newest item ' || cutoff || ' (' || (k % 30) || ' days ago, at most 7)' FROM r WHERE k % 7 = 0
+  UNION ALL SELECT run_id, 'window_capped', source, 'the window is at its cap (from ' || cutoff || ', ' || (day - cutoff) || ' days)' FROM r WHERE k % 9 = 0
+  UNION ALL SELECT run_id, 'not_drained', source, 'waiting: gate ' || (k % 4) || ', undated 0, extraction ' || (k % 5) || '; the window''s anchor ' || CASE WHEN k % 2 = 0 THEN 'moves' ELSE 'stays' END FROM r WHERE NOT drained
+  UNION ALL SELECT run_id, 'evicted', source, 'left the feed unprocessed: gate ' || (k % 3) || ', extraction 0' FROM r WHERE k % 8 = 0 AND k % 3 > 0
+  UNION ALL SELECT run_id, 'feed_rollover', source, 'the whole head of the last feed is gone; items may be lost, their number is not known' FROM r WHERE k % 10 = 0 AND source <> 'view'
+  UNION ALL SELECT run_id, 'quarantined', source, '2 quarantined in this run' FROM r WHERE k % 11 = 0
+  UNION ALL SELECT run_id, 'breaker', NULL, 'extraction: transport failures in a row' FROM day_ WHERE shut),
+ok AS (SELECT * FROM r WHERE fetched AND depth_hours IS NOT NULL AND source <> 'view'),
+d AS (SELECT source, arg_max(depth_hours, day) AS depth, max(day) FILTER (WHERE NOT shut) AS done FROM ok GROUP BY 1),
+clock AS (SELECT source, depth, CAST(date '2024-02-02' - done AS INTEGER) * 24.0 AS since, round(depth - CAST(date '2024-02-02' - done AS INTEGER) * 24.0 - 24, 1) AS slack FROM d WHERE done IS NOT NULL)
+late AS (SELECT run_id, kind, source, CASE WHEN kind = 'source_error' THEN (SELECT slack FROM clock c WHERE c.source = ev.source) WHEN kind = 'breaker' THEN (SELECT min(slack) FROM clock) END AS slack,
+       CASE WHEN kind NOT IN ('source_error', 'breaker') THEN detail END AS detail FROM ev)
+SELECT *, slack IS NULL AS plain FROM late""", text="slack")
+def report_events(spark, sf):
+    """Reports to typed events with the time left before items are lost; reports are written and read back as the history is."""
+    from tessera.operators import alerts
+
+    at = scratch(spark, "history")
+    history.write_reports(_alert_reports(spark, sf), at)
+    reports = history.read_runs(spark, at, history.run_ids(spark, at))
+    depths = alerts.last_depths(alerts.depth_rows(reports), "source", "run_id").join(reports.select(F.col("run_id").alias("processed"), F.to_timestamp("started_at").alias("at")), "processed")
+    clocks = depths.select("source", "depth_hours", alerts.loss_clock(F.col("depth_hours"), F.col("at"), F.lit("2024-02-02").cast("timestamp")).alias("c")).select("source", "depth_hours", "c.*")
+    got = alerts.with_loss(alerts.events_of(reports), clocks)
+    deep = F.col("kind").isin("source_error", "breaker")
+    return got.select("run_id", "kind", "source", (~F.contains("detail", F.lit("hours ago"))).alias("plain"), "slack", F.when(~deep, F.col("detail")).alias("detail"))
