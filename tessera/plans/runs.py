@@ -264,7 +264,7 @@ ev AS (
   UNION ALL SELECT run_id, 'breaker', NULL, 'extraction: transport failures in a row' FROM day_ WHERE shut),
 ok AS (SELECT * FROM r WHERE fetched AND depth_hours IS NOT NULL AND source <> 'view'),
 d AS (SELECT source, arg_max(depth_hours, day) AS depth, max(day) FILTER (WHERE NOT shut) AS done FROM ok GROUP BY 1),
-clock AS (SELECT source, depth, CAST(date '2024-02-02' - done AS INTEGER) * 24.0 AS since, round(depth - CAST(date '2024-02-02' - done AS INTEGER) * 24.0 - 24, 1) AS slack FROM d WHERE done IS NOT NULL)
+clock AS (SELECT source, depth, CAST(date '2024-02-02' - done AS INTEGER) * 24.0 AS since, round(depth - CAST(date '2024-02-02' - done AS INTEGER) * 24.0 - 24, 1) AS slack FROM d WHERE done IS NOT NULL),
 late AS (SELECT run_id, kind, source, CASE WHEN kind = 'source_error' THEN (SELECT slack FROM clock c WHERE c.source = ev.source) WHEN kind = 'breaker' THEN (SELECT min(slack) FROM clock) END AS slack,
        CASE WHEN kind NOT IN ('source_error', 'breaker') THEN detail END AS detail FROM ev)
 SELECT *, slack IS NULL AS plain FROM late""", text="slack")
