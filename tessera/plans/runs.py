@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import json
+import re
+import uuid
 from datetime import date
 
 from pyspark.sql import functions as F
 
 from tessera.operators import calls, flow
 from tessera.plans import daily, pipeline
+from tessera.plans.evals import WINDOWS_SQL, _dashed
 from tessera.plans.fixtures import RAW_ITEMS, RUNS, TODAY, raw_items, runs
 from tessera.plans.flow import CALLS
+from tessera.plans.identity import CUT, SLUG
 from tessera.plans.registry import query
 from tessera.session import table
 from tessera.sources import history, lines, papers
@@ -280,3 +284,34 @@ def report_events(spark, sf):
     got = alerts.with_loss(alerts.events_of(reports), clocks)
     deep = F.col("kind").isin("source_error", "breaker")
     return got.select("run_id", "kind", "source", (~F.contains("detail", F.lit("hours ago"))).alias("plain"), "slack", F.when(~deep, F.col("detail")).alias("detail"))
+
+
+#: Rationales from texts: marks, tokens and verdicts between pieces whose lengths follow from the text, so that windows end at marks, arrows and their own length.
+_SPLICED = """'① ' || substr(t, 1, n % 90) || ['충족', '미충족', '채웠다', ''][n % 4 + 1] || ' 2번 슬롯 ' || substr(t, 40, n % 260) || ['부분', '분모에서 제외', ''][n % 3 + 1] || ' -> ' || substr(t, 5, 9) || ' 충족 ③ (a) ' || ['담김', '이름만', '없음', ''][n % 4 + 1]
+  || substr(t, 10, n % 50) || ' (b) 담김 (b) ' || ['담김', '없음'][n % 2 + 1] || ' (4) ' || ['빠졌다', '담겼다'][n % 2 + 1] || ' ④ (a) 담김'"""
+
+
+@query(f"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t, length(coalesce(text, '')) AS n FROM documents),
+r AS (SELECT doc_id AS event_id, source, t, n, {_SPLICED} AS rationale FROM d),
+{WINDOWS_SQL.split("),", 1)[1].lstrip()},
+judged AS (SELECT event_id AS doc_id, v, st, el, CASE WHEN n % 2 = 1 THEN 'error:slot 3 contradicts itself' WHEN n % 6 = 0 THEN 'error:slot 3 has other elements than its label' ELSE 'ok:||a=' || ['담김', '이름만', '없음', ''][n % 4 + 1] || ';b=담김|a=담김' END AS parsed FROM s),
+slugs AS (SELECT doc_id, {CUT} AS slug FROM (SELECT doc_id, {SLUG.format('t')} AS s FROM d))
+SELECT doc_id, {_dashed('v')} AS verdicts, {_dashed('st')} AS states, {_dashed('el')} AS elements, CASE WHEN contains(t, '①') OR contains(t, '③') OR contains(t, '④') THEN NULL ELSE parsed END AS parsed, slug,
+       '## 요약' || chr(10) || chr(10) || regexp_replace(t, '^\\s+|\\s+$', '', 'g') || chr(10) || chr(10) || '## 관련 개념' || chr(10) || chr(10) || '- [[' || source || ']]' || chr(10) || chr(10) || '## 원문' || chr(10) || chr(10) || '[' || source || '에서 보기](u)' || chr(10) AS body
+FROM judged JOIN slugs USING (doc_id) JOIN d USING (doc_id)""")
+def sql_functions(spark, sf):
+    """A query written as SQL with the registered functions, over every whole text."""
+    from tessera.functions import sql
+
+    sql.register(spark, "tessera_")
+    view = f"documents_{uuid.uuid4().hex}"
+    table(spark, sf, "documents").createOrReplaceTempView(view)
+    spliced = re.sub(r"\[([^\]]*)\]\[(n % \d) \+ 1\]", r"element_at(array(\1), cast(\2 + 1 as int))", _SPLICED)
+    dash = lambda c: f"array_join(transform({c}, x -> coalesce(x, '-')), '|')"
+    return spark.sql(f"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t, length(coalesce(text, '')) AS n FROM {view}),
+r AS (SELECT *, {spliced} AS rationale FROM d),
+f AS (SELECT doc_id, tessera_slot_verdicts(rationale) AS v, tessera_slot_states(rationale) AS st, tessera_element_verdicts(rationale) AS el, tessera_parsed_elements(rationale, array(0, 0, if(n % 6 = 0, 1, 2), 1)) AS parsed, tessera_slug(t, 40) AS slug,
+             tessera_note_body(t, array(), array(source, ''), source, 'u') AS body, t FROM r)
+SELECT doc_id, {dash('v')} AS verdicts, {dash('st')} AS states, {dash('el')} AS elements, CASE WHEN contains(t, '①') OR contains(t, '③') OR contains(t, '④') THEN NULL ELSE parsed END AS parsed, slug, body FROM f""")
