@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.banding import buckets, verified
+from tessera.llm.banding import Measure, buckets, verified
 from tessera.llm.common import materialise, partitions, slices
 
 SEED = 20_240_501
@@ -40,11 +40,9 @@ PERIOD, CLASSES = 2048, 128
 TOGETHER = 48
 #: Samples by which the length scales of bands differ.
 SCALE = 8
-#: Bands of a level, samples of a band. A pair alike to 0.8 shares a band of a level that both have with a chance of 0.97.
-BANDS, WIDTH = 8, 5
+#: Bands of a level, samples of a band. A pair alike to 0.8 shares a band of a level that both have with a chance of 0.98.
+BANDS, WIDTH = 12, 6
 ALIKE = 0.8
-#: A band bucket is compared with two centres, one after another.
-ROUNDS = ((0.0, 1.0, 0), (0.0, 1.0, 1))
 
 
 def _samples() -> np.ndarray:
@@ -112,6 +110,23 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return share if share == 1 else max(0.0, (share - 1 / 16) / (1 - 1 / 16))
 
 
+def may_be_alike(items: list[np.ndarray], least: float, group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """All pairs alike to least: each item against all later ones at once."""
+    size = np.array([len(i) for i in items])
+    full = np.full((len(items), int(size.max(initial=0))), -1, np.int8)
+    for row, own in zip(full, items):
+        row[: len(own)] = own
+    total = np.append(0.0, np.cumsum(WEIGHTS))
+    for x in range(len(items) - 1):
+        k = size[x]
+        same = (full[x + 1 :, :k] == full[x, :k]) @ WEIGHTS[:k]
+        share = same / np.maximum(total[np.maximum(size[x + 1 :], k)], 1e-300)
+        near = (share - 1 / 16) / (1 - 1 / 16)
+        ys = np.flatnonzero((near >= least - 1e-9) | (size[x + 1 :] + k == 0))
+        if len(ys):
+            yield x, ys + x + 1
+
+
 def text_of(end: int, d: np.ndarray) -> str:
     return f"{end:x}:" + DIGITS[d].tobytes().decode()
 
@@ -250,22 +265,26 @@ def near_classes(prints: DataFrame, threshold: float = ALIKE, bands: int = BANDS
     """Distinct fingerprints(node, fingerprint) to verified links (a, b, likeness) of likeness threshold or more, and their components (node, label).
 
     Bands of width samples, drawn by weight over all samples of a length scale, are probed at the scales that both lengths
-    of a pair can share. The fingerprints of a bucket are compared with two of them, its centres, so the work is in proportion to
-    the bands; pairs that share no band, or only buckets whose centres are unlike both, are missed.
+    of a pair can share. Every pair that shares a band is verified or connected by others; pairs that share none are missed. Nodes are
+    distinct; a null fingerprint is none, and is left out.
     """
-    signed = materialise(prints.mapInArrow(_keys(threshold, bands, width), "node long, size int, keys array<long>, item array<byte>"), "signed")
+    some = prints.where("fingerprint is not null")
+    signed = materialise(some.mapInArrow(_keys(threshold, bands, width), "node long, size int, keys array<long>, item array<byte>"), "signed")
     keys, n = buckets(signed.select("node", "size", "keys"))
-    return verified(keys, n, signed.select("node", "item"), likeness, threshold, cap, rounds=ROUNDS, rest=False)
+    tried = signed.select("node", "item").join(keys.select("node").distinct(), "node", "left_semi")
+    return verified(keys, n, materialise(tried, "tried"), Measure(likeness, may_be_alike), threshold, cap)
 
 
 def near(docs: DataFrame, threshold: float = ALIKE) -> DataFrame:
     """fingerprints() with each document's class_id, the smallest doc_id that links of fingerprints reach, and prints_in_class, its number of different fingerprints."""
     found = materialise(fingerprints(docs), "fingerprints")
-    named = materialise(found.groupBy("fingerprint").agg(F.min("doc_id").alias("rep")).withColumn("node", F.xxhash64("fingerprint")), "prints")
-    _, label = near_classes(named.select("node", "fingerprint"), threshold)
-    linked = named.select("node", "rep").join(label, "node")
+    # Two hashes name a fingerprint; the pair of them is its key.
+    named = found.groupBy(F.xxhash64("fingerprint").alias("node"), F.xxhash64("fingerprint", F.lit(1)).alias("twin")).agg(F.min("doc_id").alias("rep"), F.first("fingerprint").alias("fingerprint"))
+    named = materialise(named, "prints")
+    _, label = near_classes(named.dropDuplicates(["node"]).select("node", "fingerprint"), threshold)
+    linked = named.select("node", "twin", "rep").join(label, "node")
     least = linked.groupBy("label").agg(F.min("rep").alias("class_id"), F.count(F.lit(1)).alias("prints_in_class"))
-    alone = named.join(linked, "node", "left_anti").select("node", F.col("rep").alias("class_id"), F.lit(1).cast("long").alias("prints_in_class"))
-    classes = linked.join(least, "label").select("node", "class_id", "prints_in_class").unionByName(alone)
+    alone = named.join(label, "node", "left_anti").select("node", "twin", F.col("rep").alias("class_id"), F.lit(1).cast("long").alias("prints_in_class"))
+    classes = linked.join(least, "label").select("node", "twin", "class_id", "prints_in_class").unionByName(alone)
     # A third of all documents may share a fingerprint: Spark splits such a join.
-    return found.withColumn("node", F.xxhash64("fingerprint")).join(classes, "node").select(*found.columns, "class_id", "prints_in_class")
+    return found.withColumn("node", F.xxhash64("fingerprint")).withColumn("twin", F.xxhash64("fingerprint", F.lit(1))).join(classes, ["node", "twin"]).select(*found.columns, "class_id", "prints_in_class")

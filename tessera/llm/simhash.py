@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.banding import buckets, lists, verified
+from tessera.llm.banding import Measure, buckets, lists, share_prefix, verified
 from tessera.llm.common import counted, materialise, slices, whole
 from tessera.llm.components import components
 
@@ -296,6 +296,10 @@ def _like(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
+#: Jaccard index of sets of shingles; two alike ones share a rare shingle.
+JACCARD = Measure(_like, share_prefix, by_prefix=True)
+
+
 def _fit(likeness: float):
     """Whether sets of these sizes can be alike enough."""
     return lambda a, b: F.least(a, b) / F.greatest(a, b) >= likeness
@@ -311,7 +315,7 @@ def near_copies(texts: DataFrame, cap: int = CAP, likeness: float = 0.8) -> Data
     signed = materialise(texts.select("node", F.lit(0).cast("long"), "text").mapInArrow(_signed, SIGNED).select(F.col("_id").alias("node"), "size", "keys"), "signed")
     keys, n = buckets(signed)
     sets = materialise(texts.join(keys.select("node").distinct(), "node").select("node", "text").mapInArrow(_sets, "node long, item array<long>"), "sets")
-    return verified(keys, n, sets, _like, likeness, cap, _fit(likeness))[0]
+    return verified(keys, n, sets, JACCARD, likeness, cap, _fit(likeness))[0]
 
 
 def keep_one(docs: DataFrame, cap: int = CAP, likeness: float = 0.8) -> DataFrame:
@@ -334,7 +338,7 @@ def keep_one(docs: DataFrame, cap: int = CAP, likeness: float = 0.8) -> DataFram
     narrow = kept.select("_id", "_row", "node").join(tried, "node", "left")
     left = materialise(rows.join(narrow, ["_id", "_row"]).dropDuplicates(["_id", "_row"]).select("doc", "_id", "_row", "node", "tried"), "left")
     sets = materialise(left.where("tried").select("node", "doc.text").mapInArrow(_sets, "node long, item array<long>"), "sets")
-    _, found = verified(keys, n, sets, _like, likeness, cap, _fit(likeness))
+    _, found = verified(keys, n, sets, JACCARD, likeness, cap, _fit(likeness))
     ids = kept.select("node", "_id", "_row").join(found, "node")
     first = ids.groupBy("label").agg(F.min_by("node", F.struct("_id", "_row")).alias("first"))
     gone = ids.join(first, "label").where("node <> first").select("node")

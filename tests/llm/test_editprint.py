@@ -153,3 +153,32 @@ def test_links_cover_brute_force_wherever_the_edit_is(spark):
     assert {(r.a, r.b) for r in links} <= want
     label = {r.node: r.label for r in components(spark.createDataFrame([(r.a, r.b) for r in links], "a long, b long")).collect()}
     assert np.mean([label.get(i, -i) == label.get(j, -j) for i, j in want]) >= 0.95
+
+
+def test_groups_of_copies_that_are_unlike_each_others_centre(spark):
+    """Texts of a group are changed in two stretches each, so that many pairs are alike and many are not."""
+    rnd = random.Random(6)
+    some = lambda n: "".join(rnd.choice("abcdefghijklmnop ") for _ in range(n))
+    texts = []
+    for _ in range(8):
+        base = some(3000)
+        for _ in range(40):
+            t = base
+            for k in (rnd.randrange(60, 280), rnd.randrange(60, 280)):
+                at = rnd.randrange(0, len(t) - k)
+                t = t[:at] + some(k) + t[at + k :]
+            texts.append(t)
+    names = [E.text_of(0, x[4]) for at in range(0, len(texts), 64) for x in E.block(texts[at : at + 64], [""] * len(texts[at : at + 64]))]
+    prints = [E.digits_of(x) for x in names]
+    want = [(i, j) for g in range(0, 320, 40) for j in range(g, g + 40) for i in range(g, j) if E.likeness(prints[i], prints[j]) >= 0.8]
+    assert len(want) > 300
+    label = {r.node: r.label for r in E.near_classes(spark.createDataFrame(list(enumerate(names)), "node long, fingerprint string"))[1].collect()}
+    assert np.mean([label.get(i, -i) == label.get(j, -j) for i, j in want]) >= 0.97
+
+
+def test_may_be_alike_holds_every_alike_pair():
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 16, 120)
+    items = [np.where(rng.random(n) < p, rng.integers(0, 16, n), base[:n]).astype(np.int8) for n in (0, 0, 1, 60, 100, 118, 120) for p in (0.0, 0.1, 0.3)]
+    found = {(x, int(y)) for x, ys in E.may_be_alike(items, 0.8, np.arange(len(items))) for y in ys}
+    assert found == {(x, y) for y in range(len(items)) for x in range(y) if E.likeness(items[x], items[y]) >= 0.8}

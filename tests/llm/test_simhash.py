@@ -165,8 +165,47 @@ def test_every_pair_of_a_bucket_is_verified(spark, monkeypatch):
     sets = [S.shingles(" ".join(t)).view(np.int64).tolist() for t in texts]
     monkeypatch.setattr(banding, "ROUNDS", ((0, 1, 0),))
     keys = spark.createDataFrame([(7, 0.0, i, len(s)) for i, s in enumerate(sets)], "key long, band float, node long, size int")  # one bucket, its centre unlike all
-    got = banding.verified(keys, 7, spark.createDataFrame(list(enumerate(sets)), "node long, item array<long>"), S._like, 0.8, cap=3)[0]
-    assert {(r.a, r.b) for r in got.collect()} == {(1, 2), (4, 5)}
+    for cap in (3, 100):
+        got = banding.verified(keys, 7, spark.createDataFrame(list(enumerate(sets)), "node long, item array<long>"), S.JACCARD, 0.8, cap=cap)[0]
+        assert {(r.a, r.b) for r in got.collect()} == {(1, 2), (4, 5)}
+
+
+def test_prefixes_hold_every_alike_pair():
+    rng = np.random.default_rng(3)
+    for trial in range(30):
+        base = [np.unique(rng.integers(0, 400, n)) for n in rng.integers(1, 120, 6)]
+        sets = [np.unique(np.concatenate([rng.permutation(b)[: max(1, int(len(b) * rng.uniform(0.8, 1)))], rng.integers(0, 400, int(rng.integers(0, 9)))])) for b in base for _ in range(6)]
+        group = rng.integers(0, 12, len(sets))
+        found = {(x, int(y)) for x, ys in banding.share_prefix(sets, 0.8, group) for y in ys}
+        want = {(x, y) for y in range(len(sets)) for x in range(y) if group[x] != group[y] and S._like(sets[x].view(np.uint64), sets[y].view(np.uint64)) >= 0.8}
+        assert want <= found
+
+
+def test_a_common_passage_makes_no_square():
+    """Texts that share most of their words, but not enough: what is compared grows with their number."""
+    rng, compared = np.random.default_rng(4), {}
+    for n in (200, 400, 800):
+        passage = rng.integers(0, 1 << 62, 210)
+        sets = [np.unique(np.concatenate([passage, rng.integers(0, 1 << 62, 90)])) for _ in range(n)]
+        sets += [np.append(s[:-3], rng.integers(1 << 62, 1 << 63, 3)) for s in sets[: n // 4]]
+        compared[n] = sum(len(ys) for _, ys in banding.share_prefix(sets, 0.8, np.arange(len(sets))))
+        assert compared[n] >= n // 4
+    assert compared[800] <= 4.4 * compared[200]
+
+
+def test_large_buckets_are_split_by_what_their_sets_do_not_share(spark):
+    rng = np.random.default_rng(5)
+    passage = rng.integers(0, 1 << 62, 210)
+    sets = [np.unique(np.concatenate([passage, rng.integers(0, 1 << 62, 90)])) for _ in range(80)]
+    sets += [np.unique(np.append(s[:-3], rng.integers(0, 1 << 62, 3))) for s in sets[:30]]
+    keys = spark.createDataFrame([(7, 0.0, i, len(s)) for i, s in enumerate(sets)], "key long, band float, node long, size int")
+    items = spark.createDataFrame([(i, s.tolist()) for i, s in enumerate(sets)], "node long, item array<long>")
+    dealt = banding._open(keys.withColumn("label", keys.node), 110, 16)
+    assert dealt.first().blocks > 1
+    smaller = banding._open(banding._split(dealt, items, 0.8), 110, 16, pairs=True)
+    assert smaller.groupBy("key").count().agg({"count": "max"}).first()[0] == 2 and smaller.select("node").distinct().count() == 60
+    got = banding.verified(keys, 110, items, S.JACCARD, 0.8, cap=16)[1]
+    assert {(r.node, r.label) for r in got.collect()} == {(i, i % 80) for i in [*range(30), *range(80, 110)]}
 
 
 def test_bands_meet_by_likeness():
