@@ -75,9 +75,15 @@ def utc_date(naive: Column, offset: Column, explicit: Column | None = None) -> C
     return moved if explicit is None else F.coalesce(F.to_date(explicit), moved)
 
 
+def casefold(text: Column) -> Column:
+    """Full case folding: ß is ss, ligatures are their letters, a final sigma is a sigma, a dotless i stays."""
+    kept = F.translate(text, "ı", "\ue002")
+    return F.translate(F.lower(F.upper(kept)), "ς\ue002", "σı")
+
+
 def normalization_key(name: Column) -> Column:
-    """Matching key: without any white space, lower case."""
-    return F.lower(F.regexp_replace(name, "(?U)\\s+", ""))
+    """Matching key: without any white space, folded."""
+    return casefold(F.regexp_replace(name, "(?U)\\s+", ""))
 
 
 def slugify(text: Column, most: int | None = None, normalised: bool = False) -> Column:

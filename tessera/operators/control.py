@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tessera.functions import text as T
 from tessera.functions import urls as U
 from tessera.sources import lines
+from tessera.vocab import SLOTS
 
 
 def load_prompt(text: str, name: str = "prompt") -> tuple[str, str]:
@@ -26,6 +28,30 @@ def vocabulary_block(words: tuple[str, ...]) -> str:
     return "\n".join(f"- `{w}`" for w in words)
 
 
+def render_slots(slots: Column) -> Column:
+    """The labelled elements of the four slots, as the judge sees them, with their number first (F-19). slots: array of four arrays; null without labels."""
+    marks = F.array(*[F.lit(m) for m in "abcdefgh"])
+    each = lambda name, k: F.concat(F.lit(f"- {name}: "), F.when(F.size(slots[k]) == 0, F.lit("분모 제외 (원문이 이 정보를 주지 않았다)")).otherwise(F.array_join(F.transform(slots[k], lambda e, i: F.concat(F.lit("("), F.get(marks, i), F.lit(") "), e)), " / ")))
+    counted = F.size(F.filter(slots, lambda s: F.size(s) > 0))
+    return F.concat_ws("\n", F.concat(F.lit("분모: "), counted.cast("string")), *[each(name, k) for k, name in enumerate(SLOTS)])
+
+
+def judge_variables(title: Column, body: Column, summary: Column, slots: Column) -> Column:
+    """Map of the judge prompt's variables (F-19): the source is title and stripped body, the slots are there only where they are labelled."""
+    clean = T.strip(F.coalesce(body, F.lit("")))
+    source = F.when(clean == "", title).otherwise(F.concat(title, F.lit("\n\n"), clean))
+    base = F.create_map(F.lit("source_text"), source, F.lit("summary"), summary)
+    return F.when(slots.isNull(), base).otherwise(F.map_concat(base, F.create_map(F.lit("completeness_slots"), render_slots(slots))))
+
+
+def toast(alerts: DataFrame) -> DataFrame:
+    """(title, body) of a notice for the open critical alerts, worst and oldest first; no row without any (F-44)."""
+    critical = alerts.where("severity = 'critical'").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("first_seen", "key", "kind", "source", "detail")).alias("a")).where("n > 0")
+    where = F.when(F.col("a.source").isNotNull(), F.concat(F.lit(" · "), F.col("a.source"))).otherwise(F.lit(""))
+    more = F.when(F.col("n") > 1, F.concat(F.lit(" and "), (F.col("n") - 1).cast("string"), F.lit(" more; see the status note"))).otherwise(F.lit(""))
+    return critical.select(F.concat(F.lit("pipeline: "), F.col("n").cast("string"), F.lit(" critical")).alias("title"), F.concat(F.col("a.kind"), where, F.lit(" — "), F.col("a.detail"), more).alias("body"))
+
+
 def short_hash(content: Column) -> Column:
     """First 16 hex digits over the text with line ends as LF, for scores (F-32)."""
     return F.left(F.sha2(F.replace(content, F.lit("\r\n"), F.lit("\n")), 256), F.lit(16))

@@ -45,6 +45,18 @@ def slots_valid(slots: Column) -> Column:
     return sizes & F.forall(every, lambda s: s != "") & (F.size(F.array_distinct(every)) == F.size(every))
 
 
+def ontology_block(ontology: Column) -> Column:
+    """The contract's ontology: impact flattened to score and rationale, companies projected to four fields (P-14).
+
+    ontology: struct(tech_domains, release_type, companies array<struct(canonical, raw, resolved, role)>, prior_art, impact struct(score, rationale), summary). A missing list is empty, a company without resolved is not resolved.
+    """
+    company = lambda c: F.struct(c.canonical.alias("canonical"), c.raw.alias("raw"), F.coalesce(c.resolved, F.lit(False)).alias("resolved"), c.role.alias("role"))
+    none = F.array().cast("array<struct<canonical:string,raw:string,resolved:boolean,role:string>>")
+    return F.struct(
+        ontology.tech_domains.alias("tech_domains"), ontology.release_type.alias("release_type"), F.coalesce(F.transform(ontology.companies, company), none).alias("companies"), F.coalesce(ontology.prior_art, F.array().cast("array<string>")).alias("prior_art"),
+        ontology.impact.score.alias("impact_score"), ontology.impact.rationale.alias("impact_rationale"), ontology.summary.alias("summary"))
+
+
 def export_records(store: DataFrame, version: str, vocab_version: str) -> DataFrame:
     """Contract records of stored rows (url, title, body, tags, source_name, published_at, collected_at, gate, extraction, ontology): 17 columns."""
     url, clamp = F.col("url"), T.clamp_text(F.coalesce("body", F.lit("")))
@@ -165,6 +177,31 @@ def fingerprint_diff(approved: DataFrame, current: DataFrame) -> DataFrame:
     return a.join(b, ["section", "name"], "full").select("section", "name", kind.alias("kind")).where("kind is not null")
 
 
+def mismatches(approved: DataFrame, current: DataFrame) -> DataFrame:
+    """(section, name, why) of what a current fingerprint has that the approved one does not allow (O-08).
+
+    Both are (section, name, value). Sections limits.*: a limit may be lowered, not raised or added. Section endpoint: a null value cannot be resolved, which
+    is a mismatch of its own. Other sections: values are equal. What the current one lacks narrows the run, and passes.
+    """
+    a = approved.select("section", "name", F.col("value").alias("_a"))
+    got = current.select("section", "name", F.col("value").alias("_b")).join(a, ["section", "name"], "left")
+    limit, before, after = F.col("section").startswith("limits."), F.col("_a"), F.col("_b")
+    why = (F.when((F.col("section") == "endpoint") & after.isNull(), "unresolved").when(limit, F.when(before.isNull(), "added").when(after.cast("long") > before.cast("long"), "raised"))
+           .when(~after.eqNullSafe(before), F.when(before.isNull(), "added").otherwise("changed")))
+    return got.select("section", "name", why.alias("why")).where("why is not null")
+
+
+def preflight(approval: DataFrame, found: DataFrame, now: Column, vendor_file: bool = False, schema: int = 1) -> DataFrame:
+    """(key, detail) of all that stands against a scheduled run before any call (O-08): approval(schema, expires_at) of at most one row, found of mismatches()."""
+    record = approval.agg(F.max(F.struct(F.lit(True).alias("there"), "schema", "expires_at")).alias("r")).select("r.*")
+    state = (F.when(F.col("there").isNull(), "no approval").when(~F.coalesce(F.col("schema") == schema, F.lit(False)), "unreadable approval").when(F.col("expires_at").isNull() | (now >= F.col("expires_at")), "approval expired"))
+    own = record.select(F.lit("approval").alias("key"), state.alias("detail")).where("detail is not null")
+    if vendor_file:
+        own = own.unionByName(record.select(F.lit("vendor_approval").alias("key"), F.lit("an approval of a vendor run is left over").alias("detail")))
+    readable = record.select((F.coalesce(F.col("schema") == schema, F.lit(False))).alias("_ok"))
+    return own.unionByName(found.join(F.broadcast(readable), F.col("_ok")).select(F.concat_ws(".", "section", "name").alias("key"), F.col("why").alias("detail")))
+
+
 def qualifies(runs: DataFrame, limits: Column) -> DataFrame:
     """The latest finished run with mode config whose limit map equals the configured one (J-16). Maps are compared as sorted entries."""
     entries = lambda m: F.array_sort(F.map_entries(m))

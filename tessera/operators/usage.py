@@ -55,6 +55,18 @@ def failure_kind(ok: Column, error: Column) -> Column:
     return F.when(ok, F.lit(None)).when(error == "schema", "schema").otherwise("transport")
 
 
+def replayed(baseline: DataFrame, outputs: DataFrame, fields: list[str], key: str = "doc_id") -> DataFrame:
+    """baseline(key, fields) and a new model's outputs(key, fields, failure, attempts) to one row a baseline item: failure, attempts, changed (names of differing fields; null where there is no output to compare) (M-08, M-09).
+
+    An item without an output is not yet run; outputs without a baseline are left out. Of several outputs on an item the last attempt counts.
+    """
+    last = outputs.groupBy(key).agg(F.max_by(F.struct("failure", "attempts", *fields), F.struct("attempts", F.col("failure").isNull())).alias("o"))
+    got = baseline.select(key, *fields).join(last, key, "left")
+    changed = F.array_compact(F.array(*[F.when(~F.col(f).eqNullSafe(F.col(f"o.{f}")), F.lit(f)) for f in fields]))
+    state = F.when(F.col("o").isNull(), "pending").when(F.col("o.failure").isNotNull(), "failed").when(F.size(changed) > 0, "changed").otherwise("same")
+    return got.select(key, state.alias("state"), "o.failure", "o.attempts", F.when(state.isin("changed", "same"), changed).alias("changed"))
+
+
 def replay_summary(rows: DataFrame, *keys: str) -> DataFrame:
     """rows(failure, attempts): transport failures leave the denominator; retried counts rows (A-18)."""
     schema, transport, n = F.count_if(F.col("failure") == "schema"), F.count_if(F.col("failure") == "transport"), F.count(F.lit(1))

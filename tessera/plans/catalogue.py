@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from tessera.plans import control, evals, flow, identity, runs  # noqa: F401
+from tessera.plans import control, evals, flow, identity, lookups, runs  # noqa: F401
 from tessera.plans.registry import ORACLES, QUERIES  # noqa: F401
