@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.banding import Measure, buckets, verified
-from tessera.llm.common import materialise, partitions, slices
+from tessera.llm.common import counted, materialise, partitions, slices
 
 SEED = 20_240_501
 PERIOD, CLASSES = 2048, 128
@@ -40,9 +40,9 @@ PERIOD, CLASSES = 2048, 128
 TOGETHER = 48
 #: Samples by which the length scales of bands differ.
 SCALE = 8
-#: Bands of a level, samples of a band. A pair alike to 0.8 shares a band of a level that both have with a chance of 0.98.
-BANDS, WIDTH = 12, 6
 ALIKE = 0.8
+#: How often unlike texts agree on a sample (letters are not equally frequent), how many unlike partners a band may bring a text, and how often an alike pair may share no band.
+CHANCE, STRANGERS, MISSED = 1 / 8, 0.25, 0.02
 
 
 def _samples() -> np.ndarray:
@@ -224,6 +224,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return seated.repartitionById(max(1, last + 1), F.col("bucket")).sortWithinPartitions(*order).mapInArrow(_run, OUT)
 
 
+def banding_for(n: int, threshold: float = ALIKE) -> tuple[int, int]:
+    """(bands, width) for n fingerprints: bands so wide that unlike ones rarely meet, however many there are, and so many that a pair alike to threshold shares one with a chance of 1 - MISSED."""
+    width = max(4, int(np.ceil(np.log(max(n, 1) / STRANGERS) / np.log(1 / CHANCE))))
+    share = (threshold * 15 / 16 + 1 / 16) ** width
+    return int(np.ceil(np.log(MISSED) / np.log(1 - share))), width
+
+
 def _levels(n: int, threshold: float) -> range:
     """Levels, of SCALE samples each, at which a fingerprint of n samples is banded: every level that the longest of another one can be, alike to threshold."""
     total = np.cumsum(WEIGHTS)
@@ -261,18 +268,19 @@ def _keys(threshold: float, bands: int, width: int):
     return run
 
 
-def near_classes(prints: DataFrame, threshold: float = ALIKE, bands: int = BANDS, width: int = WIDTH, cap: int = 512) -> tuple[DataFrame, DataFrame]:
-    """Distinct fingerprints(node, fingerprint) to verified links (a, b, likeness) of likeness threshold or more, and their components (node, label).
+def near_classes(prints: DataFrame, threshold: float = ALIKE, n: int | None = None, cap: int = 512) -> tuple[DataFrame, DataFrame]:
+    """n distinct fingerprints(node, fingerprint), counted if n is not given, to verified links (a, b, likeness) of likeness threshold or more, and their components (node, label).
 
-    Bands of width samples, drawn by weight over all samples of a length scale, are probed at the scales that both lengths
-    of a pair can share. Every pair that shares a band is verified or connected by others; pairs that share none are missed. Nodes are
+    Bands of samples, drawn by weight over all samples of a length scale, are probed at the scales that both lengths
+    of a pair can share; banding_for(n) says how many and how wide. Every pair that shares a band is verified or connected by others; pairs that share none are missed. Nodes are
     distinct; a null fingerprint is none, and is left out.
     """
     some = prints.where("fingerprint is not null")
+    bands, width = banding_for(some.count() if n is None else n, threshold)
     signed = materialise(some.mapInArrow(_keys(threshold, bands, width), "node long, size int, keys array<long>, item array<byte>"), "signed")
-    keys, n = buckets(signed.select("node", "size", "keys"))
+    keys, rows = buckets(signed.select("node", "size", "keys"))
     tried = signed.select("node", "item").join(keys.select("node").distinct(), "node", "left_semi")
-    return verified(keys, n, materialise(tried, "tried"), Measure(likeness, may_be_alike), threshold, cap)
+    return verified(keys, rows, materialise(tried, "tried"), Measure(likeness, may_be_alike), threshold, cap)
 
 
 def near(docs: DataFrame, threshold: float = ALIKE) -> DataFrame:
@@ -280,8 +288,8 @@ def near(docs: DataFrame, threshold: float = ALIKE) -> DataFrame:
     found = materialise(fingerprints(docs), "fingerprints")
     # Two hashes name a fingerprint; the pair of them is its key.
     named = found.groupBy(F.xxhash64("fingerprint").alias("node"), F.xxhash64("fingerprint", F.lit(1)).alias("twin")).agg(F.min("doc_id").alias("rep"), F.first("fingerprint").alias("fingerprint"))
-    named = materialise(named, "prints")
-    _, label = near_classes(named.dropDuplicates(["node"]).select("node", "fingerprint"), threshold)
+    named, n = counted(named, "prints")
+    _, label = near_classes(named.dropDuplicates(["node"]).select("node", "fingerprint"), threshold, n)
     linked = named.select("node", "twin", "rep").join(label, "node")
     least = linked.groupBy("label").agg(F.min("rep").alias("class_id"), F.count(F.lit(1)).alias("prints_in_class"))
     alone = named.join(label, "node", "left_anti").select("node", "twin", F.col("rep").alias("class_id"), F.lit(1).cast("long").alias("prints_in_class"))
