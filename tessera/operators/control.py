@@ -117,7 +117,7 @@ def source_names(items: DataFrame, sources: DataFrame) -> DataFrame:
     """items(item_id, url) with the one source, active or retired, of the URL's registrable host; none or several is an error (J-12)."""
     key = lambda c: U.registrable(U.host_of(F.col(c)))
     names = sources.select(key("url").alias("_host"), "name").distinct().groupBy("_host").agg(F.array_sort(F.collect_set("name")).alias("_names"))
-    got = items.withColumn("_host", key("url")).join(F.broadcast(names), "_host", "left")
+    got = items.withColumn("_host", key("url")).join(names, "_host", "left")
     bad = F.concat(F.lit("no single source for "), F.col("url"), F.lit(": "), F.coalesce(F.array_join("_names", ", "), F.lit("none")))
     return got.withColumn("source_name", F.when(F.coalesce(F.size("_names"), F.lit(0)) == 1, F.col("_names")[0]).otherwise(F.raise_error(bad).cast("string"))).drop("_host", "_names")
 
@@ -137,7 +137,7 @@ def read_predictions(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def pool(items: DataFrame, wanted: DataFrame, source: str, order: str, factor: int = 3) -> DataFrame:
     """The first max(n + 5, n * factor) items of each source for its n of wanted(source, n) (L-02)."""
-    ranked = items.join(F.broadcast(wanted), source).withColumn("_r", F.row_number().over(W.partitionBy(source).orderBy(order)))
+    ranked = items.join(wanted, source).withColumn("_r", F.row_number().over(W.partitionBy(source).orderBy(order)))
     return ranked.where(F.col("_r") <= F.greatest(F.col("n") + 5, F.col("n") * factor)).drop("_r")
 
 
@@ -150,7 +150,7 @@ def take(items: DataFrame, source: str, order: list[str], usable: Column, budget
     ranked = ranked.withColumn("_in", F.col("_ok") & (F.col("n").isNull() | (F.col("_r") <= F.col("n"))))
     sums = ranked.groupBy(F.col(source).alias("_s"), F.col("n").isNotNull().alias("_later")).agg(F.count_if("_in").alias("_k"))
     before = sums.withColumn("_before", F.coalesce(F.sum("_k").over(W.orderBy("_later", "_s").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))  # a row a source
-    out = ranked.join(F.broadcast(before.drop("_k")), (F.col(source) == F.col("_s")) & (F.col("n").isNotNull() == F.col("_later")))
+    out = ranked.join(before.drop("_k"), (F.col(source) == F.col("_s")) & (F.col("n").isNotNull() == F.col("_later")))
     return out.withColumn("taken", F.col("_in") & (F.col("_before") + F.col("_r") <= budget)).drop("_ok", "_r", "_in", "_s", "_later", "_before")
 
 

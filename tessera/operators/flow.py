@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tessera.vocab import BACKLOG_HEAD, BREAKER_AT, LOOKBACK_DAYS, MAX_LOOKBACK_DAYS, OVERLAP_DAYS, QUARANTINE_AT, UNDATED_MAX
 
 NO_DRAINED_RUN = "none_drained"
+#: Parts into which rows without a rank are dealt.
+SPREAD = 64
 
 
 def with_state(items: DataFrame, ledger: DataFrame, store: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -40,12 +42,17 @@ def in_window(published: Column, today: Column, cutoff: Column) -> Column:
     return undated(published, today) | (published >= cutoff)
 
 
+def _apart(ranked: Column, by: str | Column) -> Column:
+    """-1 for rows that are ranked, for others one of SPREAD numbers: a window partitioned by it sorts no other rows together than it must."""
+    return F.when(F.coalesce(ranked, F.lit(False)), F.lit(-1)).otherwise(F.pmod(F.xxhash64(by), F.lit(SPREAD)).cast("int"))
+
+
 def admission(items: DataFrame, keys: list[str], published: str, order: str, today: Column, cutoff: Column, known: Column | None = None, most: int = UNDATED_MAX) -> DataFrame:
     """Adds admission. Undated items are admitted in feed order, most of each key; items with known true are past the window."""
     fresh = F.lit(True) if known is None else ~known
     open_ = undated(F.col(published), today)
-    # Only the undated new items are ranked.
-    rank = F.row_number().over(W.partitionBy(*keys, open_ & fresh).orderBy(order))
+    # The undated new items of a key are ranked together; all others are dealt out, so that no task gets a whole key.
+    rank = F.row_number().over(W.partitionBy(*keys, _apart(open_ & fresh, order)).orderBy(order))
     verdict = (F.when(~fresh, "known").when(open_, F.when(rank <= most, "undated_admitted").otherwise("undated_deferred"))
                .when(F.col(published) >= cutoff, "in_window").otherwise("out_of_window"))
     return items.withColumn("admission", verdict)
@@ -83,11 +90,11 @@ def quota(items: DataFrame, wants: Column, source: str, order: list, per_source:
     The global count sees only rows within their source's limit. They are numbered by source counts
     and offsets, so no task orders the whole run; sources come in the order of order[0].
     """
-    w = W.partitionBy(source, wants).orderBy(*order)
+    w = W.partitionBy(source, _apart(wants, order[0])).orderBy(*order)
     ranked = items.withColumn("_want", wants).withColumn("_rank", F.row_number().over(w)).withColumn("_in", F.col("_want") & (F.col("_rank") <= per_source))
     taken = ranked.where("_in").groupBy(F.col(source).alias("_s")).agg(F.count(F.lit(1)).alias("_n"))
     before = taken.withColumn("_before", F.coalesce(F.sum("_n").over(W.orderBy("_s").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))  # a row a source
-    out = ranked.join(F.broadcast(before), F.col(source) == F.col("_s"), "left")
+    out = ranked.join(before, F.col(source) == F.col("_s"), "left")
     granted = F.col("_in") & (F.coalesce("_before", F.lit(0)) + F.col("_rank") <= ceiling)
     return out.withColumn("granted", granted).withColumn("deferred", F.col("_want") & ~granted).drop("_want", "_rank", "_in", "_s", "_n", "_before")
 

@@ -25,7 +25,7 @@ def usage_by_source(records: DataFrame, prices: DataFrame) -> DataFrame:
     Tokens are summed by source and model before they meet a price. A source with a model of unknown price has a null cost: a price of 0 is known.
     """
     by_model = records.groupBy("source_name", "model").agg(F.count(F.lit(1)).alias("records"), F.sum("input_tokens").alias("i"), F.sum("output_tokens").alias("o"), F.coalesce(F.sum("thinking_tokens"), F.lit(0)).alias("t"))
-    priced = by_model.join(F.broadcast(with_price(by_model.select("model").distinct(), prices).withColumnRenamed("model", "_m")), F.col("model").eqNullSafe(F.col("_m")), "left")
+    priced = by_model.join(with_price(by_model.select("model").distinct(), prices).withColumnRenamed("model", "_m"), F.col("model").eqNullSafe(F.col("_m")), "left")
     cost = (F.col("i") * F.col("price.input") + F.col("o") * F.col("price.output")) / 1e6
     out = priced.groupBy("source_name").agg(
         F.sum("records").alias("records"), F.sum("i").alias("input_tokens"), F.sum("o").alias("output_tokens"), F.sum("t").alias("thinking_tokens"),
