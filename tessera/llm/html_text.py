@@ -46,11 +46,11 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promotion banner nav navbar navigation menu menubar breadcrumb breadcrumbs"
     " footer sidebar aside toc cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social"
-    " comment comments commentlist disqus replies respond related recommended recommendations pagination pager toolbar widget widgets".split())
+    " comment comments commentlist disqus replies respond related recommended recommendations pagination pager toolbar widget widgets outbrain taboola".split())
 #: The same outside of an article alone, where they may belong to its own head.
 OUTER_MARKS = MARKS | frozenset("header masthead topbar search skip copyright".split())
 #: Words that such names are made of beside them.
-PARTS = frozenset("box bar block area section container wrapper wrap inner outer content main page site global post entry article top bottom left right primary secondary list item items link links unit slot panel col column row text group sticky fixed message posts pages stories articles products lists thread count button buttons icon icons title heading body".split())
+PARTS = frozenset("box bar block area section container wrapper wrap inner outer content main page site global post entry article top bottom left right primary secondary list item items link links unit slot panel col column row text group sticky fixed message posts pages stories articles products lists thread count button buttons icon icons title heading body user users reader readers visitor facebook fb google dfp gpt leaderboard skyscraper mpu billboard rectangle law policy form email mail trail path x info message messages feed stack sign up in our latest mobile desktop responsive large small mailing".split())
 SPLIT = re.compile(r"[^a-z]+")
 #: Characters of a bucket of neighbouring pages, about.
 BUCKET = 64 << 20

@@ -109,3 +109,18 @@ def test_query_is_that_of_brute_force(spark):
         want.append((r[0], H.main_text(H.lines(r[2] or ""), H.lines(near[0][2] or "") if near else None)))
     got = [(r.page_id, (r.text, r.n_shared)) for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect()]
     assert sorted(got) == sorted(want) and sum(n for _, (_, n) in want) > 40
+
+
+#: Class names of comments, adverts, forms and menus as sites use them; and names that only hold such a word.
+GO = """user-comments reader-comments fb-comments comments-area comment-list comments_wrapper comment-section disqus-thread post-comments article-comments ad-300x250 ad-728x90 ad-leaderboard google-ads dfp-ad ad-slot ad-container
+ sidebar-ad adsense advertisement advert-box sponsored-links promo-box banner-ad mpu-ad cookie-law-banner cookie-banner cookie-consent gdpr-notice newsletter-signup-form newsletter-form email-signup mailing-newsletter-box subscribe-form login-form breadcrumb-trail
+ breadcrumbs nav-links navbar-top pagination-links related-posts related-stories recommended-articles share-buttons social-icons outbrain taboola-widget sidebar-widget mobile-menu sticky-banner popup-overlay""".split()
+STAY = "share-of-voice related-work no-sidebar has-sidebar commentary header-image-caption advanced adaptive social-science cookie-recipe notice-of-motion menu-planning text content entry-content article-body post-text message-body".split()
+
+
+def test_names_of_templates():
+    for name in GO:
+        assert H.main_text(H.lines(page(f'<article><p>the text of the page</p><div class="{name}">zzz</div></article>')), None)[0] == "the text of the page", name
+    for name in STAY:
+        assert H.main_text(H.lines(page(f'<article><p>the text of the page</p><div class="{name}">zzz</div></article>')), None)[0] == "the text of the page\nzzz", name
+    assert len(GO) >= 40
