@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
@@ -215,3 +217,41 @@ def model_prices(spark, sf):
     return control.by_prefix(models, prices, "model", "hit").select("model", "n", F.coalesce("hit", F.lit("")).alias("prefix"))
 
 
+
+
+_AXES_SQL = "[{'axis': 'faithfulness', 'k': 3}, {'axis': 'completeness', 'k': 4}, {'axis': 'concision', 'k': 5}]"
+
+
+@query(f"""
+WITH r AS (SELECT doc_id % 97 AS item_id, length(coalesce(text, '')) AS n, unnest({_AXES_SQL}) AS a FROM documents), s AS (SELECT item_id, n, a.axis AS axis, 1 + n % a.k AS score, n % 5 < 4 AS judged, n % 11 = 0 AS human FROM r),
+c AS (SELECT item_id, axis, score, count(*) AS c FROM s WHERE judged GROUP BY ALL), h AS (SELECT item_id, min(n) AS n FROM s WHERE human GROUP BY 1),
+t AS (SELECT item_id, axis, CAST(sum(c) AS BIGINT) AS n, round(sum(score * c) / sum(c), 3) AS mean, arg_min(score, (-c, score)) AS mode, CAST(max(score) - min(score) AS BIGINT) AS spread, round(max(c) / sum(c), 3) AS mode_ratio, string_agg(score || '=' || c, ';' ORDER BY score) AS distribution FROM c GROUP BY ALL)
+SELECT t.item_id, t.axis, t.n, mean, mode, spread, mode_ratio, distribution, CASE WHEN h.n IS NOT NULL THEN 1 + h.n % 2 END AS human, round(mean - (1 + h.n % 2), 3) AS gap FROM t LEFT JOIN h USING (item_id)""", text="human gap")
+def repeat_axes(spark, sf):
+    """Score statistics of repeated judgements on each axis, and how far they are from the human's."""
+    d = _docs(spark, sf)
+    scores = F.struct(*[(1 + F.col("n") % k).alias(a) for a, k in zip(evals.AXES, (3, 4, 5))])
+    least = d.where("n % 11 = 0").groupBy((F.col("doc_id") % 97).alias("item_id")).agg(F.min("n").alias("_n"))
+    rows = d.select((F.col("doc_id") % 97).alias("item_id"), "n", (F.col("n") % 5 < 4).alias("judged"), scores.alias("scores")).join(least, "item_id", "left")
+    human = F.when(F.col("n") % 11 == 0, F.struct(*[(1 + F.col("_n") % 2).alias(a) for a in evals.AXES]))
+    return evals.repeat_axes(rows.withColumn("human", human)).select("item_id", "axis", "n", "mean", "mode", "spread", "mode_ratio", "distribution", "human", "gap")
+
+
+_MARKED = """'① (a) ' || ['담김', '없음', '이름만'][n % 3 + 1] || ' (b) 담김 ' || ['부분', '충족', '미충족', ''][n % 4 + 1] || ' ' || left(t, n % 120) || ' ② ' || ['충족', '분모 제외'][n % 2 + 1] || ' (a) ' || ['담김', '없음'][n % 5 % 2 + 1]"""
+
+
+@query(f"""
+WITH {_D}, r AS (SELECT doc_id % 97 AS item_id, n, n % 5 < 4 AND n % 6 < 5 AS legacy, n % 7 = 0 AS parse_failed FROM d),
+p AS (SELECT item_id, '1' AS slot, ['partial', 'full', 'none', NULL][n % 4 + 1] AS s, [['a', ['담김', '없음', '이름만'][n % 3 + 1]], ['b', '담김']] AS e FROM r WHERE legacy
+  UNION ALL SELECT item_id, '2', ['full', NULL][n % 2 + 1], [['a', ['담김', '없음'][n % 5 % 2 + 1]]] FROM r WHERE legacy),
+q AS (SELECT *, len(list_filter(e, lambda x: x[2] = '담김')) AS held FROM p WHERE s IS NOT NULL),
+k AS (SELECT item_id, slot || '(' || v[1] || ') ' || v[2] AS k, count(*) AS c FROM (SELECT item_id, slot, unnest(e) AS v FROM q) GROUP BY ALL),
+f AS (SELECT item_id, count(*) AS checked, round(avg(CAST(s = CASE WHEN held = len(e) THEN 'full' WHEN held > 0 THEN 'partial' ELSE 'none' END AS INT)), 3) AS consistency FROM q GROUP BY 1)
+SELECT b.item_id, coalesce(checked, 0) AS checked, consistency, coalesce((SELECT string_agg(k || '=' || c, ';' ORDER BY k) FROM k WHERE k.item_id = b.item_id), '') AS counts, parse_failures FROM (SELECT item_id, count(*) FILTER (WHERE parse_failed) AS parse_failures FROM r GROUP BY 1) b LEFT JOIN f USING (item_id)""", text="consistency")
+def repeat_elements(spark, sf):
+    """Element verdicts of rationales built around the texts, and whether the slots' states follow from them."""
+    d = _docs(spark, sf).withColumn("t", F.regexp_replace("t", "[^A-Za-z ]", ""))  # no marks of its own
+    spliced = re.sub(r"\[([^\]]*)\]\[(n %[^\]]*?) \+ 1\]", r"element_at(array(\1), cast(\2 + 1 as int))", _MARKED)
+    n = F.col("n")
+    rows = d.select((F.col("doc_id") % 97).alias("item_id"), (n % 5 < 4).alias("judged"), (n % 6 == 5).alias("coded"), (n % 7 == 0).alias("parse_failed"), F.expr(spliced).alias("rationale"))
+    return evals.repeat_elements(rows)

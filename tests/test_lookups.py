@@ -69,3 +69,17 @@ def test_judge_variables(spark):
     assert v(" b\n", F.lit(None).cast("array<array<string>>")) == {"source_text": "T\n\nb", "summary": "sum"} and v(None, F.lit(None).cast("array<array<string>>"))["source_text"] == "T"
     got = v("b", F.array(arr("x", "y"), arr(), arr("z"), arr()))["completeness_slots"].split("\n")
     assert got[0] == "분모: 2" and got[1].endswith("(a) x / (b) y") and "분모 제외" in got[2] and got[3].endswith(": (a) z")
+
+
+def test_repeats_by_axis_and_element(spark):
+    from tessera.operators import evals
+
+    kind = "item_id string, judged boolean, coded boolean, parse_failed boolean, scores struct<faithfulness:int,completeness:int,concision:int>, human struct<faithfulness:int,completeness:int,concision:int>, rationale string"
+    rows = [("a", True, False, False, (3, 4, 5), (3, 3, 3), "① 충족: (a) 담김 (b) 담김 ② 부분: (a) 이름만 (a) 담김 (b) 없음"), ("a", True, False, False, (5, 4, 1), None, "① 충족: (a) 담김 (b) 없음 ② 분모에서 제외 (a) 없음 ③ 부분"),
+            ("a", False, False, True, None, None, None), ("b", True, True, False, (1, 1, 1), None, "① 충족 (a) 담김"), ("c", False, False, False, None, None, None)]
+    df = spark.createDataFrame(rows, kind)
+    axes = {(r.item_id, r.axis): (r.n, r.mean, r.stdev, r.spread, r.human, r.gap) for r in evals.repeat_axes(df).collect()}
+    assert axes["a", "faithfulness"] == (2, 4.0, 1.414, 2, 3, 1.0) and axes["a", "completeness"] == (2, 4.0, 0.0, 0, 3, 1.0) and axes["b", "concision"] == (1, 1.0, None, 0, None, None) and len(axes) == 6
+    got = {r.item_id: (r.checked, r.consistency, r.counts, r.parse_failures) for r in evals.repeat_elements(df).collect()}
+    # Rows 1 and 2, slot 1: consistent, and not; row 1, slot 2: one of two held, partial.
+    assert got["a"] == (3, 0.667, "1(a) 담김=2;1(b) 담김=1;1(b) 없음=1;2(a) 담김=1;2(b) 없음=1", 1) and got["b"] == (0, None, "", 0) and got["c"] == (0, None, "", 0)
