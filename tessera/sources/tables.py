@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -89,6 +91,94 @@ class KeyedTable:
         self.overwrite(self.read().unionByName(new))
 
 
+class BucketedTable(KeyedTable):
+    """A KeyedTable for large tables: rows lie in buckets by a hash of the key, and a write replaces the buckets that it touches, not the table.
+
+    A version is a manifest, a small file that names the folder of each bucket, written once those are complete. What a day's
+    rows cost grows with the buckets that they fall into; folders that none of the last keep manifests names are deleted. Null keys share a bucket.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: str, schema: str, keep: int = 3, buckets: int = 256) -> None:
+        super().__init__(spark, path, key, schema, keep)
+        self.buckets = buckets
+
+    def _children(self, prefix: str) -> list:
+        p, fs = _fs(self.spark, self.path)
+        return [x.getPath() for x in fs.listStatus(p) if x.getPath().getName().startswith(prefix)] if fs.exists(p) else []
+
+    def versions(self) -> list[int]:
+        return sorted(int(x.getName()[2:]) for x in self._children("m="))
+
+    def manifest(self, version: int | None = None) -> dict[int, str]:
+        """Folder of each bucket that has rows, in the newest version."""
+        found = self.versions()
+        if not found:
+            return {}
+        text = self.spark.read.text(f"{self.path}/m={found[-1] if version is None else version}", wholetext=True).first()[0]
+        return {int(k): v for k, v in json.loads(text).items()}
+
+    def _folders(self, names: list[str]) -> DataFrame:
+        if not names:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{n}" for n in names])
+
+    def read(self) -> DataFrame:
+        return self._folders(sorted(self.manifest().values()))
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+
+    def _commit(self, rows: DataFrame, touched: set[int], kept: dict[int, str]) -> None:
+        found = self.versions()
+        n = (found[-1] if found else 0) + 1
+        rows.select(*self.schema.names, self._bucket().alias("_b")).repartition("_b").write.mode("overwrite").partitionBy("_b").parquet(f"{self.path}/w={n}")
+        p, fs = _fs(self.spark, f"{self.path}/w={n}")
+        written = {int(x.getPath().getName()[3:]) for x in fs.listStatus(p) if x.getPath().getName().startswith("_b=")}
+        now = {b: f for b, f in kept.items() if b not in touched} | {b: f"w={n}/_b={b}" for b in written}
+        jvm = self.spark.sparkContext._jvm
+        half = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_m={n}")
+        out = fs.create(half, True)
+        out.write(bytearray(json.dumps(now), "utf-8"))
+        out.close()
+        fs.rename(half, jvm.org.apache.hadoop.fs.Path(f"{self.path}/m={n}"))
+        self._forget()
+
+    def _forget(self) -> None:
+        _, fs = _fs(self.spark, self.path)
+        versions = self.versions()
+        used = {f.split("/")[0] for v in versions[-self.keep :] for f in self.manifest(v).values()}
+        for x in self._children("m="):
+            if int(x.getName()[2:]) not in versions[-self.keep :]:
+                fs.delete(x, True)
+        for x in self._children("w="):
+            if x.getName() not in used and int(x.getName()[2:]) < versions[-1]:
+                fs.delete(x, True)
+
+    def overwrite(self, df: DataFrame) -> None:
+        self._commit(df, set(range(self.buckets)), {})
+
+    def _touched(self, rows: DataFrame) -> tuple[set[int], dict[int, str], DataFrame]:
+        """Buckets of the rows' keys (at most as many numbers as there are buckets), the manifest, and what those buckets hold."""
+        touched = {r.b for r in rows.select(self._bucket().alias("b")).distinct().collect()}
+        kept = self.manifest()
+        return touched, kept, self._folders([kept[b] for b in sorted(touched & set(kept))])
+
+    def upsert(self, rows: DataFrame, order: str | None = None) -> None:
+        new = (rows if order is None else last_of_key(rows, self.key, F.col(order))).select(*self.schema.names).dropDuplicates([self.key])
+        touched, kept, old = self._touched(new)
+        if touched:
+            self._commit(old.join(new.select(self.key), self.key, "left_anti").unionByName(new), touched, kept)
+
+    def put_new(self, rows: DataFrame) -> None:
+        wanted = rows.select(*self.schema.names).dropDuplicates([self.key])
+        _, kept, old = self._touched(wanted)
+        new = wanted.join(old.select(self.key), self.key, "left_anti")
+        touched = {r.b for r in new.select(self._bucket().alias("b")).distinct().collect()}
+        if touched:
+            same = self._folders([kept[b] for b in sorted(touched & set(kept))])
+            self._commit(same.unionByName(new), touched, kept)
+
+
 def write_export(records: DataFrame, counts: DataFrame, path: str, export_id: str, version: str, order: str = "doc_id") -> None:
     """JSON lines in a folder a source (none for a source without records) and a one-row manifest (S-21). Sorted, so that two exports of one store hold the same lines."""
     records.repartitionByRange("source", order).sortWithinPartitions("source", order).write.mode("overwrite").partitionBy("source").json(f"{path}/records")
