@@ -11,8 +11,9 @@ Training: a sample of labelled rows, the least by hash of doc_id, at most SAMPLE
 numbers in all (documented bounds; their share of the corpus does not matter). The driver fits
 the machine in three steps. All numbers of LEAST documents are admitted. Weights alone are fitted
 with an L1 penalty at the level that noise reaches, which sets most of them to nothing. The errors
-left are then summed over the documents of each pair of the PAIRED most frequent numbers: of the pairs
-beyond what noise reaches over all pairs, the PAIRS clearest stay, even if their members are neutral alone.
+left are then summed over the documents of each pair of numbers that may share enough of them, by dense blocks for
+the PAIRED most frequent numbers and document by document for pairs with a rarer one: of the pairs
+beyond what noise reaches over all pairs, the PAIRS clearest of either kind stay, even if their members are neutral alone.
 The whole machine is fitted to the numbers that stay. All is fixed by seed.
 
 Nulls and empties: a null or empty text gets the score of no features. Labels
@@ -41,7 +42,7 @@ STEMS = (3, 4, 5, 6)
 SAMPLE, TERMS = 16_000, 8_000_000
 FACTORS = 4
 LEAST = 4  # documents of the sample that an admitted number occurs in at least
-PAIRED, PAIRS = 2048, 200  # most frequent numbers whose pairs are looked at, and pairs that stay at most: the size of the model
+PAIRED, PAIRS = 2048, 200  # most frequent numbers, whose pairs are summed as dense blocks, and pairs of a kind that stay at most: the size of the model
 THRESHOLD = 0.3
 REMEMBER = 4 << 20  # characters of the words that a worker remembers
 SEED = 7
@@ -128,18 +129,48 @@ def sparse_weights(x: Table, y: np.ndarray, rounds: int = 40) -> tuple[np.ndarra
     return scale * w, y - 1 / (1 + np.exp(-np.clip(bias + x.times(scale * w), -30, 30)))
 
 
+def _rare_pairs(x: Table, left: np.ndarray, alone: np.ndarray, some: np.ndarray, dense: np.ndarray, least: float, limit: float) -> list[tuple[float, int, int]]:
+    """(-z, a, b) of telling pairs of the numbers some of which a is not in dense: the documents of a are looked at, and what they have beside it."""
+    at = np.full(x.width, -1, np.int32)
+    at[some] = np.arange(len(some), dtype=np.int32)
+    col = np.concatenate([np.zeros(0, np.int32), *(at[c][at[c] >= 0] for _, _, c in x.parts())])
+    row = np.concatenate([np.zeros(0, np.int32), *((rows.start + r[at[c] >= 0]).astype(np.int32) for rows, r, c in x.parts())])
+    begin = np.searchsorted(row, np.arange(x.n + 1))
+    rare = np.ones(len(some), bool)
+    rare[at[dense]] = False
+    own = np.flatnonzero(rare[col])
+    own = own[np.argsort(col[own], kind="stable")]
+    found: list[tuple[float, int, int]] = []
+    for part in np.split(own, np.flatnonzero(np.diff(col[own])) + 1) if len(own) else []:
+        a, docs = int(col[part[0]]), row[part]
+        with_it = np.concatenate([col[begin[d] : begin[d + 1]] for d in docs.tolist()])
+        n = np.bincount(with_it, minlength=len(some))
+        n[a] = 0
+        error = np.bincount(with_it, np.repeat(left[docs], begin[docs + 1] - begin[docs]), len(some))
+        z = np.abs(error - n * (alone[some[a]] + alone[some])) / np.sqrt(np.maximum(n, 1))
+        z[rare & (np.arange(len(some)) < a)] = 0  # each pair once
+        b = np.flatnonzero((n >= least) & (z > limit))
+        found = sorted([*found, *zip((-z[b]).tolist(), [int(some[a])] * len(b), some[b].tolist())])[:PAIRS]
+    return found
+
+
 def telling_pairs(x: Table, left: np.ndarray, share: float) -> np.ndarray:
     """Numbers of the pairs over whose documents the errors left, less what each of the two has by itself, add up to more than the largest of as many sums of noise."""
-    often = np.argsort(-x.back(np.ones(x.n)), kind="stable")[:PAIRED]
+    df = x.back(np.ones(x.n))
+    least = 5 / (share * (1 - share))  # fewer common documents than this do not make a normal sum
+    often = np.argsort(-df, kind="stable")
+    some = np.sort(often[df[often] >= least])
+    often = often[:PAIRED]
     at = np.full(x.width, -1)
     at[often] = np.arange(len(often))
     has = np.zeros((x.n, len(often)), bool)
     for rows, row, col in x.parts():
         own = at[col]
         has[rows.start + row[own >= 0], own[own >= 0]] = True
-    # Fewer common documents than this do not make a normal sum.
-    least, limit = 5 / (share * (1 - share)), np.sqrt(2 * np.log(len(often) ** 2 / 2 + 2) * left.var())
-    found, alone = [], (x.back(left) / np.maximum(x.back(np.ones(x.n)), 1))[often].astype(np.float32)
+    reach = lambda pairs: np.sqrt(2 * np.log(pairs + 2) * left.var())
+    limit = reach(len(often) ** 2 / 2)
+    own_error = x.back(left) / np.maximum(df, 1)
+    found, alone = [], own_error[often].astype(np.float32)
     for done in range(0, len(often), 512):
         n = np.zeros((min(512, len(often) - done), len(often)), np.float32)
         error = np.zeros_like(n)
@@ -151,8 +182,12 @@ def telling_pairs(x: Table, left: np.ndarray, share: float) -> np.ndarray:
         z = np.abs(error) / np.sqrt(np.maximum(n, 1))
         z[np.arange(len(often))[None] <= done + np.arange(len(n))[:, None]] = 0  # each pair once
         i, j = np.nonzero((n >= least) & (z > limit))
-        found = sorted([*found, *zip((-z[i, j]).tolist(), (i + done).tolist(), j.tolist())])[:PAIRS]
-    return often[sorted({k for _, *pair in found for k in pair})]
+        found = sorted([*found, *zip((-z[i, j]).tolist(), often[i + done].tolist(), often[j].tolist())])[:PAIRS]
+    del has
+    if len(some) > len(often):
+        rare = _rare_pairs(x, left, own_error, some, often[df[often] >= least], least, reach(len(some) ** 2 / 2))
+        found = [*found, *rare]
+    return np.array(sorted({k for _, *pair in found for k in pair}), np.int64)
 
 
 def choose(x: Table, y: np.ndarray) -> np.ndarray:

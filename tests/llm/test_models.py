@@ -214,6 +214,23 @@ def test_pairs_of_neutral_words_are_learnt():
     assert len(toxicity.choose(x, rng.permutation(y))) < 30
 
 
+def test_pairs_of_rare_words_are_found(monkeypatch):
+    """Both members of a telling pair lie outside the numbers that are paired as dense blocks; sparse and dense sums find the same."""
+    rng = np.random.default_rng(1)
+    docs, y = [], np.zeros(6000)
+    for i in range(len(y)):
+        a, b = rng.random(2) < 0.12
+        docs.append(np.unique([*rng.choice(40, 12, replace=False), *rng.integers(40, 440, 6), *([500] * bool(a)), *([501] * bool(b))]))
+        y[i] = (a and b) or rng.random() < 0.1
+    x = toxicity.Table(np.concatenate(docs).astype(np.int32), np.array([len(d) for d in docs]), 600)
+    left = y - y.mean()
+    whole = toxicity.telling_pairs(x, left, y.mean())
+    assert whole.tolist() == [500, 501]
+    for paired in (32, 1):
+        monkeypatch.setattr(toxicity, "PAIRED", paired)
+        assert toxicity.telling_pairs(x, left, y.mean()).tolist() == [500, 501]
+
+
 def test_scores_are_those_of_all_pairs():
     rng = np.random.default_rng(7)
     m = toxicity.Machine(np.arange(50), 0.3, rng.normal(size=50), rng.normal(size=(50, toxicity.FACTORS)))
