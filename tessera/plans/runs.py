@@ -76,8 +76,9 @@ def drained_marks(spark, sf):
     """The marks after all days, settled in two parts, as by two drivers of which the first was lost between the phases."""
     reports, at = _reports(spark, sf).persist(), scratch(spark, "history")
     marks = history.Marks(spark, at, scratch(spark, "marks"))
-    for part in ("dayofmonth(day) <= 10", "dayofmonth(day) > 10"):
-        history.write_reports(reports.where(f"month(day) = 1 and {part}" if part.endswith("<= 10") else f"not (month(day) = 1 and dayofmonth(day) <= 10)").drop("day"), at)
+    early = F.col("day") <= F.lit("2024-01-10").cast("date")
+    for part in (early, ~early):
+        history.write_reports(reports.where(part).drop("day"), at)
         marks.settle()
     return marks.table.read().select("source", "drained_on", "carry")
 

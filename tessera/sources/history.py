@@ -27,8 +27,12 @@ MARKS = "source string, drained_on date, carry date, run_id string"
 
 
 def write_reports(reports: DataFrame, path: str) -> None:
-    """Reports, a row each, into their folders."""
+    """Reports, a row each, into their folders, which are marked complete once all are written."""
+    spark = reports.sparkSession
     reports.withColumn("run", F.col("run_id")).repartition("run").write.mode("append").partitionBy("run").json(path)
+    _, fs = _fs(spark, path)
+    for r in reports.select("run_id").distinct().collect():  # a name a run
+        fs.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/run={r.run_id}/_SUCCESS"), True).close()
 
 
 def write_report(report: DataFrame, path: str, run_id: str) -> None:
@@ -42,9 +46,8 @@ def run_ids(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     jvm = spark.sparkContext._jvm
-    whole = fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))  # several reports were written as one
     found = [s.getPath() for s in fs.listStatus(p) if s.getPath().getName().startswith("run=")]
-    return sorted((x.getName()[4:] for x in found if whole or fs.exists(jvm.org.apache.hadoop.fs.Path(x, "_SUCCESS"))), reverse=True)
+    return sorted((x.getName()[4:] for x in found if fs.exists(jvm.org.apache.hadoop.fs.Path(x, "_SUCCESS"))), reverse=True)
 
 
 def read_runs(spark: SparkSession, path: str, ids: list[str]) -> DataFrame:
