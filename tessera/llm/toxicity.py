@@ -129,28 +129,37 @@ def sparse_weights(x: Table, y: np.ndarray, rounds: int = 40) -> tuple[np.ndarra
     return scale * w, y - 1 / (1 + np.exp(-np.clip(bias + x.times(scale * w), -30, 30)))
 
 
-def _rare_pairs(x: Table, left: np.ndarray, alone: np.ndarray, some: np.ndarray, dense: np.ndarray, least: float, limit: float) -> list[tuple[float, int, int]]:
-    """(-z, a, b) of telling pairs of the numbers some of which a is not in dense: the documents of a are looked at, and what they have beside it."""
+def _rare_pairs(x: Table, left: np.ndarray, alone: np.ndarray, some: np.ndarray, dense: np.ndarray, df: np.ndarray, least: float, limit: float, part: int = 1 << 19) -> list[tuple[float, int, int]]:
+    """(-z, a, b) of telling pairs of the numbers some of which a is not in dense: the documents of a are looked at, and what they have beside it. Only some's numbers are held, and about part places of rare ones at a time."""
     at = np.full(x.width, -1, np.int32)
     at[some] = np.arange(len(some), dtype=np.int32)
-    col = np.concatenate([np.zeros(0, np.int32), *(at[c][at[c] >= 0] for _, _, c in x.parts())])
-    row = np.concatenate([np.zeros(0, np.int32), *((rows.start + r[at[c] >= 0]).astype(np.int32) for rows, r, c in x.parts())])
-    begin = np.searchsorted(row, np.arange(x.n + 1))
+    col, size, end = np.empty(int(df[some].sum()), np.int32), np.zeros(x.n, np.int64), 0
+    for rows, row, c in x.parts():
+        own = at[c]
+        size[rows] = np.bincount(row[own >= 0], minlength=rows.stop - rows.start)
+        own = own[own >= 0]
+        col[end : end + len(own)], end = own, end + len(own)
+    begin = np.append(0, np.cumsum(size))
     rare = np.ones(len(some), bool)
     rare[at[dense]] = False
-    own = np.flatnonzero(rare[col])
-    own = own[np.argsort(col[own], kind="stable")]
+    ids = np.flatnonzero(rare)
     found: list[tuple[float, int, int]] = []
-    for part in np.split(own, np.flatnonzero(np.diff(col[own])) + 1) if len(own) else []:
-        a, docs = int(col[part[0]]), row[part]
-        with_it = np.concatenate([col[begin[d] : begin[d + 1]] for d in docs.tolist()])
-        n = np.bincount(with_it, minlength=len(some))
-        n[a] = 0
-        error = np.bincount(with_it, np.repeat(left[docs], begin[docs + 1] - begin[docs]), len(some))
-        z = np.abs(error - n * (alone[some[a]] + alone[some])) / np.sqrt(np.maximum(n, 1))
-        z[rare & (np.arange(len(some)) < a)] = 0  # each pair once
-        b = np.flatnonzero((n >= least) & (z > limit))
-        found = sorted([*found, *zip((-z[b]).tolist(), [int(some[a])] * len(b), some[b].tolist())])[:PAIRS]
+    for these in np.split(ids, np.flatnonzero(np.diff(np.cumsum(df[some[ids]]) // part)) + 1):
+        mine = np.zeros(len(some), bool)
+        mine[these] = True
+        place = np.flatnonzero(mine[col])
+        place = place[np.argsort(col[place], kind="stable")]
+        for group in np.split(place, np.flatnonzero(np.diff(col[place])) + 1) if len(place) else []:
+            a, docs = int(col[group[0]]), np.searchsorted(begin, group, side="right") - 1
+            with_it = np.concatenate([col[begin[d] : begin[d + 1]] for d in docs.tolist()])
+            n = np.bincount(with_it, minlength=len(some))
+            n[a] = 0
+            error = np.bincount(with_it, np.repeat(left[docs], size[docs]), len(some))
+            z = np.abs(error - n * (alone[some[a]] + alone[some])) / np.sqrt(np.maximum(n, 1))
+            z[rare & (np.arange(len(some)) < a)] = 0  # each pair once
+            b = np.flatnonzero((n >= least) & (z > limit))
+            b = b[np.argsort(-z[b], kind="stable")[:PAIRS]]
+            found = sorted([*found, *zip((-z[b]).tolist(), [int(some[a])] * len(b), some[b].tolist())])[:PAIRS]
     return found
 
 
@@ -185,7 +194,7 @@ def telling_pairs(x: Table, left: np.ndarray, share: float) -> np.ndarray:
         found = sorted([*found, *zip((-z[i, j]).tolist(), often[i + done].tolist(), often[j].tolist())])[:PAIRS]
     del has
     if len(some) > len(often):
-        rare = _rare_pairs(x, left, own_error, some, often[df[often] >= least], least, reach(len(some) ** 2 / 2))
+        rare = _rare_pairs(x, left, own_error, some, often[df[often] >= least], df, least, reach(len(some) ** 2 / 2))
         found = [*found, *rare]
     return np.array(sorted({k for _, *pair in found for k in pair}), np.int64)
 
