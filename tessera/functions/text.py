@@ -36,8 +36,12 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, EDGE, "")
 
 
+def _collapsed(text: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(text, "[ \t ]+", " "), "\n{3,}", "\n\n")
+
+
 def _spaced(text: Column) -> Column:
-    return strip(F.regexp_replace(F.regexp_replace(text, "[ \t ]+", " "), "\n{3,}", "\n\n"))
+    return strip(_collapsed(text))
 
 
 def strip_html(raw: Column) -> Column:
@@ -47,11 +51,11 @@ def strip_html(raw: Column) -> Column:
 
 
 def strip_html_simple(raw: Column) -> Column:
-    """The same for texts whose only references are amp, quot, middot, copy, lt, gt: all inside the JVM."""
+    """As strip_html, but only amp, quot, middot, copy, lt, gt with their semicolons are references, and only ASCII's white space is cut at the ends: all inside the JVM."""
     bare = F.regexp_replace(F.coalesce(raw, F.lit("")), "<[^>]+>", " ")
     for name, char in (("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
         bare = F.replace(bare, F.lit(name), F.lit(char))
-    return _spaced(bare)
+    return F.regexp_replace(_collapsed(bare), r"\A[\t\n\f\r ]+|[\t\n\f\r ]+\z", "")
 
 
 def entry_body(candidates: Column) -> Column:

@@ -48,6 +48,21 @@ def test_strip_html(spark):
     assert got == ["a b", "a\n\nb <c>", "x y", "", ""]
 
 
+def test_query_takes_references_by_its_sql(spark, tmp_path):
+    """A title cut inside &amp; keeps what is left of it; null stays null; white space beyond ASCII stays at the ends."""
+    import duckdb
+
+    from tessera.plans.catalogue import ORACLES, QUERIES
+
+    texts = ["<title>a &amp</title><p>b &amp; c", "&copy 1 &copy; &nbsp;", "&amp;lt;", None, "", "\u2003 a\x0b", " \x85", "a\n\n\n\nb\n"]
+    spark.createDataFrame(list(enumerate(texts)), "page_id long, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    got = {r.page_id: r.body for r in QUERIES["strip_html_text"](spark, str(tmp_path)).collect()}
+    assert got == dict(con.sql(ORACLES["strip_html_text"]).fetchall())
+    assert got[0] == "a &amp b & c" and got[3] is None
+
+
 def test_offsets(spark):
     assert each(spark, T.parse_offset, ["+09:00", "-0530", "", None]) == [32400, -19800, None, None]
     for bad in ("+9", "KST", "+09:00:00"):
