@@ -8,7 +8,7 @@ added weights miss. A document's features are the distinct kept numbers of its
 whole text, so length neither dilutes nor cuts anything.
 
 Training: a sample of labelled rows, the least by hash of doc_id, at most SAMPLE of them and TERMS
-numbers in all (documented bounds; their share of the corpus does not matter). The driver fits
+numbers in all (documented bounds; their share of the corpus does not matter). One task fits
 the machine in three steps. All numbers of LEAST documents are admitted. Weights alone are fitted
 with an L1 penalty at the level that noise reaches, which sets most of them to nothing. The errors
 left are then summed over the documents of each pair of numbers that may share enough of them, by dense blocks for
@@ -254,7 +254,7 @@ def fit(kept: np.ndarray, rows: list[list[int]], y: np.ndarray, rounds: int = 25
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int = TERMS) -> Machine:
-    """Fit a machine to a sample of the labels that are not held out."""
+    """Fit a machine to a sample of the labels that are not held out, in one task."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic").where("doc_id is not null and toxic in (0, 1)").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     # At most SAMPLE rows of two numbers, so the broadcast has a fixed size.
@@ -264,22 +264,35 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int =
     sizes = sorted((r.place, r.doc_id, r.n) for r in numbered.select("place", "doc_id", "n").collect())  # SAMPLE rows at most
     fit_in = int(np.searchsorted(np.cumsum([n for _, _, n in sizes]), terms, side="right"))
     got = numbered if fit_in == len(sizes) else numbered.where(F.struct("place", "doc_id") < F.struct(*(F.lit(v).cast("long") for v in sizes[fit_in][:2])))
-    x, y, admitted = _table(got.select("doc_id", "n", "terms", "toxic"), fit_in, sum(n for _, _, n in sizes[:fit_in]))
-    if not x.n:
+    n, total = fit_in, sum(n for _, _, n in sizes[:fit_in])
+    if not n:
         return Machine(np.zeros(0, np.int64), -30.0, np.zeros(0), np.zeros((0, FACTORS)))
-    stay = choose(x, y)
-    return fit(admitted[stay], x.rows(stay), y)
+    # One task holds the bounded sample and the fit's arrays; the driver gets the machine alone.
+    m = got.select("doc_id", "n", "terms", "toxic").coalesce(1).mapInArrow(_fitting(n, total), "kept array<long>, bias double, weight array<double>, factor array<double>").first()
+    return Machine(np.array(m.kept, np.int64), m.bias, np.array(m.weight, float), np.array(m.factor, float).reshape(-1, FACTORS))
 
 
-def _table(got: DataFrame, n: int, terms: int) -> tuple[Table, np.ndarray, np.ndarray]:
-    """(doc_id, n, terms, toxic) of n documents and that many terms to the table of admitted numbers, in the order of doc_id, the labels and the admitted numbers. Partitions come one by one."""
-    raw, names, size, y, end = np.empty(terms, np.int32), np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), 0
+def _fitting(n: int, terms: int):
+    """(doc_id, n, terms, toxic) of n documents and that many terms, in one partition, to a row of the fitted machine."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x, y, admitted = _table(batches, n, terms)
+        stay = choose(x, y)
+        m = fit(admitted[stay], x.rows(stay), y)
+        yield pa.RecordBatch.from_pydict({"kept": [m.kept], "bias": [m.bias], "weight": [m.weight], "factor": [m.factor.ravel()]})
+
+    return run
+
+
+def _table(batches: Iterator[pa.RecordBatch], n: int, terms: int) -> tuple[Table, np.ndarray, np.ndarray]:
+    """(doc_id, n, terms, toxic) of n documents and that many terms to the table of admitted numbers, in the order of doc_id, the labels and the admitted numbers."""
+    raw, names, size, y, end, k = np.empty(terms, np.int32), np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), 0, 0
     df = np.zeros(BUCKETS, np.int32)
-    for k, r in enumerate(got.toLocalIterator()):
-        own = np.frombuffer(r.terms, "<i4")
-        raw[end : end + r.n] = own
+    for doc_id, m, text, toxic in (r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True)):
+        own = np.frombuffer(text, "<i4")
+        raw[end : end + m] = own
         df[own] += 1  # a document's numbers are distinct
-        names[k], size[k], y[k], end = r.doc_id, r.n, r.toxic, end + r.n
+        names[k], size[k], y[k], end, k = doc_id, m, toxic, end + m, k + 1
     admitted = np.flatnonzero(df >= LEAST)
     at = np.full(BUCKETS, -1, np.int32)
     at[admitted] = np.arange(len(admitted), dtype=np.int32)

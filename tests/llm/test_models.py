@@ -195,6 +195,25 @@ def test_toxicity(spark, odd_docs, no_docs):
     assert sure.count() == 10
 
 
+def test_the_driver_gets_the_machine_alone(spark, monkeypatch):
+    """Neither the sample nor the fit's arrays are held by the driver."""
+    docs = spark.createDataFrame([(i, "rude words" if i % 3 == 0 else "kind words") for i in range(120)], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic"))
+
+    def in_a_task(f):
+        def run(*args):
+            from pyspark import TaskContext
+
+            assert TaskContext.get() is not None
+            return f(*args)
+
+        return run
+
+    for name in ("_table", "choose", "fit"):
+        monkeypatch.setattr(toxicity, name, in_a_task(getattr(toxicity, name)))
+    assert len(toxicity.learn(docs, labels).kept)
+
+
 def test_pairs_of_neutral_words_are_learnt():
     """Each of four words is as frequent among toxic texts as among others; which two stand together decides."""
     rng = np.random.default_rng(6)
