@@ -63,6 +63,16 @@ def down(item):
     raise ConnectionError("down")
 
 
+def test_stages_carry_no_texts(env):
+    """The feed's table holds the texts; calls and the store get those of their own rows."""
+    said = lambda item: json.dumps({"is_relevant": item["body"] == "body" and item["url"] == f"https://h/{item['title'][1:]}", "reason": "r"})
+    r = env.go({"s": [(1, 30), (2, 30), (3, 2)], "t": [(1, 30)]}, gate=said)
+    assert r.sources["s"]["gate_passed"] == 2
+    for stage in ("asked", "gated", "done"):
+        assert not {"url", "title", "body"} & set(env.spark.read.parquet(f"{env.path}/work1/{stage}").columns)
+    assert sorted((x.url, x.title, x.body) for x in env.store.read().collect()) == [("https://h/1", "T1", "body"), ("https://h/2", "T2", "body")]
+
+
 def test_a_run_from_feed_to_report(env):
     gate = lambda item: json.dumps({"is_relevant": item["title"] != "T2", "reason": "r"})
     feeds = {"s": [(1, 30), (2, 30), (3, 2), (4, None)], "t": [(1, 30), (5, 29), (5, 29)]}
