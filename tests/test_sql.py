@@ -31,3 +31,25 @@ def test_texts(spark):
     body = T.render_body(F.col("t"), F.array(F.lit("[[a|b]]")), F.array(F.lit(""), F.lit("c#d")), F.lit("src"), F.lit("u"))
     for r in df.select("id", T.strip_html(F.col("t")).alias("h"), T.slugify(F.col("t"), 40).alias("s"), T.slugify(F.col("t")).alias("w"), body.alias("b")).collect():
         assert (r.h, r.s, r.w, r.b) == (got[r.id].h, got[r.id].s, got[r.id].w, got[r.id].b), r.id
+
+
+def test_a_worker_makes_values_of_few_rows_at_a_time(spark):
+    """A batch of whole texts is not turned into Python values at once."""
+    import pyarrow as pa
+
+    held = []
+
+    class Watched:
+        def __init__(self, values):
+            self.values = values
+
+        def __len__(self):
+            return len(self.values)
+
+        def slice(self, at, n):
+            held.append(n)
+            return pa.array(self.values[at : at + n])
+
+    got = sql._each(lambda t: t, "string")(Watched([str(i) for i in range(1000)]))
+    assert got.to_pylist() == [str(i) for i in range(1000)] and max(held) <= 64 and len(held) > 10
+    assert sql._each(sql.strip_html, "string")(pa.array([], pa.string())).type == pa.string()
