@@ -1,7 +1,7 @@
 """A reported run: windows from history, admission, gate, extraction, backlog, loading, quality, report, marks
 (O-01..O-03, S-30, A-02, A-04, A-05, J-03, J-14, W-05, W-09, W-11, T-02, T-06, M-07).
 
-Tallies are observed while a stage's table is written, so no stage is read again to be counted. The report is
+Tallies are counted by source from a stage's table once it is written, so there may be any number of sources. The report is
 written whatever happens; a run that fails before its sources are through leaves no windows, so no mark moves.
 """
 
@@ -82,7 +82,7 @@ class Places:
 
 @dataclass(frozen=True)
 class Rules:
-    """gate_key: prompt and model that verdicts hold for. window: None admits every date. breaker: one streak for a stage, as calls of all sources come one after another, or one for each source."""
+    """gate_key: prompt and model that verdicts hold for. window: None admits every date. breaker: one streak for a stage, as calls of all sources come one after another, or one for each source. gate_most, extract_most: calls of the whole run, beside the limits of its sources."""
 
     gate_key: str
     today: date
@@ -92,24 +92,24 @@ class Rules:
     undated: int = UNDATED_MAX
     policy: str = "skip"
     rewrite: bool = False
+    gate_most: int = GATE_CEILING
+    extract_most: int = EXTRACT_CEILING
 
 
 class Tallies:
-    """Counts by source, taken by observed metrics while tables are written. Sources are configuration, so the metrics are bounded."""
+    """Counts by source of the tables that a run writes. The driver gets a row a source."""
 
     def __init__(self, sources: list[str]) -> None:
-        self.sources, self.counts = sources, {s: {} for s in sources}
+        self.counts = {s: {} for s in sources}
 
     def write(self, df: DataFrame, path: str, conditions: dict[str, Column]) -> DataFrame:
         """Write df(source_name, ...) and read it back; how many rows of each source meet each condition is added to the counts."""
-        seen = Observation()
-        names = [(s, c) for s in self.sources for c in conditions]
-        marks = [F.count_if((F.col("source_name") == s) & conditions[c]).alias(f"m{i}") for i, (s, c) in enumerate(names)]
-        (df.observe(seen, *marks) if marks else df).write.mode("overwrite").parquet(path)
-        got = seen.get if marks else {}
-        for i, (s, c) in enumerate(names):
-            self.add(s, c, got[f"m{i}"])
-        return df.sparkSession.read.schema(df.schema).parquet(path)
+        df.write.mode("overwrite").parquet(path)
+        back = df.sparkSession.read.schema(df.schema).parquet(path)
+        for r in back.groupBy("source_name").agg(*[F.count_if(c).alias(n) for n, c in conditions.items()]).collect():
+            for n in conditions:
+                self.add(r.source_name, n, r[n])
+        return back
 
     def add(self, source: str, name: str, n: int) -> None:
         if n:
@@ -185,12 +185,12 @@ def run(spark: SparkSession, run_id: str, sources: list[Source], inputs: Inputs,
 def _fetched(spark: SparkSession, report: Report, sources: list[Source], inputs: Inputs, rules: Rules) -> DataFrame:
     """Items of the sources that were fetched; outcomes and silence go into the report."""
     tallies, by_name = report.tallies, {s.name: s for s in sources}
-    outcome = {r.source_name: r for r in inputs.fetches.where(F.col("source_name").isin(*by_name)).collect()}  # a row a source
-    ok = [n for n in by_name if n in outcome and outcome[n].status in ("ok", "empty")]
-    items = inputs.items.where(F.col("source_name").isin(*ok))
-    limit = spark.createDataFrame([(n, i, by_name[n].gate, by_name[n].extract, by_name[n].max_silence_days) for i, n in enumerate(by_name)], "source_name string, source_ord int, gate_limit int, extract_limit int, most_days int")
+    every = spark.createDataFrame([(n,) for n in by_name], "source_name string")
+    outcome = {r.source_name: r for r in inputs.fetches.join(F.broadcast(every), "source_name", "left_semi").collect()}  # a row a source
+    ok = {n for n in by_name if n in outcome and outcome[n].status in ("ok", "empty")}
+    limit = spark.createDataFrame([(n, i, s.gate, s.extract, s.max_silence_days) for i, (n, s) in enumerate(by_name.items()) if n in ok], "source_name string, source_ord int, gate_limit int, extract_limit int, most_days int")
     today = F.lit(rules.today)
-    known = items.join(F.broadcast(limit), "source_name")  # a row a configured source
+    known = inputs.items.join(F.broadcast(limit), "source_name")  # a row a configured source
     silent = {r.source_name: r for r in feeds.silence(known.where("most_days is not null"), ["source_name", "most_days"], "published_at", today, F.col("most_days")).collect()}
     for n, s in by_name.items():
         got = outcome.get(n)
@@ -226,9 +226,9 @@ def _stages(spark: SparkSession, report: Report, sources: list[Source], inputs:
     state = state.join(windows.select("source_name", F.coalesce("b.cutoff", F.lit(OPEN)).alias("cutoff")), "source_name")
     state = flow.admission(state, ["source_name"], "published_at", "feed_ord", today, F.col("cutoff"), known=F.col("in_ledger") | F.col("stored"), most=rules.undated if rules.window else 1 << 30)
     refused = (F.col("state") == "needs_gate") & F.col("admission").isin("out_of_window", "undated_deferred")
-    state = state.withColumn("refused", refused).withColumn("src", F.format_string("%06d|%s", "source_ord", "source_name"))
+    state = state.withColumn("refused", refused).withColumn("src", F.format_string("%010d|%s", "source_ord", "source_name"))
     ceiling = lambda kind, most: min(most, sum(getattr(s, kind) for s in sources))
-    asked = flow.quota(state, (F.col("state") == "needs_gate") & ~F.col("refused"), "src", ["feed_ord", "doc_id"], F.col("gate_limit"), ceiling("gate", GATE_CEILING))
+    asked = flow.quota(state, (F.col("state") == "needs_gate") & ~F.col("refused"), "src", ["feed_ord", "doc_id"], F.col("gate_limit"), ceiling("gate", rules.gate_most))
     asked = asked.withColumnsRenamed({"granted": "gate_granted", "deferred": "gate_deferred"})
     is_ = lambda c, v: F.col(c) == v
     asked = tallies.write(asked, f"{work}/asked", {
@@ -264,7 +264,7 @@ def _stages(spark: SparkSession, report: Report, sources: list[Source], inputs:
                                                   "gate_error", kept("extract_failures", 0), kept("quarantined", False), "load_status", F.lit(rules.now).alias("updated_at")))
 
     # Extraction.
-    wants = flow.quota(gated, F.coalesce(is_("state", "needs_extraction") | passed, F.lit(False)), "src", ["feed_ord", "doc_id"], F.col("extract_limit"), ceiling("extract", EXTRACT_CEILING))
+    wants = flow.quota(gated, F.coalesce(is_("state", "needs_extraction") | passed, F.lit(False)), "src", ["feed_ord", "doc_id"], F.col("extract_limit"), ceiling("extract", rules.extract_most))
     wants = wants.withColumnsRenamed({"granted": "extract_granted", "deferred": "extract_deferred"})
     made_of = call(wants.where("extract_granted"), "extraction", extract, EXTRACTION, is_record)
     done = wants.join(made_of.withColumnsRenamed({"outcome": "extract_outcome", "value": "record", "error": "extract_error", "attempts": "extract_attempts"}), "doc_id", "left")

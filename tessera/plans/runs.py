@@ -21,7 +21,7 @@ from tessera.sources import history, lines, papers
 from tessera.sources.scratch import scratch
 from tessera.sources.tables import KeyedTable
 from tessera.streaming import silence
-from tessera.vocab import BREAKER_AT, LOOKBACK_RUNS
+from tessera.vocab import BREAKER_AT, EXTRACT_CEILING, GATE_CEILING, LOOKBACK_RUNS
 
 
 def _outcome_client(item: dict) -> str:
@@ -181,6 +181,8 @@ def paper_batches(spark, sf):
 
 
 GATE, EXTRACT, UNDATED = 15, 4, 5
+#: The name of the source of documents without one, after all others, which get a "=" before theirs; the ceilings do not count it.
+UNNAMED = "~"
 
 _GATED = f"""items AS (SELECT doc_id, source, length(coalesce(text, '')) AS n, CASE WHEN doc_id % 11 <> 0 THEN date '{TODAY}' - CAST(doc_id * 7 % 21 AS INTEGER) END AS p FROM documents),
 adm AS (SELECT *, p IS NULL AS undated, CASE WHEN p IS NULL THEN row_number() OVER (PARTITION BY source, p IS NULL ORDER BY doc_id) <= {UNDATED} ELSE p >= date '{TODAY}' - 7 END AS let_in FROM items),
@@ -209,11 +211,15 @@ t AS (SELECT source, count(*) AS collected, count(*) FILTER (WHERE NOT let_in AN
 s AS (SELECT *, deferred_gate = 0 AND undated_deferred = 0 AS window_drained, CAST(sum(gate_error + extract_schema_failed + extract_transport_error) OVER () AS BIGINT) AS failures, CAST(sum(extracted) OVER () * 2 AS BIGINT) AS produced FROM t)
 SELECT *, CAST(CASE WHEN failures = 0 THEN 0 WHEN produced > 0 THEN 3 ELSE 1 END AS INTEGER) AS exit_code FROM s""")
 def run_report(spark, sf):
-    """The report of one whole run over all documents, a row a source; clients fail by the length of the text."""
+    """The report of one whole run over all documents, a row a source, however many there are; clients fail by the length of the text.
+
+    What is past a limit is not dropped: it is counted as deferred, listed in the report's backlog, and the next run asks for it.
+    """
     d = table(spark, sf, "documents")
     published = F.when(F.col("doc_id") % 11 != 0, F.date_sub(F.lit(TODAY).cast("date"), (F.col("doc_id") * 7 % 21).cast("int")))
-    items = d.select(F.col("source").alias("source_name"), F.concat(F.lit("https://h.example/"), F.col("doc_id").cast("string")).alias("url"), F.lit("t").alias("title"), F.coalesce("text", F.lit("")).alias("body"), published.alias("published_at"), F.col("doc_id").alias("feed_ord"))
-    names = sorted(r.source for r in d.select("source").distinct().limit(1000).collect())  # configured sources
+    named = F.coalesce(F.concat(F.lit("="), "source"), F.lit(UNNAMED)).alias("source_name")
+    items = d.select(named, F.concat(F.lit("https://h.example/"), F.col("doc_id").cast("string")).alias("url"), F.lit("t").alias("title"), F.coalesce("text", F.lit("")).alias("body"), published.alias("published_at"), F.col("doc_id").alias("feed_ord"))
+    names = sorted(r.source_name for r in d.select(named).distinct().collect())  # configured sources
     at = scratch(spark, "run")
     keyed = lambda name, schema: KeyedTable(spark, f"{at}/{name}", "doc_id", schema)
     places = pipeline.Places(keyed("ledger", daily.LEDGER), keyed("store", daily.STORE), history.Marks(spark, f"{at}/runs", f"{at}/marks"), f"{at}/work")
@@ -232,11 +238,15 @@ def run_report(spark, sf):
             raise ConnectionError("no answer")
         return json.dumps({"model": "m", "release_type": "Paper", "impact": 1})
 
-    rules = pipeline.Rules("g|m", date.fromisoformat(TODAY), "now", breaker="source", undated=UNDATED)
+    k = len(set(names) - {UNNAMED})
+    rules = pipeline.Rules("g|m", date.fromisoformat(TODAY), "now", breaker="source", undated=UNDATED, gate_most=min(GATE_CEILING, GATE * k), extract_most=min(EXTRACT_CEILING, EXTRACT * k))
     report = pipeline.run(spark, "pipeline-1", [pipeline.Source(n, GATE, EXTRACT) for n in names], inputs, places, rules, gate, extract)
     kinds = ("collected", "out_of_window", "undated_deferred", "gate_calls", "gate_error", "gate_passed", "deferred_gate", "extract_calls", "extract_schema_failed", "extract_transport_error", "extracted", "deferred_extraction")
-    rows = report.select(F.explode("sources").alias("source", "t"), "window", "failures", "produced", "exit_code")
-    return rows.select("source", *[F.coalesce(F.try_element_at("t", F.lit(k)), F.lit(0)).alias(k) for k in kinds], F.try_element_at("window", F.col("source")).window_drained.alias("window_drained"), "failures", "produced", "exit_code")
+    # Both maps are merged by source before they are taken apart: a map in every row would grow with the square of the sources.
+    merged = F.map_zip_with("sources", "window", lambda _, t, w: F.struct(t.alias("t"), w.window_drained.alias("drained")))
+    rows = report.select(F.explode(merged).alias("name", "v"), "failures", "produced", "exit_code")
+    source = F.when(F.col("name") != UNNAMED, F.substr("name", F.lit(2))).alias("source")
+    return rows.select(source, *[F.coalesce(F.try_element_at("v.t", F.lit(k)), F.lit(0)).alias(k) for k in kinds], F.col("v.drained").alias("window_drained"), "failures", "produced", "exit_code")
 
 
 _FIGURES = f"""{RUNS}, day_ AS (SELECT day, 'pipeline-' || strftime(day, '%Y%m%d') || '-000000' AS run_id, bool_or(tripped) AS shut FROM runs GROUP BY 1),

@@ -34,3 +34,13 @@ def test_query(spark, con, name):
         assert rows(got) == rows(want)
     else:
         assert len(got)
+
+
+@pytest.mark.parametrize("source, n", [("'s' || k % 1100", 1100), ("CASE WHEN k % 7 <> 3 THEN nullif('s' || k % 5, 's4') ELSE '' END", 6)], ids=["over a thousand", "null and empty"])
+def test_the_run_report_has_a_row_for_every_source(spark, tmp_path, source, n):
+    db = duckdb.connect()
+    db.sql(f"CREATE TABLE documents AS SELECT k AS doc_id, repeat('x', CAST(k * 13 % 97 AS INTEGER)) AS text, {source} AS source FROM range(2200) AS r(k)")
+    db.sql(f"COPY documents TO '{tmp_path}/documents.parquet'")
+    got, want = QUERIES["run_report"](spark, str(tmp_path)).toPandas(), db.sql(ORACLES["run_report"]).df()
+    assert len(got) == n and got["collected"].sum() == 2200
+    assert rows(got) == rows(want)
